@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import line_dedup
-from strandline.llm.common import table
+from strandline.llm import bpe, language_id, line_dedup, media, mixing, token_files
+from strandline.llm.common import new_path, table
+
+# Names of the vocabulary files; the functions below take paths.
+WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,7 +23,44 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup}
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.held_out(F.col("doc_id")))
+    profiles = language_id.train(docs.filter(~F.col("held_out")))
+    out = language_id.predict(docs.select("doc_id", "held_out", "text"), profiles, "lang_pred", "score")
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(WORD_VOCABULARY))
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = media.store(table(spark, sf_dir, "documents"), "text", "doc_id")
+    return media.inspect(stored, "doc_id").select(
+        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "media_type"
+    )
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary(BYTE_VOCABULARY))
+    return token_files.with_starts(token_files.token_offsets(token_files.read_tokens(spark, path)))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op5_language_id": op5_language_id,
+    "op7_bpe": op7_bpe,
+    "op8_media": op8_media,
+    "op9_token_files": op9_token_files,
+    "op10_mixing": op10_mixing,
+}
 
 SQL = {
     "op1_line_dedup": r"""
