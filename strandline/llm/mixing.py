@@ -4,8 +4,8 @@ A source's target over its size is the expected number of times that each of its
 is certain, and a fraction. The fractions go through the flight phase: moves in the null space of the balancing
 constraints (documents and words of the source) until each is 0 or 1. Flights run in blocks of about BLOCK documents of
 one source, so a source with a third of all rows is many blocks; a block ends with at most two fractions open. Those meet
-in blocks again, round by round, until a source has one block; of its last fractions the landing chooses the 0/1 values
-nearest to the targets. Draws are seeded by source and block and rows are ordered by key, so reruns agree.
+in blocks again, round by round, until a source has one block. Its flight leaves out RESERVE documents; the landing tries
+all 0/1 values of those and the last two fractions and takes the nearest to the targets. Draws are seeded by source and block and rows are ordered by key, so reruns agree.
 
 Defined results: null and empty text have size 0; a source of size 0 has target 0 and its documents are not taken; rows
 that repeat a doc_id are one unit (its size their sum, its source the first) and share the decision; rows of null doc_id
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from strandline.llm.common import WORD_PATTERN, cut
 
 BLOCK = 128
+RESERVE = 10
 SEED = 7
 WEIGHTS = (3, 1, 2)
 SHARE, CAP = 1.5, 2.0
@@ -83,16 +84,25 @@ def flight(pi: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.nda
 
 
 def landing(pi: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """0/1 values for the last fractions: the words nearest to what they stand for, then the documents, then the first."""
+    """0/1 values for at most RESERVE + 2 fractions: documents within one of what they stand for, then the words nearest."""
     open_ = np.flatnonzero((pi > 0) & (pi < 1))
     out = pi.copy()
-    want, docs = float((pi[open_] * size[open_]).sum()), float(pi[open_].sum())
-    choices = [[m >> k & 1 for k in range(len(open_))] for m in range(1 << len(open_))]
-    best = min(choices, key=lambda c: (round(abs(float(np.dot(c, size[open_])) - want), 6), abs(sum(c) - docs), c))
-    out[open_] = best
+    choices = np.arange(1 << len(open_))[:, None] >> np.arange(len(open_)) & 1
+    docs_off = np.abs(choices.sum(1) - pi[open_].sum())
+    words_off = np.abs(choices @ size[open_] - (pi[open_] * size[open_]).sum())
+    out[open_] = choices[np.lexsort((np.arange(len(choices)), docs_off, words_off.round(6), docs_off > 1))[0]]
     return out
 
 
+def finish(pi: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """The last block of a source: a flight that leaves out RESERVE documents of all sizes, then the landing of what is open."""
+    out = pi.copy()
+    kept = np.unique(np.linspace(len(pi) // 5, len(pi) - 1, RESERVE).astype(int))
+    flown = np.setdiff1d(np.arange(len(pi)), kept)
+    out[flown] = flight(pi[flown], size[flown], rng)
+    return landing(out, size)
+
+
 def _round(units: DataFrame, blocks: Column, last: bool, seed: int) -> DataFrame:
     """One round of flights over (unit, source, size, pi) in blocks of a source."""
 
@@ -101,8 +111,7 @@ def _round(units: DataFrame, blocks: Column, last: bool, seed: int) -> DataFrame
         pdf = pdf.sort_values(["size", "order", "unit"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         rng = np.random.default_rng([seed, int(pdf["source_hash"].iloc[0]) & 0xFFFFFFFF, int(key[1])])
         size = pdf["size"].to_numpy()
-        pi = flight(pdf["pi"].to_numpy(), size, rng)
-        pdf["pi"] = landing(pi, size) if last else pi
+        pdf["pi"] = (finish if last else flight)(pdf["pi"].to_numpy(), size, rng)
         return pdf[["unit", "source", "size", "pi"]]
 
     dealt = units.withColumn("order", F.xxhash64(F.lit(seed), "unit")).withColumn("source_hash", F.xxhash64(F.coalesce("source", F.lit("\0"))))
