@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, language_id, line_dedup, media, mixing, ngram_join, token_files
+from strandline.llm import bpe, fingerprints, language_id, line_dedup, media, mixing, ngram_join, token_files
 from strandline.llm.common import new_path, table
 
 # Names of the vocabulary files; the functions below take paths.
@@ -34,6 +34,24 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.with_next(table(spark, sf_dir, "documents"))
+    n = F.length("text")
+    taken = F.floor(n / 4).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - taken), F.substring("next_text", F.lit(1), taken))
+    rows = rows.select("*", n.cast("long").alias("n_chars"), edited.alias("edited"))
+    rows = rows.withColumn("edited_sketch", fingerprints.sketch(F.col("edited")))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.fingerprint(F.col("sketch")).alias("fingerprint"),
+        fingerprints.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(WORD_VOCABULARY))
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
@@ -61,6 +79,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_ngram_join": op3_ngram_join,
     "op5_language_id": op5_language_id,
+    "op6_fingerprints": op6_fingerprints,
     "op7_bpe": op7_bpe,
     "op8_media": op8_media,
     "op9_token_files": op9_token_files,
