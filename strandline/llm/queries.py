@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, fingerprints, language_id, line_dedup, media, mixing, ngram_join, token_files
+from strandline.llm import bpe, fingerprints, language_id, licenses, line_dedup, media, mixing, ngram_join, token_files
 from strandline.llm.common import new_path, table
 
 # Names of the vocabulary files; the functions below take paths.
@@ -27,6 +27,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(table(spark, sf_dir, "documents"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.held_out(F.col("doc_id")))
     profiles = language_id.train(docs.filter(~F.col("held_out")))
@@ -78,6 +83,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_ngram_join": op3_ngram_join,
+    "op4_licenses": op4_licenses,
     "op5_language_id": op5_language_id,
     "op6_fingerprints": op6_fingerprints,
     "op7_bpe": op7_bpe,
