@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, fingerprints, language_id, licenses, line_dedup, media, mixing, ngram_join, token_files
+from strandline.llm import bpe, fingerprints, html_text, language_id, licenses, line_dedup, media, mixing, ngram_join, token_files
 from strandline.llm.common import new_path, table
 
 # Names of the vocabulary files; the functions below take paths.
@@ -23,6 +23,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_text.main_text(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(table(spark, sf_dir, "documents"))
 
@@ -82,6 +87,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_main_text": op2_main_text,
     "op3_ngram_join": op3_ngram_join,
     "op4_licenses": op4_licenses,
     "op5_language_id": op5_language_id,
