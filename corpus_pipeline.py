@@ -1,13 +1,73 @@
-"""The corpus pipeline: each stage applies one operator to all that the stage before it kept."""
+"""The corpus pipeline: each stage applies one operator of strandline.llm to all that the stage before it kept.
+
+documents -> language ID (rejected: no letters) -> line dedup -> n-gram Jaccard join (one document of each group stays)
+-> mixing to target weights -> BPE. run() writes nothing but what the operators write to the shared folder; a runner that
+writes each stage as Parquet and reads it again gets the same rows.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strandline.llm import bpe, language_id, line_dedup, mixing, ngram_join
+from strandline.llm.common import cut
+from strandline.llm.queries import WORD_VOCABULARY, vocabulary
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents that are no language: null text or no letter. The others get the predicted language where theirs is null."""
+    held_out = language_id.held_out(F.col("doc_id"))
+    profiles = language_id.train(docs.filter(~held_out))
+    found = language_id.predict(docs, profiles)
+    kept = found.filter(F.col("lang_pred") != language_id.UNKNOWN)
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that an earlier document holds go; every document stays, with the text that is left."""
+    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at a similarity of 0.8 the one with the smallest doc_id stays."""
+    groups = ngram_join.similar(docs.select("doc_id", "text"), percent=80, size=5)
+    losers = groups.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
+    return docs.join(losers, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it: not at all, once or twice."""
+    copies = mixing.mix(docs).groupBy("doc_id").agg(F.first("copies").alias("copies"))
+    copies = cut(copies.filter("copies > 0").withColumnRenamed("doc_id", "unit"), "copies")
+    taken = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("unit")))
+    return taken.select(*COLUMNS, F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")).select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens, ids_sha256, decoded_sha256 and ids (binary: little-endian unsigned 32-bit) of every document."""
+    out = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary(WORD_VOCABULARY))
+    return out.select(
+        "doc_id", "lang", "source", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "ids"
+    )
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_join", one_of_each_group),
+    ("mixing", mix_sources),
+    ("bpe", encode),
+]
+
+#: Language profiles, the cube method and BPE are not expressible in SQL; tests/llm compares with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
