@@ -210,28 +210,33 @@ def _forest(linked: np.ndarray, square: bool) -> list[tuple[int, int]]:
     return out
 
 
-def shingled(docs: DataFrame, percent: int, size: int) -> DataFrame:
-    """doc_id, node (128-bit fingerprint of the shingle set), n, sigs."""
+def shingled(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, node (128-bit fingerprint of the shingle set), n."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = (shingle_set(t.as_py(), size) for t in batch.column(1))
+            rows = [(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), len(s)) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([r for r, _ in rows], pa.binary()), pa.array([n for _, n in rows], pa.int64())], names=["doc_id", "node", "n"]
+            )
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, node binary, n long")
+
+
+def signed(texts: DataFrame, percent: int, size: int) -> DataFrame:
+    """rep, sigs for texts (rep, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                sets = [shingle_set(t, size) for t in part.column(1).to_pylist()]
-                sigs = [signatures(s, percent) for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.cumsum([0, *map(len, sigs)]), pa.int32()), pa.array(np.concatenate(sigs) if sigs else [], pa.int64())
-                        ),
-                    ],
-                    names=["doc_id", "node", "n", "sigs"],
-                )
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, node binary, n long, sigs array<long>")
+                sigs = [signatures(shingle_set(t.as_py(), size), percent) for t in part.column(1)]
+                ends = pa.array(np.cumsum([0, *map(len, sigs)]), pa.int32())
+                values = pa.array(np.concatenate(sigs) if sigs else [], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(ends, values)], names=["rep", "sigs"])
+
+    return texts.mapInArrow(run, "rep long, sigs array<long>")
 
 
 def verified(placed: DataFrame, percent: int, size: int) -> DataFrame:
@@ -275,12 +280,12 @@ def verified(placed: DataFrame, percent: int, size: int) -> DataFrame:
 
 def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links): a row for each of docs."""
-    sets = cut(shingled(docs, percent, size), "shingled")
+    sets = cut(shingled(docs, size), "shingled")
     known = sets.filter("n > 0 AND doc_id IS NOT NULL")
     reps = cut(known.groupBy("node").agg(F.min("doc_id").alias("rep")), "nodes")
-    # candidate links: nodes with a common signature, to the least of them
-    one_each = known.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sigs").alias("sigs"))
-    entries = one_each.select("rep", F.explode("sigs").alias("sig"))
+    # candidate links: nodes with a common signature, to the least of them; of equal texts only one is looked at
+    by_id = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
+    entries = signed(by_id.join(reps, "rep", "left_semi"), percent, size).select("rep", F.explode("sigs").alias("sig"))
     same = Window.partitionBy("sig")
     entries = entries.withColumn("lead", F.min("rep").over(same))
     stars = cut(entries.filter("lead <> rep").select("rep", "lead").distinct(), "candidates")
@@ -292,8 +297,7 @@ def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, block:
         F.col("node").alias("rep"), "label", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), blocks.alias("blocks")
     )
     placed = cut(placed, "placed")
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(placed, "rep")
-    links = cut(verified(texts, percent, size), "links")
+    links = cut(verified(by_id.join(placed, "rep"), percent, size), "links")
     roots = components(links)
     for done in (stars, members, sizes, placed):
         discard(done)
