@@ -24,53 +24,70 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 INDEX_ROWS = 1000
-CACHE_WORDS = 600_000
+CACHE_WORDS = 500_000
 ROWS = 2048
-#: Texts whose white space is single spaces and single line ends, each between words, split into the words of the fast way.
-OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]|^\s|\s$|\s\s")
+LINE_END = "\n"
+#: White space other than space and line end, and runs of it: texts with any of these are encoded whole.
+OTHER_SPACE = [*"\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000\0", *map(chr, range(0x2000, 0x200B)), "  ", " \n", "\n ", "\n\n"]
+#: A comma or stop after a letter or digit begins a piece of its own; after anything else it may not.
+INNER_STOP = re.compile(r"[,.](?<=[\W_].)")
 
 
 class WordCache:
-    """Ids of texts by the tokenizers library. A byte-level pattern never joins text across the start of a space or
-    line end that follows a word, so what the library gives for each ' word' alone is kept and put together."""
+    """Ids of texts by the tokenizers library. A byte-level pattern never joins text across the start of a space or line
+    end that follows a word, nor across a comma or stop that follows a letter or digit; so what the library gives for
+    each such piece alone is kept and put together. New pieces of a batch are encoded in few calls, one a line."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = OTHER_SPACE + self.special
+        (self.line_end,) = self.tokenizer.encode(LINE_END, add_special_tokens=False).ids
         self.cache_words = cache_words
-        self.known: dict[str, bytes] = {}  # with the space before it, if it has one
-
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in got]
+        self.known: dict[str, bytes] = {}
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Pieces without line ends, joined by those: a line end between two pieces is always a token of its own."""
+        joined = [LINE_END.join(pieces[k : k + 1000]) for k in range(0, len(pieces), 1000)]
+        at = iter(pieces)
+        for got in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
+            ids = np.array(got.ids, "<u4")
+            raw = ids.tobytes()
+            start = 0
+            for end in (*np.flatnonzero(ids == self.line_end).tolist(), len(ids)):
+                self.known[next(at)] = raw[4 * start : 4 * end]
+                start = end + 1
+
+    def _pieces(self, text: str) -> list[str] | None:
+        """The pieces of text, or None where it has to be encoded whole."""
+        if not text:
+            return []
+        if text[0].isspace() or text[-1].isspace() or any(s in text for s in self.whole):
+            return None
+        cut = text.replace(" ", "\0 ").replace(LINE_END, "\0\n\0")
+        if not INNER_STOP.search(text):
+            cut = cut.replace(",", "\0,").replace(".", "\0.")
+        return cut.split("\0")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         known = self.known
         if len(known) > self.cache_words:
             known.clear()
-        cut: list[list[str] | None] = []
-        for text in texts:
-            if not text:
-                cut.append([])
-            elif OTHER_SPACE.search(text) or any(s in text for s in self.special):
-                cut.append(None)
-            else:
-                words = []
-                for k, line in enumerate(text.split("\n")):
-                    own = line.split(" ")
-                    if k:
-                        words.append("\n")
-                    words.append(own[0])
-                    words += [" " + w for w in own[1:]]
-                cut.append(words)
-        fresh = list({w for words in cut if words for w in words if w not in known})
+        known[""], known[LINE_END] = b"", self.line_end.to_bytes(4, "little")
+        cut = [self._pieces(t) for t in texts]
+        fresh: set[str] = set()
+        for pieces in cut:
+            if pieces:
+                fresh.update(pieces)
+        fresh.difference_update(known)
         if fresh:
-            known.update(zip(fresh, self._ask(fresh), strict=True))
-        hard = [t for t, words in zip(texts, cut, strict=True) if words is None]
-        hard_ids = iter(self._ask(hard) if hard else [])
-        return [next(hard_ids) if words is None else b"".join([known[w] for w in words]) for words in cut]
+            self._learn(list(fresh))
+        hard = [t for t, pieces in zip(texts, cut, strict=True) if pieces is None]
+        whole = iter(self.tokenizer.encode_batch_fast(hard, add_special_tokens=False) if hard else [])
+        get = known.__getitem__
+        return [np.array(next(whole).ids, "<u4").tobytes() if p is None else b"".join(map(get, p)) for p in cut]
 
 
 @lru_cache(2)
