@@ -131,7 +131,7 @@ def st3_alternatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {SCORES}, pr AS (SELECT rec, t, [list_sum(list_transform(lp[1:21], lambda x: exp(x::DOUBLE))), list_sum(list_transform(lp[22:42], lambda x: exp(x::DOUBLE))), list_sum(list_transform(lp[43:64], lambda x: exp(x::DOUBLE)))] AS e FROM scores),
 p AS (SELECT rec, t, list_transform(e, lambda x: x / list_sum(e)) AS p FROM pr), b AS (SELECT rec, t, p, list_position(p, list_max(p)) - 1 AS id FROM p),
 s AS (SELECT *, CASE WHEN id <> lag(id) OVER (PARTITION BY rec ORDER BY t) OR t = 0 THEN 1 ELSE 0 END AS new FROM b), r AS (SELECT *, sum(new) OVER (PARTITION BY rec ORDER BY t) - 1 AS run_no FROM s)
-SELECT rec, CAST(run_no AS BIGINT) AS run_no, CAST(id AS INT) AS id, round(avg(p[id + 1]), 3) AS confidence, round(max(p[id + 1]), 3) AS confidence_peak, round(min(t) * 4e-2, 3) AS start, round((max(t) + 1) * 4e-2, 3) AS "end", count(*) AS frames
+SELECT rec, CAST(run_no AS BIGINT) AS run_no, CAST(id AS INT) AS id, round(avg(p[id + 1]), 4) AS confidence, round(max(p[id + 1]), 4) AS confidence_peak, round(min(t) * 4e-2, 3) AS start, round((max(t) + 1) * 4e-2, 3) AS "end", count(*) AS frames
 FROM r WHERE id <> 0 GROUP BY rec, run_no, id""")
 def agg13_run_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     def mass(a: int, n: int):
@@ -140,7 +140,7 @@ def agg13_run_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = fixtures.scores(spark, sf_dir).select("rec", "t", F.array(mass(1, 21), mass(22, 21), mass(43, 22)).alias("e"))
     total = F.aggregate("e", F.lit(0.0), lambda acc, v: acc + v)
     got = frames.run_confidence(got.select("rec", "t", F.transform("e", lambda v: v / total).alias("p")), blank=0)
-    return got.select("rec", "run_no", "id", F.round("confidence", 3).alias("confidence"), F.round("confidence_peak", 3).alias("confidence_peak"), "start", "end", "frames")
+    return got.select("rec", "run_no", "id", "confidence", "confidence_peak", "start", "end", "frames")
 
 
 @query(f"""WITH {SCORES}, voc(id, token) AS (VALUES (1, 'a'), (2, 'b'), (3, 'c')), early AS (SELECT * FROM symbols WHERE t < 250), s AS (SELECT *, lag(id, 1, 0) OVER (PARTITION BY rec ORDER BY t) AS before FROM early),
