@@ -186,10 +186,12 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
     found = vectors.limit(MAX_LANGUAGES + 1).collect()
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not found:
+        return Profiles([], np.zeros((0, DIMENSIONS)))
     found.sort(key=lambda r: r["lang"])
-    matrix = np.array([[x["v"] for x in r["vs"]] for r in found], float).reshape(len(found), -1)
-    norm = np.linalg.norm(matrix, axis=1, keepdims=True) if found else np.ones((0, 1))
-    return Profiles([r["lang"] for r in found], matrix / np.where(norm > 0, norm, 1) if found else np.zeros((0, DIMENSIONS)))
+    matrix = np.array([[x["v"] for x in r["vs"]] for r in found], float)
+    norm = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return Profiles([r["lang"] for r in found], matrix / np.where(norm > 0, norm, 1))
 
 
 def predict(docs: DataFrame, profiles: Profiles, pred: str = "lang_pred", score: str = "lang_score") -> DataFrame:
