@@ -53,9 +53,12 @@ def discard(df: DataFrame) -> None:
     """Delete what cut() wrote for df; only for frames that no returned plan reads."""
     path = getattr(df, "_strandline_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+        delete(df.sparkSession, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def ascii_lower(x: Column) -> Column:

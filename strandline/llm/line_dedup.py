@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import SPACE, ascii_lower, cut, shared_dir
+from strandline.llm.common import SPACE, ascii_lower, cut, delete, shared_dir
 
 MIN_KEY_CHARS = 10
 LAST = 2**63 - 1
@@ -84,14 +84,17 @@ class LineRuns:
                 if level + 1 == len(self.levels):
                     self.levels.append([])
                 self.levels[level + 1].append(self._write(merged))
-                for name in old:
-                    self.spark.sql(f"DROP TABLE {name}")
+                self._drop(old)
             level += 1
 
+    def _drop(self, names: list[str]) -> None:
+        for name in names:
+            self.spark.sql(f"DROP TABLE {name}")
+            delete(self.spark, f"{shared_dir(self.spark)}/{name}")
+
     def close(self) -> None:
         for level in self.levels:
-            for name in level:
-                self.spark.sql(f"DROP TABLE {name}")
+            self._drop(level)
         self.levels = []
 
 
@@ -120,7 +123,7 @@ def dedup_lines(
     per_doc = drops.groupBy("doc").agg(F.collect_list(F.struct("h1", "h2")).alias("gone"))
     text = [c for c in docs.columns if c != "text"]
     all_docs = docs.select(F.struct(*docs.columns).alias("row"), doc.alias("doc"), F.coalesce("text", F.lit("")).alias("body"))
-    joined = all_docs.join(per_doc, "doc", "left")
+    joined = all_docs.join(per_doc.hint("merge"), "doc", "left")
     every = F.split("body", "\n")
     keep = F.filter(every, lambda x: ~F.coalesce(F.array_contains(F.col("gone"), _hash_of(x, min_chars)), F.lit(False)))
     out = joined.withColumn("n_lines", F.size(every).cast("long")).withColumn(
