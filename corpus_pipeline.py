@@ -35,14 +35,14 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Of documents linked by five-word shingles at a similarity of 0.8 the one with the smallest doc_id stays."""
     groups = ngram_join.similar(docs.select("doc_id", "text"), percent=80, size=5)
     losers = groups.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(losers, "doc_id", "left_anti").select(*COLUMNS)
+    return docs.join(losers.hint("merge"), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it: not at all, once or twice."""
     copies = mixing.mix(docs).groupBy("doc_id").agg(F.first("copies").alias("copies"))
     copies = cut(copies.filter("copies > 0").withColumnRenamed("doc_id", "unit"), "copies")
-    taken = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("unit")))
+    taken = docs.join(copies.hint("merge"), F.col("doc_id").eqNullSafe(F.col("unit")))
     return taken.select(*COLUMNS, F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")).select(*COLUMNS)
 
 
