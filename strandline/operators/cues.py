@@ -215,3 +215,27 @@ def assign_words(spans: DataFrame, positions: DataFrame) -> DataFrame:
     last = F.last(F.when(F.col("kind") == 0, F.struct("word_no", "span_end")), ignorenulls=True).over(order)
     got = marks.withColumn("held", last).filter("kind = 1")
     return got.select("rec", F.col("at").alias("pos"), F.when(F.col("at") < F.col("held.span_end"), F.col("held.word_no")).alias("word_no"))
+
+
+def nearest_boundary(targets: DataFrame, column: str = "target", ends: str = "ends") -> DataFrame:
+    """targets with boundary: the element of the array `ends` nearest to the target, the first among equals."""
+    near = F.array_min(F.transform(ends, lambda e, i: F.struct(F.abs(e - F.col(column)).alias("off"), i.alias("i"), e.alias("end"))))
+    return targets.withColumn("boundary", near["end"])
+
+
+def lookup_misses(rows: DataFrame, table: DataFrame, key: str, group: str) -> DataFrame:
+    """group, n, misses: rows whose key is not in the table (one row a key)."""
+    got = rows.join(table.select(key).distinct().withColumn("hit", F.lit(1)), key, "left")
+    return got.groupBy(group).agg(F.count("*").alias("n"), F.count_if(F.col("hit").isNull()).alias("misses"))
+
+
+def longest_runs(runs: DataFrame, most: int) -> DataFrame:
+    """The `most` longest runs (rec, run_no, frames) of a recording, earlier ones first among equals."""
+    order = Window.partitionBy("rec").orderBy(F.col("frames").desc(), "run_no")
+    return runs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+
+
+def output_frames(silences: DataFrame, lengths: DataFrame, per_frame: int = 4) -> DataFrame:
+    """rec, frame: distinct output frames of silences (rec, feature_frame) strictly inside a recording (rec, n_frames)."""
+    rows = silences.select("rec", F.floor(F.col("feature_frame") / per_frame).alias("frame")).distinct()
+    return rows.join(lengths, "rec").filter((F.col("frame") > 0) & (F.col("frame") < F.col("n_frames"))).select("rec", "frame")

@@ -508,6 +508,115 @@ def src1_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.parse_vocabulary(lines.unionByName(lines.select(F.lit("  ").alias("value")))).distinct()
 
 
+# smaller ones
+
+
+@query("""SELECT o_orderkey, ['auto', 'yes', 'no', 'no', 'auto'][o_orderkey % 5 + 1] AS preamble, CASE WHEN o_orderkey % 4 = 3 THEN 'srt' WHEN o_orderkey % 3 = 0 THEN 'json' WHEN o_orderkey % 3 = 1 THEN 'srt' ELSE 'both' END AS format FROM orders""")
+def prj5_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    choice = F.get(F.lit(["auto", " YES", "0", "n", "Default"]), (k % 5).cast("int"))
+    path = F.get(F.lit(["a/x.JSON", "b.srt", "c.txt"]), (k % 3).cast("int"))
+    fmt = scalars.output_format(F.when(k % 4 == 3, "srt").otherwise("auto"), path)
+    return table(spark, sf_dir, "orders").select(k, scalars.preamble_choice(choice).alias("preamble"), fmt.alias("format"))
+
+
+@query(f"""WITH {CUES}, w AS (SELECT *, lead(start) OVER (PARTITION BY rec ORDER BY start, cue_no) AS nxt FROM cues)
+SELECT rec, cue_no, round(greatest(CASE WHEN nxt IS NULL THEN greatest("end", start + 0.15) ELSE least(greatest("end", start + 0.15), nxt) END, start), 6) AS "end" FROM w WHERE aya <> 0""")
+def prj6_strip_preamble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cues.strip_preamble(cues.clamp(fixtures.cues(spark, sf_dir))).select("rec", "cue_no", F.round("end", 6).alias("end"))
+
+
+SLOTS = "slots AS (SELECT o_custkey AS rec, o_orderkey AS word_no, o_orderkey % 3 AS aya, 2 * o_orderkey AS p FROM orders)"
+
+
+def _slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("rec"), k.alias("word_no"), (k % 3).alias("aya"), F.array(2 * k, 2 * k + 1).alias("token_positions"))
+
+
+@query(f"WITH {SLOTS} SELECT rec, word_no, p - min(p) OVER (PARTITION BY rec) AS first FROM slots WHERE aya <> 0")
+def prj7_reference_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cues.reference_without_preamble(_slots(spark, sf_dir)).select("rec", "word_no", F.get("token_positions", 0).alias("first"))
+
+
+@query(f"WITH {SLOTS} SELECT rec, word_no FROM slots WHERE p + 1 < least(4000, greatest(10, rec * 30 // 6))")
+def prj8_whole_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slots = _slots(spark, sf_dir)
+    frames_ = slots.select("rec").distinct().select("rec", (F.col("rec") * 30).alias("n_frames"), F.lit(4000).alias("n_tokens"))
+    return cues.whole_words(slots, frames_).select("rec", "word_no")
+
+
+@query("""WITH t AS (SELECT o_orderkey, o_custkey % 50 AS target FROM orders), e AS (SELECT t.*, b.i, b.e, row_number() OVER (PARTITION BY o_orderkey ORDER BY abs(b.e - target), b.i) AS k FROM t, (VALUES (1, 7), (2, 20), (3, 22), (4, 40)) b(i, e))
+SELECT o_orderkey, target, e AS boundary FROM e WHERE k = 1""")
+def jn12_nearest_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 50).alias("target"), F.lit([7, 20, 22, 40]).alias("ends"))
+    return cues.nearest_boundary(rows).select("o_orderkey", "target", "boundary")
+
+
+@query("""SELECT p_brand, count(*) AS n, count(*) FILTER (NOT EXISTS (SELECT 1 FROM nation WHERE 'NATION_' || (p_partkey % 40) = n_name)) AS misses FROM part GROUP BY p_brand""")
+def jn13_lookup_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "part").select("p_brand", F.concat(F.lit(" NATION_"), F.col("p_partkey") % 40, F.lit("  ")).alias("raw"))
+    rows = rows.select("p_brand", scalars.normalize_text(F.col("raw")).alias("n_name"))
+    return cues.lookup_misses(rows, table(spark, sf_dir, "nation"), "n_name", "p_brand")
+
+
+@query("""WITH c AS (SELECT n_regionkey AS slug, n_nationkey AS surah FROM nation) SELECT slug, surah, r_name FROM c JOIN region ON slug = r_regionkey WHERE surah IN (1, 2, 3, 7, 11)""")
+def jn14_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = table(spark, sf_dir, "nation")
+    rows = nation.groupBy(F.col("n_regionkey").alias("slug")).agg(F.map_from_entries(F.collect_list(F.struct(F.col("n_nationkey").cast("string"), "n_name"))).alias("surahs")).withColumn("name", F.lit("x"))
+    wanted = spark.range(1).select(F.explode(scalars.number_list(F.lit("1,2, 3,7,11"))).alias("surah"))
+    got = catalog.downloaded(catalog.explode_catalog(rows), wanted, ["surah"])
+    return got.join(table(spark, sf_dir, "region"), F.col("slug") == F.col("r_regionkey")).select("slug", "surah", "r_name")
+
+
+@query(f"""WITH {SCORES}, s AS (SELECT *, CASE WHEN id <> lag(id) OVER (PARTITION BY rec ORDER BY t) OR t = 0 THEN 1 ELSE 0 END AS new FROM symbols), r AS (SELECT *, sum(new) OVER (PARTITION BY rec ORDER BY t) - 1 AS run_no FROM s),
+g AS (SELECT rec, CAST(run_no AS BIGINT) AS run_no, count(*) AS frames FROM r GROUP BY rec, run_no), k AS (SELECT *, row_number() OVER (PARTITION BY rec ORDER BY frames DESC, run_no) AS rank FROM g)
+SELECT rec, run_no, frames, CAST(rank AS INT) AS rank FROM k WHERE rank <= 3""")
+def st4_longest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cues.longest_runs(frames.runs(fixtures.symbols(spark, sf_dir)), 3).select("rec", "run_no", "frames", "rank")
+
+
+@query("SELECT s_suppkey, s_name FROM supplier ORDER BY s_suppkey LIMIT 5")
+def st5_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select("s_suppkey", "s_name").orderBy("s_suppkey").limit(5)
+
+
+@query(f"""WITH {CUES}, c AS (SELECT rec, cue_no, cue_no * 10 AS start_frame, cue_no * 10 + 8 AS end_frame, FALSE AS is_repeat FROM cues),
+b AS (SELECT * FROM c WHERE cue_no % 4 <> 1 UNION ALL SELECT rec, cue_no, start_frame, start_frame + 3, FALSE FROM c WHERE cue_no % 4 = 1 UNION ALL SELECT rec, cue_no, start_frame + 5, start_frame + 8, TRUE FROM c WHERE cue_no % 4 = 1)
+SELECT rec, row_number() OVER (PARTITION BY rec ORDER BY start_frame, end_frame, cue_no) - 1 AS cue_no, start_frame, end_frame, is_repeat FROM b""")
+def so1_splice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("cue_no")
+    own = fixtures.cues(spark, sf_dir).select("rec", "cue_no", (k * 10).alias("start_frame"), (k * 10 + 8).alias("end_frame"), F.lit(False).alias("is_repeat"))
+    odd = own.filter(k % 4 == 1)
+    first = odd.withColumn("end_frame", F.col("start_frame") + 3).withColumn("replaces", k)
+    second = odd.withColumn("start_frame", F.col("start_frame") + 5).withColumn("is_repeat", F.lit(True)).withColumn("replaces", k)
+    return cues.splice(own, first.unionByName(second)).withColumn("cue_no", F.col("cue_no").cast("long"))
+
+
+@query("""SELECT DISTINCT user_id AS rec, event_id % 90 // 4 AS frame FROM events WHERE event_id % 90 // 4 > 0 AND event_id % 90 // 4 < 20""")
+def so3_output_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("rec"), (F.col("event_id") % 90).alias("feature_frame"))
+    return cues.output_frames(rows, rows.select("rec").distinct().withColumn("n_frames", F.lit(20)))
+
+
+@query("""SELECT conv_id, turn, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM conversations""")
+def sf_normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", scalars.normalize_text(F.col("text")).alias("text"))
+
+
+@query("""WITH c AS (SELECT o_orderkey, o_custkey, o_orderstatus, (row_number() OVER (ORDER BY o_orderkey) - 1) // 8 AS batch FROM orders WHERE o_orderkey < 400)
+SELECT CAST(batch AS INT) AS batch, count(*) FILTER (o_orderstatus <> 'P') AS succeeded, CAST(sum(o_custkey) AS BIGINT) AS wall FROM c GROUP BY batch""")
+def agg11_batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = catalog.chunked(table(spark, sf_dir, "orders").filter("o_orderkey < 400").withColumn("g", F.lit(0)), 8, ["o_orderkey"], ["g"])
+    return rows.groupBy(F.col("chunk_no").alias("batch")).agg(F.count_if(F.col("o_orderstatus") != "P").alias("succeeded"), F.sum("o_custkey").alias("wall"))
+
+
+@query("""SELECT o_orderkey, round(o_custkey / 1500e0 * 100, 6) AS "left", round(greatest(0.3, (o_orderkey % 20) / 1500e0 * 100), 6) AS width FROM orders""")
+def ux_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = scalars.timeline(F.col("o_custkey"), F.col("o_orderkey") % 20, F.lit(1500.0))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.round(place["left"], 6).alias("left"), F.round(place["width"], 6).alias("width"))
+
+
 # kernels: no SQL; compared with brute force in the tests
 
 
