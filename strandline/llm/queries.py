@@ -98,7 +98,49 @@ QUERIES = {
     "op10_mixing": op10_mixing,
 }
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _values(rows: list[tuple]) -> str:
+    def one(x) -> str:
+        return "[" + ", ".join(map(one, x)) + "]" if isinstance(x, list) else str(x) if isinstance(x, int) else f"'{x}'"
+
+    return ", ".join("(" + ", ".join(map(one, r)) + ")" for r in rows)
+
+
+def _license_sql() -> str:
+    word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    phrases = _values([(p.split(), len(p.split()), label) for p, label in licenses.PHRASES.items()])
+    sets = [(label, licenses.template_words(t)) for label, t in licenses.TEMPLATES]
+    templates = _values([(label, own, licenses._needed(len(own), licenses.THRESHOLD)) for label, own in sets])
+    return f"""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS low FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(low, {word}) AS ws FROM d), phrases(parts, n, label) AS (VALUES {phrases}), templates(label, ts, needed) AS (VALUES {templates}),
+p AS (SELECT doc_id, i - 1 AS start, label FROM w, unnest(range(1, len(ws) + 1)) AS g(i), phrases WHERE ws[i:i + n - 1] = parts),
+b AS (SELECT DISTINCT doc_id, list_distinct(regexp_extract_all(line, {word})) AS bs FROM d, unnest(string_split(low, chr(10))) AS l(line)),
+h AS (SELECT doc_id, label, len(list_intersect(bs, ts)) / CAST(len(ts) AS DOUBLE) AS held FROM b, templates WHERE len(list_intersect(bs, ts)) >= needed),
+pl AS (SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM p GROUP BY doc_id),
+al AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(held) AS held FROM (SELECT doc_id, label, 1.0 AS held FROM p UNION ALL SELECT * FROM h) GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(held, 0.0) AS score
+FROM w LEFT JOIN pl ON pl.doc_id = w.doc_id LEFT JOIN al ON al.doc_id = w.doc_id
+"""
+
+
+JOIN_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))
+                                 WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT x, y FROM i JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 90 * (a.n + b.n - k)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reached)
+SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(reached) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
 SQL = {
+    "op3_ngram_join": JOIN_SQL,
+    "op4_licenses": _license_sql(),
     "op1_line_dedup": r"""
 WITH l AS (
   SELECT doc_id, g.i AS pos, lines[g.i] AS line,
