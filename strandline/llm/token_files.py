@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from strandline.llm.common import cut
+
 INDEX_ROWS = 1000
 CACHE_WORDS = 500_000
 ROWS = 2048
@@ -159,6 +161,7 @@ def token_offsets(tokens: DataFrame) -> DataFrame:
 
 def with_starts(rows: DataFrame) -> DataFrame:
     """Adds to the rows of token_offsets what the files before theirs hold: a prefix sum over one row a file."""
+    rows = cut(rows, "offsets")  # read twice below; a few numbers a document
     files = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base"))
