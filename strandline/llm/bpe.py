@@ -30,9 +30,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 250_000
 #: Rows, and about as many characters, that are encoded together.
-ROWS, CHARS = 4096, 1 << 24
+ROWS, CHARS = 2048, 1 << 22
 #: Occurrences of a pair from which they are merged as arrays.
 MANY = 24
 #: White space to str.split() but not to the vocabulary's pattern.
