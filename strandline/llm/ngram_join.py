@@ -8,8 +8,9 @@ similar sets must agree in one of them. How many segments of either kind a band
 signatures written plus the false matches expected. A larger set that looks into the band below has a smaller H of its own
 there and skips (threshold -1) its shortest, least selective segments.
 
-Equal sets are one node from the start, whatever the number of copies. Signatures that two nodes share link them to the
-least of them; the components of these candidate links are verified exactly, each text moved to its group once: groups are
+Equal sets are one node from the start, whatever the number of copies. Nodes that share a signature are candidates unless
+their sizes or histograms over the hash universe already differ by more than H; what spans those candidates is kept. The
+components of the candidate links are verified exactly, each text moved to its group once: groups are
 cut into blocks of about BLOCK nodes and every two blocks of a group meet in a task, which counts all intersections by
 matrix products and returns a spanning forest of the true links, never all pairs. Components of those are the result.
 Shingles are 64-bit hashes: within two sets of 10^4 shingles the chance of any collision is below 10^-11.
@@ -38,7 +39,7 @@ SHINGLE, PERCENT = 3, 90
 BLOCK = 128
 CACHE_WORDS = 400_000
 #: Cost model: chance that an element of a segment is common stock, and the signatures that a false match costs.
-COMMON, FALSE_MATCH = 0.35, 1000.0
+COMMON, FALSE_MATCH = 0.35, 100.0
 COLUMNS = 8192
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -155,6 +156,31 @@ def signatures(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
+def histogram(tokens: np.ndarray) -> np.ndarray:
+    """How many elements fall into each of 2^k equal parts of the hash universe, about a quarter as many parts as elements.
+
+    Two sets differ in at least as many elements as their histograms' counts differ in; a finer one folds onto a coarser.
+    """
+    bits = max(4, (len(tokens) // 2).bit_length() - 1)
+    return np.minimum(np.bincount(tokens >> np.uint64(64 - bits), minlength=1 << bits), 255).astype(np.uint8)
+
+
+def _fold(counts: np.ndarray, parts: int) -> np.ndarray:
+    return counts.astype(np.int32).reshape(parts, -1).sum(1)
+
+
+def possible(sizes: np.ndarray, counts: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which pairs of a signature's nodes may have the wanted similarity, by size and by histogram; never a false no."""
+    parts = min(map(len, counts))
+    folded = np.array([_fold(c, parts) for c in counts])
+    a, b = np.minimum(sizes[:, None], sizes[None, :]), np.maximum(sizes[:, None], sizes[None, :])
+    out = a * 100 >= percent * b
+    for row in range(len(sizes)):  # a row at a time: memory grows with the nodes, not with their square times the parts
+        most = (sizes[row] + sizes) * (100 - percent) // (100 + percent)
+        out[row] &= np.abs(folded - folded[row]).sum(1) <= most
+    return out
+
+
 def _links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> np.ndarray:
     """Which of left and right (or of left among themselves) have the wanted similarity, as a matrix."""
     sets = left + (right or [])
@@ -211,17 +237,18 @@ def _forest(linked: np.ndarray, square: bool) -> list[tuple[int, int]]:
 
 
 def shingled(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, node (128-bit fingerprint of the shingle set), n."""
+    """doc_id, node (128-bit fingerprint of the shingle set), n, parts (its histogram)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = (shingle_set(t.as_py(), size) for t in batch.column(1))
-            rows = [(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), len(s)) for s in sets]
+            rows = [(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), len(s), histogram(s).tobytes()) for s in sets]
+            nodes, sizes, parts = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([r for r, _ in rows], pa.binary()), pa.array([n for _, n in rows], pa.int64())], names=["doc_id", "node", "n"]
+                [batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(parts, pa.binary())], names=["doc_id", "node", "n", "parts"]
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, node binary, n long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, node binary, n long, parts binary")
 
 
 def signed(texts: DataFrame, percent: int, size: int) -> DataFrame:
@@ -239,6 +266,28 @@ def signed(texts: DataFrame, percent: int, size: int) -> DataFrame:
     return texts.mapInArrow(run, "rep long, sigs array<long>")
 
 
+def candidates(shared: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) that span, for every signature, the nodes that may be similar; shared: sig, rep, n, parts (histogram)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: set[tuple[int, int]] = set()
+        for group in grouped(batches, ["sig"]):
+            if group.num_rows < 2:
+                continue
+            reps, sizes = group.column("rep").to_pylist(), group.column("n").to_numpy()
+            counts = [np.frombuffer(c, np.uint8) for c in group.column("parts").to_pylist()]
+            found.update((reps[x], reps[y]) for x, y in _forest(possible(sizes, counts, percent), True))
+            if len(found) > 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["u", "v"])
+                found = set()
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["u", "v"])
+
+    n = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = shared.select("sig", "rep", "n", "parts").repartition(n, "sig").sortWithinPartitions("sig", "rep")
+    return dealt.mapInArrow(run, "u long, v long")
+
+
 def verified(placed: DataFrame, percent: int, size: int) -> DataFrame:
     """Spanning links (u, v) of the true links within candidate groups; placed: rep, text, label, block, blocks."""
 
@@ -285,11 +334,19 @@ def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, block:
     reps = cut(known.groupBy("node").agg(F.min("doc_id").alias("rep")), "nodes")
     # candidate links: nodes with a common signature, to the least of them; of equal texts only one is looked at
     by_id = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    entries = signed(by_id.join(reps, "rep", "left_semi"), percent, size).select("rep", F.explode("sigs").alias("sig"))
+    entries = signed(by_id.join(reps.hint("merge"), "rep", "left_semi"), percent, size).select("rep", F.explode("sigs").alias("sig"))
     same = Window.partitionBy("sig")
-    entries = entries.withColumn("lead", F.min("rep").over(same))
-    stars = cut(entries.filter("lead <> rep").select("rep", "lead").distinct(), "candidates")
-    groups = components(stars, "rep", "lead")
+    entries = entries.select("sig", "rep", F.min("rep").over(same).alias("least"), F.max("rep").over(same).alias("most"))
+    shared = cut(entries.filter("least <> most").select("sig", "rep"), "shared")
+    looks = cut(sets.join(reps.hint("merge"), ["node"]).filter("doc_id = rep").select("rep", "n", "parts"), "looks")
+    # many signatures are shared by the same nodes: one of each such set is looked at
+    marks = shared.groupBy("sig").agg(
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("rep")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("h2")
+    )
+    firsts = marks.groupBy("size", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig")
+    once = shared.join(firsts.hint("merge"), "sig", "left_semi")
+    stars = cut(candidates(once.join(looks.hint("merge"), "rep"), percent).distinct(), "candidates")
+    groups = components(stars)
     members = cut(groups.unionByName(groups.select(F.col("label").alias("node"), "label").distinct()), "members")
     sizes = cut(members.groupBy("label").agg(F.count("*").alias("members")), "sizes")
     blocks = F.ceil(F.col("members") / block).cast("int")
@@ -297,9 +354,9 @@ def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, block:
         F.col("node").alias("rep"), "label", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), blocks.alias("blocks")
     )
     placed = cut(placed, "placed")
-    links = cut(verified(by_id.join(placed, "rep"), percent, size), "links")
+    links = cut(verified(by_id.join(placed.hint("merge"), "rep"), percent, size), "links")
     roots = components(links)
-    for done in (stars, members, sizes, placed):
+    for done in (shared, looks, stars, members, sizes, placed):
         discard(done)
     roots = cut(roots.select(F.col("node").alias("rep"), "label"), "roots")
     rows = sets.select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
