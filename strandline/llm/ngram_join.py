@@ -337,8 +337,10 @@ def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, block:
     entries = signed(by_id.join(reps.hint("merge"), "rep", "left_semi"), percent, size).select("rep", F.explode("sigs").alias("sig"))
     same = Window.partitionBy("sig")
     entries = entries.select("sig", "rep", F.min("rep").over(same).alias("least"), F.max("rep").over(same).alias("most"))
-    shared = cut(entries.filter("least <> most").select("sig", "rep"), "shared")
-    looks = cut(sets.join(reps.hint("merge"), ["node"]).filter("doc_id = rep").select("rep", "n", "parts"), "looks")
+    # rows that repeat a doc_id repeat its signatures; the marks below need each once
+    shared = cut(entries.filter("least <> most").select("sig", "rep").distinct(), "shared")
+    own = sets.join(reps.hint("merge"), ["node"]).filter("doc_id = rep").groupBy("node", "rep")
+    looks = cut(own.agg(F.first("n").alias("n"), F.first("parts").alias("parts")).drop("node"), "looks")
     # many signatures are shared by the same nodes: one of each such set is looked at
     marks = shared.groupBy("sig").agg(
         F.count("*").alias("size"), F.bit_xor(F.xxhash64("rep")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("h2")

@@ -196,6 +196,20 @@ def test_ngram_join_edges(spark, docs, texts, empty):
     assert sorted((r["doc_id"] or -1, r["component_id"] or -1) for r in out) == [(-1, -1), (5, 5), (5, 5), (9, 5)]
 
 
+@pytest.mark.parametrize("every", [1, 3])
+def test_ngram_join_of_repeated_rows(spark, every):
+    rng = random.Random(4)
+    rows = []
+    for _ in range(12):
+        w = sentence(rng, 60).split()
+        rows += [" ".join(w), " ".join([*w[:30], "other", *w[31:]]), " ".join([*w, "more"])]
+    rows = list(enumerate(rows))
+    rows += [r for r in rows if r[0] % every == 0]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.similar(df, 90, 3).collect()}
+    assert got == brute_join(rows, 90, 3)
+
+
 def test_pigeonhole_has_no_misses():
     rng = np.random.default_rng(3)
     for percent in (50, 80, 90):
