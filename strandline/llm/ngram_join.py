@@ -9,8 +9,8 @@ signatures written plus the false matches expected. A larger set that looks into
 there and skips (threshold -1) its shortest, least selective segments.
 
 Equal sets are one node from the start, whatever the number of copies. Nodes that share a signature are candidates unless
-their sizes or histograms over the hash universe already differ by more than H; what spans those candidates is kept. The
-components of the candidate links are verified exactly, each text moved to its group once: groups are
+their sizes or histograms over the hash universe already differ by more than H; what spans those candidates is kept. A
+signature's nodes are cut into blocks of about LOOKS for that, and every two blocks meet in a task. The components of the candidate links are verified exactly, each text moved to its group once: groups are
 cut into blocks of about BLOCK nodes and every two blocks of a group meet in a task, which counts all intersections by
 matrix products and returns a spanning forest of the true links, never all pairs. Components of those are the result.
 Shingles are 64-bit hashes: within two sets of 10^4 shingles the chance of any collision is below 10^-11.
@@ -37,6 +37,7 @@ from strandline.llm.graph import components
 
 SHINGLE, PERCENT = 3, 90
 BLOCK = 128
+LOOKS = 1024
 CACHE_WORDS = 400_000
 #: Cost model: chance that an element of a segment is common stock, and the signatures that a false match costs.
 COMMON, FALSE_MATCH = 0.35, 100.0
@@ -169,15 +170,15 @@ def _fold(counts: np.ndarray, parts: int) -> np.ndarray:
     return counts.astype(np.int32).reshape(parts, -1).sum(1)
 
 
-def possible(sizes: np.ndarray, counts: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which pairs of a signature's nodes may have the wanted similarity, by size and by histogram; never a false no."""
+def possible(sizes: np.ndarray, counts: list[np.ndarray], percent: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which of the nodes left and right may have the wanted similarity, by size and by histogram; never a false no."""
     parts = min(map(len, counts))
     folded = np.array([_fold(c, parts) for c in counts])
-    a, b = np.minimum(sizes[:, None], sizes[None, :]), np.maximum(sizes[:, None], sizes[None, :])
-    out = a * 100 >= percent * b
-    for row in range(len(sizes)):  # a row at a time: memory grows with the nodes, not with their square times the parts
-        most = (sizes[row] + sizes) * (100 - percent) // (100 + percent)
-        out[row] &= np.abs(folded - folded[row]).sum(1) <= most
+    across, n = folded[right], sizes[right]
+    out = np.zeros((len(left), len(right)), bool)
+    for row, k in enumerate(left):  # a row at a time: only the answers are a matrix
+        near = np.minimum(n, sizes[k]) * 100 >= percent * np.maximum(n, sizes[k])
+        out[row] = near & (np.abs(across - folded[k]).sum(1) <= (sizes[k] + n) * (100 - percent) // (100 + percent))
     return out
 
 
@@ -266,17 +267,29 @@ def signed(texts: DataFrame, percent: int, size: int) -> DataFrame:
     return texts.mapInArrow(run, "rep long, sigs array<long>")
 
 
-def candidates(shared: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) that span, for every signature, the nodes that may be similar; shared: sig, rep, n, parts (histogram)."""
+def in_blocks(shared: DataFrame, looks: int) -> DataFrame:
+    """shared with blocks bi and bj: a signature's nodes are cut into blocks of about looks, and every two blocks meet."""
+    blocks = F.ceil(F.col("members") / looks).cast("int")
+    own = shared.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+    own = own.withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return own.select("sig", "rep", "n", "parts", "block", F.least("block", "o").alias("bi"), F.greatest("block", "o").alias("bj"))
+
+
+def candidates(shared: DataFrame, percent: int, looks: int = LOOKS) -> DataFrame:
+    """Links (u, v) that span, for every signature, the nodes that may be similar; shared: sig, rep, n, parts (histogram),
+    members (how many nodes have the signature)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: set[tuple[int, int]] = set()
-        for group in grouped(batches, ["sig"]):
+        for group in grouped(batches, ["sig", "bi", "bj"]):
             if group.num_rows < 2:
                 continue
-            reps, sizes = group.column("rep").to_pylist(), group.column("n").to_numpy()
+            reps, sizes, block = group.column("rep").to_pylist(), group.column("n").to_numpy(), group.column("block").to_numpy()
             counts = [np.frombuffer(c, np.uint8) for c in group.column("parts").to_pylist()]
-            found.update((reps[x], reps[y]) for x, y in _forest(possible(sizes, counts, percent), True))
+            bi, bj = group.column("bi")[0].as_py(), group.column("bj")[0].as_py()
+            left, right = np.flatnonzero(block == bi), np.flatnonzero(block == bj)
+            links = _forest(possible(sizes, counts, percent, left, right), bi == bj)
+            found.update((reps[left[x]], reps[right[y]]) for x, y in links)
             if len(found) > 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["u", "v"])
                 found = set()
@@ -284,7 +297,7 @@ def candidates(shared: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["u", "v"])
 
     n = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = shared.select("sig", "rep", "n", "parts").repartition(n, "sig").sortWithinPartitions("sig", "rep")
+    dealt = in_blocks(shared, looks).repartition(n, "sig", "bi", "bj").sortWithinPartitions("sig", "bi", "bj", "rep")
     return dealt.mapInArrow(run, "u long, v long")
 
 
@@ -327,7 +340,7 @@ def verified(placed: DataFrame, percent: int, size: int) -> DataFrame:
     return met.mapInArrow(verify, "u long, v long")
 
 
-def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, block: int = BLOCK) -> DataFrame:
+def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, block: int = BLOCK, looks: int = LOOKS) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links): a row for each of docs."""
     sets = cut(shingled(docs, size), "shingled")
     known = sets.filter("n > 0 AND doc_id IS NOT NULL")
@@ -340,14 +353,14 @@ def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, block:
     # rows that repeat a doc_id repeat its signatures; the marks below need each once
     shared = cut(entries.filter("least <> most").select("sig", "rep").distinct(), "shared")
     own = sets.join(reps.hint("merge"), ["node"]).filter("doc_id = rep").groupBy("node", "rep")
-    looks = cut(own.agg(F.first("n").alias("n"), F.first("parts").alias("parts")).drop("node"), "looks")
+    seen = cut(own.agg(F.first("n").alias("n"), F.first("parts").alias("parts")).drop("node"), "looks")
     # many signatures are shared by the same nodes: one of each such set is looked at
     marks = shared.groupBy("sig").agg(
         F.count("*").alias("size"), F.bit_xor(F.xxhash64("rep")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("h2")
     )
-    firsts = marks.groupBy("size", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig")
-    once = shared.join(firsts.hint("merge"), "sig", "left_semi")
-    stars = cut(candidates(once.join(looks.hint("merge"), "rep"), percent).distinct(), "candidates")
+    firsts = marks.groupBy("size", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig", F.col("size").alias("members"))
+    once = shared.join(firsts.hint("merge"), "sig")
+    stars = cut(candidates(once.join(seen.hint("merge"), "rep"), percent, looks).distinct(), "candidates")
     groups = components(stars)
     members = cut(groups.unionByName(groups.select(F.col("label").alias("node"), "label").distinct()), "members")
     sizes = cut(members.groupBy("label").agg(F.count("*").alias("members")), "sizes")
@@ -358,7 +371,7 @@ def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, block:
     placed = cut(placed, "placed")
     links = cut(verified(by_id.join(placed.hint("merge"), "rep"), percent, size), "links")
     roots = components(links)
-    for done in (shared, looks, stars, members, sizes, placed):
+    for done in (shared, seen, stars, members, sizes, placed):
         discard(done)
     roots = cut(roots.select(F.col("node").alias("rep"), "label"), "roots")
     rows = sets.select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("node")).alias("node"))

@@ -210,6 +210,27 @@ def test_ngram_join_of_repeated_rows(spark, every):
     assert got == brute_join(rows, 90, 3)
 
 
+def test_ngram_join_of_a_hot_signature(spark):
+    shared = spark.createDataFrame([(7, k, 20, b"", 300) for k in range(300)], "sig long, rep long, n long, parts binary, members long")
+    met = defaultdict(list)
+    for r in ngram_join.in_blocks(shared, 32).collect():
+        met[r["bi"], r["bj"]].append(r["rep"])
+    assert len(met) == 55 and max(map(len, met.values())) <= 128
+    assert len({(a, b) for group in met.values() for a in group for b in group}) == 300 * 300
+    rng = random.Random(6)
+    rows = []
+    for _ in range(3):
+        base = sentence(rng, 60).split()
+        for _ in range(24):
+            w = list(base)
+            w[rng.randrange(50, 60)] = rng.choice(WORDS)
+            rows.append(" ".join(w))
+    rows = list(enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.similar(df, 90, 3, looks=4).collect()}
+    assert got == brute_join(rows, 90, 3)
+
+
 def test_pigeonhole_has_no_misses():
     rng = np.random.default_rng(3)
     for percent in (50, 80, 90):
