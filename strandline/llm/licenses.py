@@ -1,7 +1,8 @@
 """License scans: exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text, a template a known notice; both are sets of words. A block matches a template if it holds at
-least THRESHOLD of the template's words. Words are ordered by their frequency in the corpus, rarest first. Of a template
+A block is a line of a text, or a window of consecutive words across line ends that is as long as the template divided by
+THRESHOLD; a template is a known notice; all are sets of words. A block matches a template if it holds at least THRESHOLD
+of the template's words. Words are ordered by their frequency in the corpus, rarest first. Of a template
 of t words that needs o of them, at least one of the t - o + 1 rarest must be in the block (prefix filter); the block must
 hold o template words at all (length filter); and where the first shared word stands must leave enough words after it on
 both sides (positional filter). What passes is verified by the whole intersection.
@@ -79,7 +80,7 @@ def phrase_places(tokens: Column) -> Column:
 
 def scan(docs: DataFrame, threshold: float = THRESHOLD, templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """docs without `text`, with n_words, n_base, first_word, last_word, base_labels, labels, score and
-    spans (block number and label of every block that matches a template)."""
+    spans (line number and label of every block that matches a template; a window has the line that it starts in)."""
     spark = docs.sparkSession
     templates = TEMPLATES if templates is None else templates
     sets = [template_words(t) for _, t in templates]
@@ -93,10 +94,15 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates: list[tuple[st
     places = F.when(has_end, phrase_places(F.col("tokens"))).otherwise(F.array().cast("array<struct<start:bigint,label:string>>"))
     blocks = F.transform(F.split("body", "\n"), lambda line: F.array_distinct(F.filter(words(line), lambda w: w.isin(vocabulary))))
     smallest = min(_needed(len(s), threshold) for s in sets)
+    widths = [_needed(len(re.findall(r"[0-9a-z]+", t)), 1 / threshold) for _, t in templates]
+    wide = _wide_blocks(F.col("lined"), max(widths), vocabulary, smallest)
     numbered = F.filter(
         F.transform(blocks, lambda b, i: F.struct(i.alias("no"), b.alias("words"))), lambda b: F.size(b["words"]) >= smallest
     )
-    rows = cut(rows.select("row", "uid", F.size("tokens").cast("long").alias("n_words"), places.alias("places"), numbered.alias("blocks")), "licenses")
+    lined = F.flatten(F.transform(F.split("body", "\n"), lambda line, no: F.transform(words(line), lambda w: F.struct(no.alias("no"), w.alias("w")))))
+    rows = rows.withColumn("lined", F.when(F.instr("body", "\n") > 0, lined).otherwise(F.slice(lined, 1, 0)))
+    n_words = F.size("tokens").cast("long").alias("n_words")
+    rows = cut(rows.select("row", "uid", n_words, places.alias("places"), numbered.alias("blocks"), wide.alias("wide")), "licenses")
 
     each = rows.select("uid", F.explode("blocks").alias("b")).select("uid", "b.no", "b.words")
     counts = dict(each.select(F.explode("words").alias("w")).groupBy("w").count().collect())  # a row a template word
@@ -106,8 +112,8 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates: list[tuple[st
         ordered = sorted(own, key=rank.get)
         needed = _needed(len(ordered), threshold)
         for place, w in enumerate(ordered[: len(ordered) - needed + 1]):
-            index.append((rank[w], number, label, place, len(ordered), needed, [rank[x] for x in ordered]))
-    index = spark.createDataFrame(index, "token int, template int, label string, place int, size int, needed int, ranks array<int>")
+            index.append((rank[w], number, label, place, len(ordered), needed, [rank[x] for x in ordered], widths[number]))
+    index = spark.createDataFrame(index, "token int, template int, label string, place int, size int, needed int, ranks array<int>, width int")
     firsts = sorted({r for own in sets for r in sorted(rank[w] for w in own)[: len(own) - _needed(len(own), threshold) + 1]})
     ranked = F.array_sort(F.transform("words", lambda w: _rank_of(w, rank)))
     each = each.select("uid", "no", ranked.alias("ranks_b"))
@@ -120,6 +126,7 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates: list[tuple[st
     )
     overlap = F.size(F.array_intersect("ranks_b", "ranks"))
     hits = met.filter(overlap >= F.col("needed")).select("uid", "no", "label", (overlap / F.col("size")).alias("held"))
+    hits = hits.unionByName(_wide_hits(rows, rank, firsts, index))
     found = hits.groupBy("uid").agg(
         F.collect_set("label").alias("method_labels"), F.max("held").alias("held"), F.array_sort(F.collect_set(F.struct("no", "label"))).alias("spans")
     )
@@ -140,6 +147,38 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates: list[tuple[st
     )
 
 
+def _wide_blocks(lined: Column, width: int, vocabulary: list[str], smallest: int) -> Column:
+    """Template words (no: line, pos, w) of blocks of 2 width words, a block every width words, so that a window of at most
+    width words lies in one of them whole. Only blocks across line ends with enough template words are kept."""
+
+    def block(k: Column) -> Column:
+        part = F.transform(F.slice(lined, k * width + 1, 2 * width), lambda x, i: F.struct(x["no"].alias("no"), i.alias("pos"), x["w"].alias("w")))
+        return F.filter(part, lambda x: x["w"].isin(vocabulary))
+
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size(lined) / width).cast("int") - 2))
+    crosses = lambda b: F.get(b, F.lit(0))["no"] < F.try_element_at(b, F.lit(-1))["no"]
+    return F.filter(F.transform(starts, block), lambda b: (F.size(b) >= smallest) & crosses(b))
+
+
+def _wide_hits(rows: DataFrame, rank: dict[str, int], firsts: list[int], index: DataFrame) -> DataFrame:
+    """uid, no, label, held of the windows across line ends that match, by the prefix filter on their blocks."""
+    own = rows.select("uid", F.explode("wide").alias("b"))
+    own = own.select("uid", F.transform("b", lambda x: F.struct(x["no"].alias("no"), x["pos"].alias("pos"), _rank_of(x["w"], rank).alias("r"))).alias("b"))
+    probe = F.array_distinct(F.filter(F.transform("b", lambda x: x["r"]), lambda r: r.isin(firsts)))
+    met = own.select("uid", "b", F.explode(probe).alias("token")).join(F.broadcast(index), "token")
+    met = met.withColumn("b", F.filter("b", lambda x: F.array_contains("ranks", x["r"])))
+    met = met.filter(F.size(F.array_distinct(F.transform("b", lambda x: x["r"]))) >= F.col("needed"))
+
+    def window(start: Column) -> Column:
+        inside = F.filter("b", lambda x: (x["pos"] >= start["pos"]) & (x["pos"] < start["pos"] + F.col("width")))
+        held = F.size(F.array_distinct(F.transform(inside, lambda x: x["r"])))
+        crosses = F.try_element_at(inside, F.lit(-1))["no"] > start["no"]
+        return F.struct(F.when(crosses, held).otherwise(0).alias("held"), (-start["pos"]).alias("early"), start["no"].alias("no"))
+
+    best = met.select("uid", "label", "size", "needed", F.array_max(F.transform("b", window)).alias("best"))
+    return best.filter(F.col("best.held") >= F.col("needed")).select("uid", "best.no", "label", (F.col("best.held") / F.col("size")).alias("held"))
+
+
 def _needed(size: int, threshold: float) -> int:
     return max(1, -int(-(threshold * size - 1e-9) // 1))
 

@@ -8,6 +8,7 @@ import os
 import random
 import re
 import struct
+import textwrap
 import wave
 import zlib
 from collections import defaultdict
@@ -275,6 +276,23 @@ def test_licenses(spark, docs, texts, empty):
     assert [(s["no"], s["label"]) for s in spans] == [(1, "mit")]
 
 
+def test_licenses_wrapped(spark):
+    rng = random.Random(12)
+    label, rows = {}, []
+    for k, (own, template) in enumerate(licenses.TEMPLATES):
+        for shift in range(3):
+            lines = textwrap.wrap(("filler " * (9 * shift) + template).strip(), 72 - 10 * shift)
+            body = "\n * ".join([sentence(rng, 40 + 7 * k), *lines, sentence(rng, 50)])
+            label[len(rows)] = own
+            rows.append((len(rows), body))
+    scattered = licenses.TEMPLATES[6][1].split()
+    rows.append((len(rows), "\n".join(f"{w} " + "filler " * 9 for w in scattered)))
+    got = by_id(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")))
+    for i, own in label.items():
+        assert own in got[i]["labels"].split(",") and got[i]["score"] == 1.0, rows[i]
+    assert got[len(rows) - 1]["labels"] == "" and got[len(rows) - 1]["spans"] == []
+
+
 # language ID
 
 
