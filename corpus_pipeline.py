@@ -22,7 +22,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     held_out = language_id.held_out(F.col("doc_id"))
     profiles = language_id.train(docs.filter(~held_out))
     found = language_id.predict(docs, profiles)
-    kept = found.filter(F.col("lang_pred") != language_id.UNKNOWN)
+    kept = found.filter((F.col("lang_pred") != language_id.UNKNOWN) | F.col("text").rlike(r"\p{L}"))
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 

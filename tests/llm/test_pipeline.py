@@ -61,3 +61,10 @@ def test_run_equals_stages(spark, tmp_path):
     spark.createDataFrame(corpus(), SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     a, b = (sorted((r["doc_id"], r["ids_sha256"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) for _ in range(2))
     assert a == b and a
+
+
+def test_language_stage_without_languages(spark, tmp_path):
+    rows = [(i, t, None, s, n) for i, t, _, s, n in corpus()]
+    out = corpus_pipeline.identify_language(spark, spark.createDataFrame(rows, SCHEMA), str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in out) == [i for i, t, *_ in rows if t and any(c.isalpha() for c in t)]
+    assert {r["lang"] for r in out} == {"und"}
