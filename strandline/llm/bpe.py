@@ -5,13 +5,15 @@ words of the batch lie behind one another in one symbol array. The index maps ea
 positions of its pair. Active ranks come off a heap in ascending order; each is applied at all its positions at once, and
 the lists of the pairs to the left and right of a merge are updated. A merge only makes pairs of later ranks (its symbol
 did not exist before), so one ascending pass is the exact BPE result for every word. Results are kept per chunk in a
-bounded cache; overflow empties it and costs time only.
+cache that is bounded by bytes; overflow empties it and costs time only.
 
 Vocabularies are files in the format of the tokenizers library; their path is a parameter. Supported here: BPE with an
-end-of-word suffix, byte-level symbols, a Split pattern, and the normalizers NFC, white space to one space, Lowercase.
+end-of-word suffix, byte-level symbols, a Split pattern, and the normalizers NFC, white space to one space, Lowercase; a
+file with others is refused.
 
 Defined results: null and empty text give no ids and the empty decoding; special tokens that stand in a text become
-their ids, as in the library; rows that repeat are encoded each; other columns pass through, whatever their names.
+their ids, as in the library; rows that repeat are encoded each; other columns pass through, with underscores behind
+names that the result has itself.
 """
 
 from __future__ import annotations
@@ -22,17 +24,21 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CACHE_CHUNKS = 250_000
-#: Rows, and about as many characters, that are encoded together.
-ROWS, CHARS = 2048, 1 << 22
+from strandline.llm.common import column_of, held, passed, slices, tidy
+
+#: Bytes of the cache, as estimated, in a worker; rows, and about as many bytes of text, that are encoded together.
+CACHE_BYTES = 48 << 20
+ROWS, OCTETS = 2048, 1 << 20
+#: What an entry costs besides its characters: two dictionaries' slots, three objects and a pair.
+ENTRY = 420
 #: Occurrences of a pair from which they are merged as arrays.
 MANY = 24
 #: White space to str.split() but not to the vocabulary's pattern.
@@ -50,9 +56,12 @@ def byte_symbols() -> list[str]:
 class PairIndexBpe:
     """Encodes texts; `decoded` and `ids` of a text come from the same cached chunks."""
 
-    def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        if spec["model"]["type"] != "BPE" or kinds != ["NFC", "Replace", "Lowercase"]:
+            raise ValueError(f"{path}: {spec['model']['type']} after {kinds} is not supported")
         model = spec["model"]
         self.suffix = model["end_of_word_suffix"] or ""
         vocab: dict[str, int] = model["vocab"]
@@ -79,7 +88,7 @@ class PairIndexBpe:
         (split,) = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.words = regex.compile(split["pattern"]["Regex"])
         self.chunks: dict[str, tuple[bytes, str]] = {}
-        self.cache_chunks = cache_chunks
+        self.cache_bytes, self.held_bytes = cache_bytes, 0
 
     @staticmethod
     def normalize(text: str) -> str:
@@ -187,6 +196,7 @@ class PairIndexBpe:
         for w, got in zip(words, self.encode_words(words), strict=True):
             known[w] = (array("I", got).tobytes(), " ".join([token[i] for i in got]))
         chunks = self.chunks
+        self.held_bytes += sum(ENTRY + 6 * len(c) for c in fresh)
         for chunk, ws in zip(fresh, cut, strict=True):
             if len(ws) == 1:
                 chunks[chunk] = known[ws[0]]
@@ -199,9 +209,10 @@ class PairIndexBpe:
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """For each text its ids (little-endian unsigned 32-bit) and its decoding (tokens joined by one space)."""
-        if len(self.chunks) > self.cache_chunks:
+        if self.held_bytes > self.cache_bytes:
             self.chunks.clear()
             self.known_words.clear()
+            self.held_bytes = 0
         parts = []  # for each text: lists of chunks, and ids of special tokens
         for text in texts:
             if self.special_split is not None and "<" in text and self.special_split.search(text):
@@ -231,10 +242,9 @@ class PairIndexBpe:
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
 
 
-@lru_cache(2)
 def encoder(path: str) -> PairIndexBpe:
     """One encoder a Python worker: its cache serves the tasks that follow."""
-    return PairIndexBpe(path)
+    return held(("bpe", path), lambda: PairIndexBpe(path))
 
 
 def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -244,31 +254,24 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     """
     keep = [f for f in docs.schema.fields if f.name != "text"]
     new = [("ids", T.BinaryType()), ("n_tokens", T.LongType()), ("decoded", T.StringType())]
-    # other columns that are called like the new ones come back under their name with a trailing underscore
-    names = [f.name + "_" if f.name in dict(new) else f.name for f in keep]
+    names = list(passed([f.name for f in keep], dict(new)).values())
     schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, keep, strict=True)] + [T.StructField(n, t) for n, t in new])
-    renamed = docs.select(*[docs[f.name].alias(n) for n, f in zip(names, keep, strict=True)], docs["text"].alias("__text"))
+    renamed = docs.select(*[column_of(f.name).alias(n) for n, f in zip(names, keep, strict=True)], F.col("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocabulary)
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            start = 0
-            while start < len(texts):
-                stop, chars = start, 0
-                while stop < len(texts) and stop - start < ROWS and (chars < CHARS or stop == start):
-                    chars += len(texts[stop])
-                    stop += 1
-                got = bpe.encode(texts[start:stop])
+            texts = batch.column(batch.num_columns - 1)
+            for start, n in slices(texts, ROWS, OCTETS):
+                got = bpe.encode([t or "" for t in texts.slice(start, n).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *batch.slice(start, stop - start).columns[:-1],
+                        *batch.slice(start, n).columns[:-1],
                         pa.array([i for i, _ in got], pa.binary()),
                         pa.array([len(i) // 4 for i, _ in got], pa.int64()),
                         pa.array([d for _, d in got], pa.string()),
                     ],
                     names=[*names, *dict(new)],
                 )
-                start = stop
 
-    return renamed.mapInArrow(run, schema)
+    return renamed.mapInArrow(tidy(run), schema)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import ctypes
 import string
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,7 @@ SPACE = " \t\n\x0b\f\r"  # [\x20\x09-\x0D]
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 _own_dir: str | None = None
+_held: tuple[Any, Any] = (None, None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,17 +28,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a local one where it is unset, as in tests."""
+    """The folder that driver and executors share (spark.checkpoint.dir). Where it is unset, a folder of this machine if
+    driver and executors are one process, as in tests; on a cluster that would lose rows, so it is an error there."""
     global _own_dir
     if found := spark.conf.get("spark.checkpoint.dir", None):
         return found.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
     if _own_dir is None:
         _own_dir = "file://" + tempfile.mkdtemp(prefix="strandline-")
     return _own_dir
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written[path] = spark
+    return path
+
+
+_written: dict[str, SparkSession] = {}
+
+
+def clean(spark: SparkSession, since: int = 0, but: tuple[str, ...] = ()) -> None:
+    """Delete what cut() and new_path() wrote for this session, from the since-th path on; only when no frame that is
+    still to be computed reads it. What is left is deleted when the driver ends."""
+    for path in list(_written)[since:]:
+        if path not in but and _written[path] is spark:
+            delete(spark, path)
+
+
+@atexit.register
+def _clean_all() -> None:
+    for spark in {id(s): s for s in _written.values()}.values():
+        try:
+            if not spark._jsc.sc().isStopped():
+                clean(spark)
+        except Exception:  # noqa: BLE001, PERF203 - the session may end before the process does
+            return
+
+
+def written() -> int:
+    """How many paths were written so far, for clean()."""
+    return len(_written)
 
 
 def cut(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
@@ -59,6 +96,68 @@ def discard(df: DataFrame) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    _written.pop(path, None)
+
+
+def column_of(column: str) -> Column:
+    """The column of that name, whatever characters it has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def passed(columns: Iterable[str], new: Iterable[str]) -> dict[str, str]:
+    """Name in the result of every column that passes through: its own, with as many underscores behind it as make it
+    differ from the new columns and from the other ones (upper and lower case are the same to Spark)."""
+    columns = list(columns)
+    taken = {c.lower() for c in new}
+    out = {}
+    for c in columns:
+        out[c] = c
+        if c.lower() in taken:
+            while out[c].lower() in taken | {x.lower() for x in columns}:
+                out[c] += "_"
+        taken.add(out[c].lower())
+    return out
+
+
+def held(key: Any, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task: that of one operator at a time, so that stages which run in the same
+    workers never add up."""
+    global _held
+    if _held[0] != key:
+        _held = (None, None)
+        trim()
+        _held = (key, make())
+    return _held[1]
+
+
+def trim() -> None:
+    """Give memory that is free back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run as the function of a task that leaves no free memory behind in its worker."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        trim()
+
+    return task
+
+
+def slices(texts: pa.Array, rows: int, octets: int) -> Iterator[tuple[int, int]]:
+    """(start, number) of pieces of a text or binary column of at most `rows` rows and about `octets` bytes, a row at least."""
+    ends = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).cumsum(dtype="int64")
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, min(start + rows, int(ends.searchsorted(before + octets, "right"))))
+        yield start, stop - start
+        start = stop
 
 
 def ascii_lower(x: Column) -> Column:

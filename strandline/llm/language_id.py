@@ -11,7 +11,7 @@ than MAX_LANGUAGES languages are refused, so what goes to the tasks has a fixed
 
 Defined results: null text, or text without a letter, is `und` with score 0; so is every text if nothing was learned.
 Equal cosines go to the language first in code-point order. Rows that repeat are each predicted. Rows of null language
-never train.
+never train. Other columns pass through, with underscores behind names that the result has itself.
 """
 
 from __future__ import annotations
@@ -26,13 +26,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strandline.llm.common import column_of, held, passed, slices, tidy
 
 DIMENSIONS, ORDER, SEED = 1024, 3, 20240501
 MAX_LANGUAGES = 1000
 FLUSH = 200_000
-BANK_ROWS = 20_000
-ROWS = 64
-CHARS = 1 << 22
+BANK_ROWS, BANK_LETTERS = 20_000, 4096
+ROWS, GRAMS = 64, 4096
+OCTETS = 1 << 22
 UNKNOWN = "und"
 
 
@@ -59,56 +62,54 @@ def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 class VectorBank:
-    """Vectors of n-grams, kept in a bounded table."""
+    """Vectors of n-grams, kept in a bounded table of signs, a byte each."""
 
     def __init__(self, dimensions: int = DIMENSIONS, seed: int = SEED):
         self.dimensions, self.seed = dimensions, seed
         self.letters: dict[int, np.ndarray] = {}
         self.rows: dict[int, int] = {}
-        self.table = np.zeros((BANK_ROWS, dimensions), np.float32)
+        self.table = np.zeros((BANK_ROWS, dimensions), np.int8)
 
     def letter(self, point: int) -> np.ndarray:
         if point not in self.letters:
-            self.letters[point] = np.random.default_rng([self.seed, point]).integers(0, 2, self.dimensions) * 2.0 - 1.0
+            if len(self.letters) >= BANK_LETTERS:
+                self.letters.clear()
+            self.letters[point] = (np.random.default_rng([self.seed, point]).integers(0, 2, self.dimensions) * 2 - 1).astype(np.int8)
         return self.letters[point]
 
     def bind(self, gram: int) -> np.ndarray:
-        out = np.ones(self.dimensions)
+        out = np.ones(self.dimensions, np.int8)
         for k in range(ORDER):
             point = gram >> 21 * (ORDER - 1 - k) & 0x1FFFFF
             out *= np.roll(self.letter(point), ORDER - 1 - k)
         return out
 
     def vectors(self, grams: np.ndarray) -> np.ndarray:
-        """One row for each of the distinct grams."""
+        """One row for each of at most GRAMS distinct grams."""
         rows = self.rows
         listed = grams.tolist()
         missing = [g for g in listed if g not in rows]
         if len(rows) + len(missing) > BANK_ROWS:
             rows.clear()
-            if len(self.letters) > BANK_ROWS:
-                self.letters.clear()
             missing = listed
-        if len(missing) > BANK_ROWS:
-            return np.array([self.bind(g) for g in listed], np.float32)
         for g in missing:
             self.table[len(rows)] = self.bind(g)
             rows[g] = len(rows)
-        return self.table[[rows[g] for g in listed]]
+        return self.table[[rows[g] for g in listed]].astype(np.float32)
 
     def bundle(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """The integer bundle of one bag of n-grams."""
         out = np.zeros(self.dimensions)
-        for k in range(0, len(grams), 4096):
-            out += counts[k : k + 4096].astype(np.float64) @ self.vectors(grams[k : k + 4096])
+        for k in range(0, len(grams), GRAMS):
+            out += counts[k : k + GRAMS].astype(np.float64) @ self.vectors(grams[k : k + GRAMS])
         return np.rint(out).astype(np.int64)
 
     def bundles(self, bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """The bundles of some texts, by one product of their count matrix with the n-grams' vectors."""
         every = np.unique(np.concatenate([g for g, _ in bags]))
         out = np.zeros((len(bags), self.dimensions))
-        for k in range(0, len(every), 4096):
-            own = every[k : k + 4096]
+        for k in range(0, len(every), GRAMS):
+            own = every[k : k + GRAMS]
             matrix = np.zeros((len(bags), len(own)), np.float32)
             for row, (grams, counts) in enumerate(bags):
                 lo, hi = np.searchsorted(grams, own[0]), np.searchsorted(grams, own[-1], "right")
@@ -117,9 +118,8 @@ class VectorBank:
         return out
 
 
-@lru_cache(1)
 def bank() -> VectorBank:
-    return VectorBank()
+    return held("language_id", VectorBank)
 
 
 @dataclass
@@ -149,7 +149,6 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = {}
         sums: dict[str, np.ndarray] = {}
-        held = 0
 
         def flush() -> None:
             for name, bag in counts.items():
@@ -158,29 +157,22 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
             counts.clear()
 
         for batch in batches:
-            names = np.array(batch.column(1).to_pylist(), object)
-            texts = batch.column(0)
-            for name in dict.fromkeys(names):
-                own, chars = [], 0
-                for k in np.flatnonzero(names == name).tolist():
-                    own.append(texts[k].as_py())
-                    chars += len(own[-1])
-                    if chars > CHARS:
-                        counts.setdefault(name, Counter()).update(dict(zip(*(x.tolist() for x in ngrams(" ".join(own))), strict=True)))
-                        own, chars = [], 0
-                if own:
-                    counts.setdefault(name, Counter()).update(dict(zip(*(x.tolist() for x in ngrams(" ".join(own))), strict=True)))
-            held = sum(map(len, counts.values()))
-            if held > FLUSH:
-                flush()
+            for start, n in slices(batch.column(0), batch.num_rows, OCTETS):
+                own: dict[str, list[str]] = {}
+                for name, said in zip(batch.column(1).slice(start, n).to_pylist(), batch.column(0).slice(start, n).to_pylist(), strict=True):
+                    own.setdefault(name, []).append(said)
+                for name, said in own.items():
+                    counts.setdefault(name, Counter()).update(dict(zip(*(x.tolist() for x in ngrams(" ".join(said))), strict=True)))
+                if sum(map(len, counts.values())) > FLUSH:
+                    flush()
         flush()
         for name, total in sums.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name] * DIMENSIONS), pa.array(range(DIMENSIONS), pa.int32()), pa.array(total, pa.int64())], names=["lang", "d", "v"]
             )
 
-    known = rows.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("t"), F.col(lang).alias("l"))
-    parts = known.mapInArrow(run, "lang string, d int, v long")
+    known = rows.select(column_of(text).alias("t"), column_of(lang).alias("l")).filter("t IS NOT NULL AND l IS NOT NULL")
+    parts = known.mapInArrow(tidy(run), "lang string, d int, v long")
     summed = parts.groupBy("lang", "d").agg(F.sum(F.col("v").cast("double")).alias("v"))
     vectors = summed.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("d", "v"))).alias("vs"))
     found = vectors.limit(MAX_LANGUAGES + 1).collect()
@@ -195,30 +187,24 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
 
 
 def predict(docs: DataFrame, profiles: Profiles, pred: str = "lang_pred", score: str = "lang_score") -> DataFrame:
-    """docs with the predicted language and its cosine added (they replace columns of those names)."""
-    keep = [c for c in docs.columns if c not in (pred, score)]
+    """docs with the predicted language and its cosine added."""
+    keep = passed(docs.columns, (pred, score))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
-            start = 0
-            while start < batch.num_rows:
-                part, chars = [], 0
-                while start + len(part) < batch.num_rows and len(part) < 4 * ROWS and chars < CHARS:
-                    part.append(texts[start + len(part)].as_py() or "")
-                    chars += len(part[-1])
-                names, scores = profiles.predict(part)
+            for start, n in slices(texts, 4 * ROWS, OCTETS):
+                names, scores = profiles.predict([t or "" for t in texts.slice(start, n).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(start, len(part)).columns[:-1], pa.array(names), pa.array(scores, pa.float64())], names=[*keep, pred, score]
+                    [*batch.slice(start, n).columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                    names=[*keep.values(), pred, score],
                 )
-                start += len(part)
-
-    from pyspark.sql import types as T
 
     schema = T.StructType(
-        [docs.schema[c] for c in keep] + [T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())]
+        [T.StructField(keep[f.name], f.dataType) for f in docs.schema.fields] + [T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())]
     )
-    return docs.select(*[docs[c] for c in keep], docs["text"].alias("__text")).mapInArrow(run, schema)
+    last = docs.select(*[column_of(c).alias(n) for c, n in keep.items()], F.col("text").alias(next(iter(passed(["text"], [*keep.values()]).values()))))
+    return last.mapInArrow(tidy(run), schema)
 
 
 def held_out(doc_id: Column) -> Column:

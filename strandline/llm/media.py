@@ -24,7 +24,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from strandline.llm.common import column_of, slices, tidy
+
 BLOCK = 192
+#: Rows, and about as many bytes, that a task has in hand.
+ROWS, OCTETS = 1024, 4 << 20
 RATE = 8000
 
 
@@ -197,19 +201,21 @@ def store(df: DataFrame, text: str, key: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = [(t or "").encode() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([wav(pad(r)) for r in raw], pa.binary()),
-                    pa.array([len(r) for r in raw], pa.int64()),
-                    pa.array(["application/octet-stream"] * len(raw)),
-                ],
-                names=[key, "media", "n_bytes", "declared_type"],
-            )
+            for start, n in slices(batch.column(1), ROWS, OCTETS):
+                part = batch.slice(start, n)
+                raw = [(t or "").encode() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array([wav(pad(r)) for r in raw], pa.binary()),
+                        pa.array([len(r) for r in raw], pa.int64()),
+                        pa.array(["application/octet-stream"] * len(raw)),
+                    ],
+                    names=[key, "media", "n_bytes", "declared_type"],
+                )
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, media binary, n_bytes long, declared_type string")
+    return df.select(column_of(key), column_of(text)).mapInArrow(tidy(run), f"`{key}` {kind}, media binary, n_bytes long, declared_type string")
 
 
 def inspect(media: DataFrame, key: str) -> DataFrame:
@@ -217,29 +223,31 @@ def inspect(media: DataFrame, key: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = [m or b"" for m in batch.column(1).to_pylist()]
-            found = [sniff(m) for m in data]
-            kinds = [corrected_type(t, f) for t, f in zip(batch.column(3).to_pylist(), found, strict=True)]
-            payload = [samples(m) if k == "audio/wav" else m for m, k in zip(data, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(2),
-                    pa.array(kinds, pa.string()),
-                    pa.array([len(p) for p in payload], pa.int64()),
-                    pa.array([hashlib.sha256(p).hexdigest() for p in payload]),
-                    pa.array([zlib.crc32(p[-16:]) for p in payload], pa.int64()),
-                    pa.array([len(m) for m in data], pa.int64()),
-                    pa.array([hashlib.sha256(m).hexdigest() for m in data]),
-                    pa.array([features(p) if p else "" for p in payload]),
-                    pa.array([sum(f.start > 0 for f in fs) for fs in found], pa.int64()),
-                ],
-                names=[key, "n_bytes", "media_type", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_carved"],
-            )
+            for start, n in slices(batch.column(1), ROWS, OCTETS):
+                part = batch.slice(start, n)
+                data = [m or b"" for m in part.column(1).to_pylist()]
+                found = [sniff(m) for m in data]
+                kinds = [corrected_type(t, f) for t, f in zip(part.column(3).to_pylist(), found, strict=True)]
+                payload = [samples(m) if k == "audio/wav" else m for m, k in zip(data, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        part.column(2),
+                        pa.array(kinds, pa.string()),
+                        pa.array([len(p) for p in payload], pa.int64()),
+                        pa.array([hashlib.sha256(p).hexdigest() for p in payload]),
+                        pa.array([zlib.crc32(p[-16:]) for p in payload], pa.int64()),
+                        pa.array([len(m) for m in data], pa.int64()),
+                        pa.array([hashlib.sha256(m).hexdigest() for m in data]),
+                        pa.array([features(p) if p else "" for p in payload]),
+                        pa.array([sum(f.start > 0 for f in fs) for fs in found], pa.int64()),
+                    ],
+                    names=[key, "n_bytes", "media_type", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_carved"],
+                )
 
     kind = media.schema[key].dataType.simpleString()
-    return media.select(key, "media", "n_bytes", "declared_type").mapInArrow(
-        run,
+    return media.select(column_of(key), "media", "n_bytes", "declared_type").mapInArrow(
+        tidy(run),
         f"`{key}` {kind}, n_bytes long, media_type string, payload_bytes long, payload_sha256 string, tail_crc32 long,"
         " media_bytes long, media_sha256 string, feature string, n_carved long",
     )

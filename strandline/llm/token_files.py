@@ -12,10 +12,10 @@ their text; a null doc_id comes first; an empty table writes no rows.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from strandline.llm.common import cut
+from strandline.llm.common import cut, held, slices, tidy
 
 INDEX_ROWS = 1000
-CACHE_WORDS = 500_000
-ROWS = 2048
+#: Bytes of the cache, as estimated, in a worker, and what an entry costs besides its characters.
+CACHE_BYTES, ENTRY = 32 << 20, 190
+ROWS, OCTETS = 2048, 1 << 20
 LINE_END = "\n"
 #: White space other than space and line end, and runs of it: texts with any of these are encoded whole.
 OTHER_SPACE = [*"\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000\0", *map(chr, range(0x2000, 0x200B)), "  ", " \n", "\n ", "\n\n"]
@@ -38,16 +39,19 @@ INNER_STOP = re.compile(r"[,.](?<=[\W_].)")
 class WordCache:
     """Ids of texts by the tokenizers library. A byte-level pattern never joins text across the start of a space or line
     end that follows a word, nor across a comma or stop that follows a letter or digit; so what the library gives for
-    each such piece alone is kept and put together. New pieces of a batch are encoded in few calls, one a line."""
+    each such piece alone is kept and put together. New pieces of a batch are encoded in few calls, one a line. That rule
+    holds for the byte-level pattern alone: texts of other vocabularies are encoded whole."""
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         self.tokenizer = Tokenizer.from_file(path)
+        self.byte_level = is_byte_level(json.loads(self.tokenizer.to_str()))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = OTHER_SPACE + self.special
-        (self.line_end,) = self.tokenizer.encode(LINE_END, add_special_tokens=False).ids
-        self.cache_words = cache_words
+        if self.byte_level:
+            (self.line_end,) = self.tokenizer.encode(LINE_END, add_special_tokens=False).ids
+        self.cache_bytes, self.held_bytes = cache_bytes, 0
         self.known: dict[str, bytes] = {}
 
     def _learn(self, pieces: list[str]) -> None:
@@ -66,6 +70,8 @@ class WordCache:
         """The pieces of text, or None where it has to be encoded whole."""
         if not text:
             return []
+        if not self.byte_level:
+            return None
         if text[0].isspace() or text[-1].isspace() or any(s in text for s in self.whole):
             return None
         cut = text.replace(" ", "\0 ").replace(LINE_END, "\0\n\0")
@@ -75,9 +81,11 @@ class WordCache:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         known = self.known
-        if len(known) > self.cache_words:
+        if self.held_bytes > self.cache_bytes:
             known.clear()
-        known[""], known[LINE_END] = b"", self.line_end.to_bytes(4, "little")
+            self.held_bytes = 0
+        if self.byte_level:
+            known[""], known[LINE_END] = b"", self.line_end.to_bytes(4, "little")
         cut = [self._pieces(t) for t in texts]
         fresh: set[str] = set()
         for pieces in cut:
@@ -85,6 +93,7 @@ class WordCache:
                 fresh.update(pieces)
         fresh.difference_update(known)
         if fresh:
+            self.held_bytes += sum(ENTRY + 3 * len(x) for x in fresh)
             self._learn(list(fresh))
         hard = [t for t, pieces in zip(texts, cut, strict=True) if pieces is None]
         whole = iter(self.tokenizer.encode_batch_fast(hard, add_special_tokens=False) if hard else [])
@@ -92,9 +101,15 @@ class WordCache:
         return [np.array(next(whole).ids, "<u4").tobytes() if p is None else b"".join(map(get, p)) for p in cut]
 
 
-@lru_cache(2)
+def is_byte_level(spec: dict) -> bool:
+    """Whether the file is a plain byte-level BPE with the usual pattern, with nothing before or behind it."""
+    cut = spec["pre_tokenizer"] or {}
+    plain = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
+    return bool(plain and spec["model"]["type"] == "BPE" and spec["normalizer"] is None and not spec["model"].get("continuing_subword_prefix"))
+
+
 def word_cache(path: str) -> WordCache:
-    return WordCache(path)
+    return held(("token_files", path), lambda: WordCache(path))
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, partitions: int | None = None) -> None:
@@ -107,8 +122,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, pa
         cache = word_cache(tokenizer)
         seq = 0
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                part = batch.slice(start, ROWS)
+            for start, rows in slices(batch.column(1), ROWS, OCTETS):
+                part = batch.slice(start, rows)
                 ids = [x + end for x in cache.encode([t or "" for t in part.column(1).to_pylist()])]
                 offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
@@ -124,7 +139,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, pa
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ordered = ordered.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    ids = ordered.mapInArrow(run, "doc_id long, seq long, ids array<int>")
+    ids = ordered.mapInArrow(tidy(run), "doc_id long, seq long, ids array<int>")
     (
         ids.select("doc_id", "seq", F.spark_partition_id().alias("part"), "ids")
         .write.option("orc.bloom.filter.columns", "doc_id")
@@ -154,7 +169,7 @@ def token_offsets(tokens: DataFrame) -> DataFrame:
                 [*batch.columns[:3], pa.array(sizes), pa.array(crc, pa.int64())], names=["doc_id", "seq", "part", "n_tokens", "ids_crc32"]
             )
 
-    rows = tokens.mapInArrow(digest, "doc_id long, seq long, part int, n_tokens long, ids_crc32 long")
+    rows = tokens.mapInArrow(tidy(digest), "doc_id long, seq long, part int, n_tokens long, ids_crc32 long")
     inside = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     return rows.select("*", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("before"))
 
