@@ -10,20 +10,24 @@ Defined results:
 * null and empty text: one empty line, which is too short to be dropped;
 * rows that repeat a doc_id are the same document: its lines never drop one another;
 * a null doc_id sorts after all others, and all such rows count as one document;
-* an empty table gives an empty result; columns of the input pass through, whatever their names.
+* an empty table gives an empty result; columns of the input pass through, whatever their names: one that is called
+  like a new column (n_lines, n_dropped) comes back with underscores behind its name.
 Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import SPACE, ascii_lower, cut, delete, shared_dir
+from strandline.llm.common import SPACE, ascii_lower, column_of, cut, delete, discard, passed, shared_dir
 
 MIN_KEY_CHARS = 10
+#: Rows of a batch, at most, and batches, at least; runs of a level that are merged into one of the next.
+BATCH_ROWS, LEAST_BATCHES, FANOUT = 200_000_000, 4, 4
 LAST = 2**63 - 1
 
 
@@ -40,7 +44,7 @@ def key_hashes(key: Column) -> tuple[Column, Column]:
 class LineRuns:
     """The levels of sorted runs. `add` takes the lines of one batch and returns those to drop."""
 
-    def __init__(self, spark: SparkSession, fanout: int = 2, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT, buckets: int | None = None):
         self.spark, self.fanout = spark, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
@@ -60,7 +64,7 @@ class LineRuns:
         return [self.spark.table(name) for level in self.levels for name in level]
 
     def add(self, lines: DataFrame) -> DataFrame:
-        """lines (h1, h2, doc) of a batch, whose documents come after all earlier ones -> those to drop, distinct."""
+        """lines (h1, h2, doc, ...) of a batch, whose documents come after all earlier ones -> those to drop, without hashes."""
         firsts = lines.groupBy("h1", "h2").agg(F.min("doc").alias("doc"))
         for run in self.runs():
             firsts = firsts.join(run.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
@@ -68,8 +72,8 @@ class LineRuns:
         if not self.levels:
             self.levels.append([])
         self.levels[0].append(name)
-        dropped = lines.join(self.spark.table(name).hint("merge"), ["h1", "h2", "doc"], "left_anti").distinct()
-        dropped = cut(dropped, "line-drops")
+        dropped = lines.join(self.spark.table(name).hint("merge"), ["h1", "h2", "doc"], "left_anti")
+        dropped = cut(dropped.drop("h1", "h2"), "line-drops")
         self._compact()
         return dropped
 
@@ -99,52 +103,61 @@ class LineRuns:
 
 
 def dedup_lines(
-    docs: DataFrame, batches: int = 4, fanout: int = 2, min_chars: int = MIN_KEY_CHARS, buckets: int | None = None
+    docs: DataFrame, batches: int | None = None, fanout: int = FANOUT, min_chars: int = MIN_KEY_CHARS, buckets: int | None = None
 ) -> DataFrame:
     """docs with `text` replaced by the lines kept, and `n_lines` (before) and `n_dropped` added.
 
-    batches: slices of the documents by ascending doc_id, of about equal counts; more of them bound the work of one.
+    batches: slices of the documents by ascending doc_id, of about equal counts; by default as many as keep one at
+    BATCH_ROWS rows, and 4 at least.
     """
     spark = docs.sparkSession
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    cuts = docs.agg(F.percentile_approx(doc, [(i + 1) / batches for i in range(batches - 1)], 1000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    split = F.split(F.coalesce("text", F.lit("")), "\n")
-    lines = docs.select(doc.alias("doc"), F.explode(split).alias("line"))
-    lines = lines.select("doc", line_key(F.col("line")).alias("key")).filter(F.length("key") >= min_chars)
+    body = F.coalesce("text", F.lit(""))
+    # rows of one doc_id with the same text lose the same lines, so a row is known by these two and needs no number
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*[column_of(c) for c in others]).alias("row"), doc.alias("doc"), F.xxhash64(body).alias("body"), body.alias("text"))
+    if batches is None:
+        batches = max(LEAST_BATCHES, -(-docs.count() // BATCH_ROWS))
+    cuts = docs.agg(F.percentile_approx(doc, [(i + 1) / batches for i in range(batches - 1)], 1000)).first()[0] if batches > 1 else []
+    cuts = sorted(set(cuts or []))
+    lines = rows.select("doc", "body", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = lines.select("doc", "body", "pos", line_key(F.col("line")).alias("key")).filter(F.length("key") >= min_chars)
     h1, h2 = key_hashes(F.col("key"))
-    lines = cut(lines.select(h1.alias("h1"), h2.alias("h2"), "doc", batch_of("doc", cuts).alias("batch")), "lines", "batch")
+    lines = cut(lines.select(h1.alias("h1"), h2.alias("h2"), "doc", "body", "pos", batch_of("doc", cuts).alias("batch")), "lines", "batch")
     runs = LineRuns(spark, fanout, buckets)
-    drops = None
-    for b in range(len(cuts) + 1):
-        part = runs.add(lines.filter(F.col("batch") == b).select("h1", "h2", "doc"))
-        drops = part if drops is None else drops.unionByName(part)
-    runs.close()
-    per_doc = drops.groupBy("doc").agg(F.collect_list(F.struct("h1", "h2")).alias("gone"))
-    text = [c for c in docs.columns if c != "text"]
-    all_docs = docs.select(F.struct(*docs.columns).alias("row"), doc.alias("doc"), F.coalesce("text", F.lit("")).alias("body"))
-    joined = all_docs.join(per_doc.hint("merge"), "doc", "left")
-    every = F.split("body", "\n")
-    keep = F.filter(every, lambda x: ~F.coalesce(F.array_contains(F.col("gone"), _hash_of(x, min_chars)), F.lit(False)))
-    out = joined.withColumn("n_lines", F.size(every).cast("long")).withColumn(
-        "kept", F.when(F.col("gone").isNull(), every).otherwise(keep)
-    )
-    return out.select(
-        *[F.col("row").getField(c).alias(c) for c in text],
+    parts = []
+    try:
+        for b in range(len(cuts) + 1):
+            parts.append(runs.add(lines.filter(F.col("batch") == b).drop("batch")))
+    finally:
+        runs.close()
+        discard(lines)
+    drops = reduce(DataFrame.unionByName, parts)
+    gone = drops.groupBy("doc", "body").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
+    joined = rows.join(gone.hint("merge"), ["doc", "body"], "left").withColumn("every", F.split("text", "\n"))
+    names = passed(others, ["text", "n_lines", "n_dropped"])
+    kept = F.when(F.col("gone").isNull(), F.col("every")).otherwise(without(F.col("every"), F.col("gone")))
+    return joined.withColumn("kept", kept).select(
+        *[F.col("row").getField(c).alias(n) for c, n in names.items()],
         F.array_join("kept", "\n").alias("text"),
-        "n_lines",
-        (F.col("n_lines") - F.size("kept")).cast("long").alias("n_dropped"),
+        F.size("every").cast("long").alias("n_lines"),
+        (F.size("every") - F.size("kept")).cast("long").alias("n_dropped"),
     )
 
 
+def without(array: Column, places: Column) -> Column:
+    """array without its elements at the ascending places: what lies between two places, in one pass."""
+
+    def between(k: Column) -> Column:
+        after = F.when(k == 0, F.lit(-1)).otherwise(F.get(places, k - 1))
+        upto = F.coalesce(F.get(places, k), F.size(array))
+        return F.slice(array, after + 2, upto - after - 1)
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(places)), between))
+
+
 def batch_of(column: str, cuts: list[int]) -> Column:
     out = F.lit(0)
     for c in cuts:
         out = out + (F.col(column) > c).cast("int")
     return out
-
-
-def _hash_of(line: Column, min_chars: int) -> Column:
-    key = line_key(line)
-    h1, h2 = key_hashes(key)
-    return F.when(F.length(key) >= min_chars, F.struct(h1.alias("h1"), h2.alias("h2")))
