@@ -4,26 +4,30 @@ A document is the set of its hashed word shingles. Two sets of sizes a and b wit
 H = (a + b)(100 - p) / (100 + p) elements. Sizes fall into bands so that partners lie in one band or the next. A band cuts
 the hash universe into segments, each with a threshold: 0 (the sets' subsets there must be equal) or 1 (they may differ by
 one element, found through one-deletion neighbourhoods). If the thresholds plus one sum to H + 1 over the segments, two
-similar sets must agree in one of them. How many segments of either kind a band gets is chosen by estimated cost: the
-signatures written plus the false matches expected. A larger set that looks into the band below has a smaller H of its own
-there and skips (threshold -1) its shortest, least selective segments.
-
-Equal sets are one node from the start, whatever the number of copies. Nodes that share a signature are candidates unless
-their sizes or histograms over the hash universe already differ by more than H; what spans those candidates is kept. A
-signature's nodes are cut into blocks of about LOOKS for that, and every two blocks meet in a task. The components of the candidate links are verified exactly, each text moved to its group once: groups are
-cut into blocks of about BLOCK nodes and every two blocks of a group meet in a task, which counts all intersections by
-matrix products and returns a spanning forest of the true links, never all pairs. Components of those are the result.
+similar sets must agree in one of them. How many segments of either kind a band gets is chosen by cost, measured on a
+sample of at most SAMPLE sets: signatures a set writes, and looks at other sets that share one, at the size of the whole
+table. Only that choice comes from the sample; every set is indexed, and any choice finds all links. A larger set that
+looks into the band below has a smaller H of its own there and skips (threshold -1) its shortest, least selective segments.
+
+Equal sets are one node from the start, whatever the number of copies. Signatures that the sample shows to be held by very
+many sets are salted where nodes meet by signature. Then, in work linear in the nodes of a signature, every node is
+compared exactly with the least node of each of its signatures (a pivot; its partners are dealt out in blocks), and the
+links found make components. Only signatures whose nodes still lie in different components are looked at further: nodes of
+the largest component of a signature meet the others, never one another, in blocks of about LOOKS; those whose sizes and
+histograms over the hash universe cannot exclude the similarity are compared exactly, again across components only. So a
+group of G near copies costs G, not G x G, whatever part of the rows it has; what stays quadratic are different texts
+that share a signature without being linked, and those are looked at by size and histogram first.
 Shingles are 64-bit hashes: within two sets of 10^4 shingles the chance of any collision is below 10^-11.
 
 Defined results: null text, or text without words, has the empty set and links with nothing; fewer words than a shingle
-are one shingle; rows that repeat a doc_id are one document; a null doc_id is linked with nothing and is in no component;
-an empty table gives an empty result; other columns are not touched.
+are one shingle; rows that repeat a doc_id are one document, linked with what any of them is linked with; a null doc_id is
+linked with nothing and is in no component; an empty table gives an empty result; other columns are not touched.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from functools import lru_cache
 
 import numpy as np
@@ -32,16 +36,20 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.common import cut, discard, grouped
+from strandline.llm.common import cut, discard, grouped, held, slices, tidy
 from strandline.llm.graph import components
 
 SHINGLE, PERCENT = 3, 90
 BLOCK = 128
 LOOKS = 1024
-CACHE_WORDS = 400_000
-#: Cost model: chance that an element of a segment is common stock, and the signatures that a false match costs.
-COMMON, FALSE_MATCH = 0.35, 100.0
+#: Words whose hashes a worker keeps; rows, and about as many bytes of text, that a task has in hand.
+CACHE_WORDS = 120_000
+ROWS, OCTETS = 512, 4 << 20
 COLUMNS = 8192
+#: Sets from which costs are measured; in how many of them a signature is called hot, and the parts it is then dealt into.
+SAMPLE, HOT, SALTS = 2048, 24, 64
+#: Seconds x 10^6 that a signature costs (made, moved, matched) and a look at another set's size and histogram.
+SIGNATURE, LOOK = 1.2, 0.25
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -61,9 +69,8 @@ class WordHashes(dict):
         return out
 
 
-@lru_cache(1)
 def word_hashes() -> WordHashes:
-    return WordHashes()
+    return held("ngram_join", WordHashes)
 
 
 def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -98,26 +105,24 @@ def band_limits(percent: int, top: int = 1 << 32) -> np.ndarray:
 
 
 @lru_cache(1024)
-def allocate(band: int, percent: int) -> tuple[int, int, int]:
-    """Segments of a band, how many of them (the first ones) have threshold 1, and the H that they cover; least cost wins."""
+def covered(band: int, percent: int) -> int:
+    """The largest H of two partners of which the larger one is in the band."""
     limits = band_limits(percent)
-    low, high = int(limits[band]), int(limits[band + 1]) - 1
-    h = largest_difference(high, largest_partner(high, percent), percent)
-    mean = (low + high) / 2
+    high = int(limits[band + 1]) - 1
+    return largest_difference(high, largest_partner(high, percent), percent)
 
-    def cost(ones: int) -> float:
-        m = h + 1 - ones
-        t = mean / m
-        return (m - ones) * (1 + FALSE_MATCH * COMMON**t) + ones * (1 + t) * (1 + FALSE_MATCH * COMMON ** max(0.0, t - 1))
 
-    # the ones are at most half of the thresholds' sum; the cost is tried at a few shares
-    tried = sorted({min((h + 1) // 2, round((h + 1) * share)) for share in (0, 0.05, 0.1, 0.25, 0.5)})
-    ones = min(tried, key=lambda x: (cost(x), x))
-    return h + 1 - ones, ones, h
+def choices(band: int, percent: int) -> list[int]:
+    """Numbers of threshold-1 segments whose costs are compared: none, some shares, and as many as there can be."""
+    h = covered(band, percent)
+    return sorted({min((h + 1) // 2, round((h + 1) * share)) for share in (0, 0.125, 0.25, 0.5)})
 
 
-def _segment_signatures(tokens: np.ndarray, band: int, percent: int, own_h: int | None) -> np.ndarray:
-    m, ones, h = allocate(band, percent)
+def _segment_signatures(tokens: np.ndarray, band: int, percent: int, ones: int, own_h: int | None) -> np.ndarray:
+    """Signatures in a band of which the first `ones` segments have threshold 1. The lowest bit says whether a signature is
+    that of a whole segment (1) or of one less an element (0): the latter only match the former, not one another."""
+    h = covered(band, percent)
+    m = h + 1 - ones
     edges = np.arange(m + 1, dtype=np.uint64) * np.uint64((1 << 32) // m)
     edges[m] = np.uint64(1 << 32)
     at = np.searchsorted(tokens >> np.uint64(32), edges)
@@ -135,25 +140,31 @@ def _segment_signatures(tokens: np.ndarray, band: int, percent: int, own_h: int
                 spare -= worth
             if not spare:
                 break
-    out = [mix(whole + label)[used]]
+    out = [mix(whole + label)[used] | np.uint64(1)]
     if ones:
         segment = np.repeat(np.arange(m), np.diff(at))
         close = (segment < ones) & used[segment]
-        out.append(mix(whole[segment[close]] - mixed[close] + label[segment[close]]))
+        out.append(mix(whole[segment[close]] - mixed[close] + label[segment[close]]) & ~np.uint64(1))
     return np.concatenate(out)
 
 
-def signatures(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """A set's signatures: in its own band, and in the band below if a partner can be there."""
-    n = len(tokens)
-    if not n:
-        return np.zeros(0, np.int64)
+def bands_of(n: int, percent: int) -> list[tuple[int, int | None]]:
+    """The bands that a set of n elements signs in, with the H that it needs there if that is less than the band covers."""
     limits = band_limits(percent)
     band = int(np.searchsorted(limits, n, "right")) - 1
-    out = [_segment_signatures(tokens, band, percent, None)]
+    out: list[tuple[int, int | None]] = [(band, None)]
     if band and largest_partner(int(limits[band]) - 1, percent) >= n:
-        below = int(limits[band]) - 1
-        out.append(_segment_signatures(tokens, band - 1, percent, largest_difference(below, n, percent)))
+        out.append((band - 1, largest_difference(int(limits[band]) - 1, n, percent)))
+    return out
+
+
+def signatures(tokens: np.ndarray, percent: int = PERCENT, ones: Mapping[int, int] | None = None) -> np.ndarray:
+    """A set's signatures: in its own band, and in the band below if a partner can be there. ones: threshold-1 segments of
+    the bands that have any."""
+    if not len(tokens):
+        return np.zeros(0, np.int64)
+    ones = ones or {}
+    out = [_segment_signatures(tokens, band, percent, ones.get(band, 0), own_h) for band, own_h in bands_of(len(tokens), percent)]
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
@@ -237,47 +248,182 @@ def _forest(linked: np.ndarray, square: bool) -> list[tuple[int, int]]:
     return out
 
 
-def shingled(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, node (128-bit fingerprint of the shingle set), n, parts (its histogram)."""
+def measured(docs: DataFrame, percent: int, size: int, sample: int = SAMPLE) -> tuple[dict[int, int], dict[int, dict[int, float]], list[int]]:
+    """(threshold-1 segments by band, cost a set by band and choice, hot signatures), from about `sample` different texts.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = (shingle_set(t.as_py(), size) for t in batch.column(1))
-            rows = [(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), len(s), histogram(s).tobytes()) for s in sets]
-            nodes, sizes, parts = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(parts, pa.binary())], names=["doc_id", "node", "n", "parts"]
-            )
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, node binary, n long, parts binary")
-
-
-def signed(texts: DataFrame, percent: int, size: int) -> DataFrame:
-    """rep, sigs for texts (rep, text)."""
+    For every choice of a band: the signatures of a set, and the pairs that share one, counted once for all signatures of
+    the same sets and carried on from the sample to all rows. Returned are a few numbers a band and less than
+    sample x signatures / HOT hot signatures.
+    """
+    texts = docs.select("text").filter("text IS NOT NULL").withColumn("h", F.xxhash64("text"))
+    rows = docs.count()
+    times = max(1, rows // sample)
+    few = texts.filter(F.pmod(F.xxhash64("h"), F.lit(times)) == 0).groupBy("h").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                sigs = [signatures(shingle_set(t.as_py(), size), percent) for t in part.column(1)]
-                ends = pa.array(np.cumsum([0, *map(len, sigs)]), pa.int32())
-                values = pa.array(np.concatenate(sigs) if sigs else [], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(ends, values)], names=["rep", "sigs"])
+            for start, n in slices(batch.column(1), 64, OCTETS):
+                out = []
+                for t in batch.column(1).slice(start, n).to_pylist():
+                    tokens = shingle_set(t, size)
+                    node = int(np.bitwise_xor.reduce(tokens)) >> 1 if len(tokens) else 0
+                    for band, own_h in bands_of(len(tokens), percent) if len(tokens) else []:
+                        for k in choices(band, percent):
+                            sigs = np.unique(_segment_signatures(tokens, band, percent, k, own_h)).view(np.int64)
+                            out.append((band, k, node, sigs))
+                if out:
+                    bands, ks, nodes, sigs = zip(*out, strict=True)
+                    ends = pa.array(np.cumsum([0, *map(len, sigs)]), pa.int32())
+                    values = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sigs), pa.int64()))
+                    yield pa.RecordBatch.from_arrays([pa.array(bands, pa.int32()), pa.array(ks, pa.int32()), pa.array(nodes, pa.int64()), values], names=["band", "ones", "node", "sigs"])
+
+    signed = cut(few.mapInArrow(tidy(run), "band int, ones int, node long, sigs array<long>").dropDuplicates(["band", "ones", "node"]), "sample")
+    counts = signed.groupBy("band", "ones").agg(F.count("*").alias("sets"), F.sum(F.size("sigs")).alias("sigs")).collect()
+    each = signed.select("band", "ones", "node", F.explode("sigs").alias("s")).select("band", "ones", "node", F.col("s").bitwiseAND(-2).alias("sig"), F.col("s").bitwiseAND(1).alias("whole"))
+    shared = each.groupBy("band", "ones", "sig").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("who"), F.max("whole").alias("whole"))
+    shared = shared.filter("members > 1 AND whole = 1").drop("whole")
+    shared = cut(shared, "sample-shared")
+    once = shared.select("band", "ones", "members", "who").distinct()
+    looks = {(r["band"], r["ones"]): r["looks"] for r in once.groupBy("band", "ones").agg(F.sum(F.expr("members * (members - 1) / 2")).alias("looks")).collect()}
+    costs: dict[int, dict[int, float]] = {}
+    for r in counts:
+        own = SIGNATURE * r["sigs"] + LOOK * looks.get((r["band"], r["ones"]), 0.0) * times
+        costs.setdefault(r["band"], {})[r["ones"]] = own / r["sets"]
+    chosen = {band: min(own, key=lambda k: (own[k], k)) for band, own in costs.items()}
+    hot = [r["sig"] for r in shared.filter(F.col("members") >= HOT).select("sig", "band", "ones").collect() if chosen[r["band"]] == r["ones"]]
+    discard(signed)
+    discard(shared)
+    return {band: k for band, k in chosen.items() if k}, costs, sorted(set(hot))
+
+
+def signed_sets(docs: DataFrame, percent: int, size: int, ones: Mapping[int, int], hot: list[int]) -> DataFrame:
+    """doc_id, node (128-bit fingerprint of the shingle set), n, parts (its histogram), sigs, hots (signatures that are hot)."""
+    heated = np.array(hot, np.int64)
 
-    return texts.mapInArrow(run, "rep long, sigs array<long>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def lists(arrays: list[np.ndarray]) -> pa.Array:
+            ends = pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32())
+            return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(arrays), pa.int64()))
 
+        for batch in batches:
+            for start, n in slices(batch.column(1), ROWS, OCTETS):
+                part = batch.slice(start, n)
+                nodes, sizes, parts, sigs, hots = [], [], [], [], []
+                for t in part.column(1).to_pylist():
+                    tokens = shingle_set(t, size)
+                    nodes.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
+                    sizes.append(len(tokens))
+                    parts.append(histogram(tokens).tobytes())
+                    own = signatures(tokens, percent, ones)
+                    is_hot = np.isin(own & ~np.int64(1), heated) if len(heated) else np.zeros(len(own), bool)
+                    sigs.append(own[~is_hot])
+                    hots.append(own[is_hot])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(parts, pa.binary()), lists(sigs), lists(hots)],
+                    names=["doc_id", "node", "n", "parts", "sigs", "hots"],
+                )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(tidy(run), "doc_id long, node binary, n long, parts binary, sigs array<long>, hots array<long>")
+
+
+def shared_signatures(own: DataFrame) -> DataFrame:
+    """sig, whole, rep of the signatures that several nodes have, one of them as a whole segment; own: rep, sigs, hots. Hot
+    signatures are dealt by salt as well and all kept here."""
+    salt = F.lit(1) + F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")
+    cold = F.transform("sigs", lambda s: F.struct(s.alias("sig"), F.lit(0).alias("salt")))
+    hot = F.transform("hots", lambda s: F.struct(s.alias("sig"), salt.alias("salt")))
+    entries = own.select("rep", F.explode(F.concat(cold, hot)).alias("e"))
+    entries = entries.select("rep", F.col("e.sig").bitwiseAND(-2).alias("sig"), F.col("e.sig").bitwiseAND(1).cast("byte").alias("whole"), "e.salt")
+    same = Window.partitionBy("sig", "salt")
+    entries = entries.select("sig", "whole", "rep", "salt", F.min("rep").over(same).alias("least"), F.max("rep").over(same).alias("most"), F.max("whole").over(same).alias("any"))
+    # rows that repeat a doc_id repeat its signatures; what follows needs each once
+    return entries.filter("salt > 0 OR least <> most AND any = 1").select("sig", "whole", "rep").distinct()
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["u", "v"])
+
+
+def pivot_links(pairs: DataFrame, seen: DataFrame, texts: DataFrame, percent: int, size: int, block: int = BLOCK) -> DataFrame:
+    """Those of the pairs (u, v: node and pivot) that have the wanted similarity. Sizes and histograms are looked at first;
+    then the partners of a pivot are dealt out in blocks, and the pivot's text goes to each of them."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            fits = np.minimum(a, b) * 100 >= percent * np.maximum(a, b)
+            most = (a + b) * (100 - percent) // (100 + percent)
+            for k in np.flatnonzero(fits).tolist():
+                x, y = (np.frombuffer(batch.column(c)[k].as_buffer(), np.uint8) for c in (3, 5))
+                parts = min(len(x), len(y))
+                fits[k] = np.abs(_fold(x, parts) - _fold(y, parts)).sum() <= most[k]
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(fits)), batch.column(1).filter(pa.array(fits))], names=["u", "v"])
 
-def in_blocks(shared: DataFrame, looks: int) -> DataFrame:
-    """shared with blocks bi and bj: a signature's nodes are cut into blocks of about looks, and every two blocks meet."""
-    blocks = F.ceil(F.col("members") / looks).cast("int")
-    own = shared.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-    own = own.withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return own.select("sig", "rep", "n", "parts", "block", F.least("block", "o").alias("bi"), F.greatest("block", "o").alias("bj"))
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[int, int]] = []
+        for group in grouped(batches, ["v", "block"]):
+            reps, pivot = group.column("rep").to_pylist(), group.column("v")[0].as_py()
+            sets = [shingle_set(t, size) for t in group.column("text").to_pylist()]
+            of_pivot = [s for r, s in zip(reps, sets, strict=True) if r == pivot]
+            for r, s in zip(reps, sets, strict=True):
+                if r != pivot and any(alike(s, p, percent) for p in of_pivot):
+                    found.append((r, pivot))
+            if len(found) > 50_000:
+                yield _pairs(found)
+                found = []
+        if found:
+            yield _pairs(found)
+
+    u, v = (seen.select(F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("parts").alias(f"parts{k}")) for k in "uv")
+    met = pairs.join(u.hint("merge"), "u").join(v.hint("merge"), "v").select("u", "v", "nu", "partsu", "nv", "partsv")
+    near = cut(met.mapInArrow(tidy(look), "u long, v long").distinct(), "near")
+    many = near.groupBy("v").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    dealt = near.join(many, "v").select("v", F.col("u").alias("rep"), F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int").alias("block"))
+    dealt = dealt.unionByName(many.select("v", F.col("v").alias("rep"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")))
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = texts.join(dealt.hint("merge"), "rep").select("v", "block", "rep", "text")
+    met = met.repartition(n, "v", "block").sortWithinPartitions("v", "block")
+    links = cut(met.mapInArrow(tidy(verify), "u long, v long").distinct(), "pivot-links")
+    discard(near)
+    return links
+
+
+def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common * 100 >= percent * (len(a) + len(b) - common)
+
+
+def with_main(rows: DataFrame, key: str) -> DataFrame:
+    """Of rows (key, rep, label) those whose key has several labels, with is_main (the key's most frequent label, the least
+    of equals), n_main and members."""
+    per = rows.groupBy(key, "label").agg(F.count("*").alias("c"))
+    per = per.groupBy(key).agg(F.max_by("label", F.struct("c", -F.col("label"))).alias("main"), F.max("c").alias("n_main"), F.sum("c").alias("members"))
+    per = cut(per.filter("members > n_main"), "mains")
+    return rows.join(per.hint("merge"), key).withColumn("is_main", F.col("label") == F.col("main")).drop("main")
+
+
+def in_blocks(rows: DataFrame, per_block: int) -> DataFrame:
+    """rows with block, bi and bj. The main label's nodes are cut into blocks -1, -2 and so on of about per_block, the others
+    into blocks 0, 1 and so on. Every two blocks meet, other than two of the main label, whose nodes are linked already."""
+    mains = F.ceil(F.col("n_main") / per_block).cast("int")
+    others = F.ceil((F.col("members") - F.col("n_main")) / per_block).cast("int")
+    place = F.xxhash64("rep")
+    block = F.when(F.col("is_main"), -1 - F.pmod(place, mains)).otherwise(F.pmod(place, others)).cast("int")
+    first = F.when(F.col("is_main"), 0).otherwise(-mains)
+    met = rows.withColumn("block", block).withColumn("o", F.explode(F.sequence(first, others - 1)))
+    return met.withColumn("bi", F.least("block", "o")).withColumn("bj", F.greatest("block", "o")).drop("o", "n_main", "members", "is_main")
+
+
+def _apart(labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return labels[left][:, None] != labels[right][None, :]
 
 
 def candidates(shared: DataFrame, percent: int, looks: int = LOOKS) -> DataFrame:
-    """Links (u, v) that span, for every signature, the nodes that may be similar; shared: sig, rep, n, parts (histogram),
-    members (how many nodes have the signature)."""
+    """Links (u, v) that span, for every signature, the nodes of different labels that may be similar; shared: sig, rep, n,
+    parts, label and the columns of with_main()."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: set[tuple[int, int]] = set()
@@ -288,92 +434,89 @@ def candidates(shared: DataFrame, percent: int, looks: int = LOOKS) -> DataFrame
             counts = [np.frombuffer(c, np.uint8) for c in group.column("parts").to_pylist()]
             bi, bj = group.column("bi")[0].as_py(), group.column("bj")[0].as_py()
             left, right = np.flatnonzero(block == bi), np.flatnonzero(block == bj)
-            links = _forest(possible(sizes, counts, percent, left, right), bi == bj)
-            found.update((reps[left[x]], reps[right[y]]) for x, y in links)
+            near = possible(sizes, counts, percent, left, right) & _apart(group.column("label").to_numpy(), left, right)
+            found.update((reps[left[x]], reps[right[y]]) for x, y in _forest(near, bi == bj))
             if len(found) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["u", "v"])
+                yield _pairs(list(found))
                 found = set()
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["u", "v"])
+            yield _pairs(list(found))
 
     n = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = in_blocks(shared, looks).repartition(n, "sig", "bi", "bj").sortWithinPartitions("sig", "bi", "bj", "rep")
-    return dealt.mapInArrow(run, "u long, v long")
+    return dealt.select("sig", "rep", "n", "parts", "label", "block", "bi", "bj").mapInArrow(tidy(run), "u long, v long")
 
 
-def verified(placed: DataFrame, percent: int, size: int) -> DataFrame:
-    """Spanning links (u, v) of the true links within candidate groups; placed: rep, text, label, block, blocks."""
-
-    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                sets = [shingle_set(t, size).tobytes() for t in part.column(4).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(sets, pa.binary())], names=["rep", "label", "block", "blocks", "tokens"])
+def verified(placed: DataFrame, texts: DataFrame, percent: int, size: int, block: int = BLOCK) -> DataFrame:
+    """Spanning links (u, v) of the true links between labels within candidate groups; placed: rep, label, grp and the
+    columns of with_main(); texts: rep, text."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, int]] = []
-        for group in grouped(batches, ["label", "bi", "bj"]):
-            reps, blocks = group.column("rep").to_pylist(), group.column("block").to_pylist()
-            tokens = [np.frombuffer(t, np.uint64) for t in group.column("tokens").to_pylist()]
+        for group in grouped(batches, ["grp", "bi", "bj"]):
+            reps, blocks, labels = group.column("rep").to_pylist(), group.column("block").to_numpy(), group.column("label").to_numpy()
             bi, bj = group.column("bi")[0].as_py(), group.column("bj")[0].as_py()
-            left = [k for k, b in enumerate(blocks) if b == bi]
-            right = None if bi == bj else [k for k, b in enumerate(blocks) if b == bj]
-            if len(left) < (2 if right is None else 1) or right is not None and not right:
+            left, right = np.flatnonzero(blocks == bi), np.flatnonzero(blocks == bj)
+            if len(left) < (2 if bi == bj else 1) or not len(right):
                 continue
-            linked = _links([tokens[k] for k in left], None if right is None else [tokens[k] for k in right], percent)
-            other = left if right is None else right
-            found += [(reps[left[x]], reps[other[y]]) for x, y in _forest(linked, right is None)]
+            tokens = [shingle_set(t, size) for t in group.column("text").to_pylist()]
+            linked = _links([tokens[k] for k in left], None if bi == bj else [tokens[k] for k in right], percent)
+            linked = linked & _apart(labels, left, right)
+            found += [(reps[left[x]], reps[right[y]]) for x, y in _forest(linked, bi == bj)]
             if len(found) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["u", "v"])
+                yield _pairs(found)
                 found = []
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["u", "v"])
+            yield _pairs(found)
 
-    sets = placed.select("rep", "label", "block", "blocks", "text").mapInArrow(shingle, "rep long, label long, block int, blocks int, tokens binary")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    met = sets.select("*", other.alias("o")).select(
-        "rep", "label", "block", F.least("block", "o").alias("bi"), F.greatest("block", "o").alias("bj"), "tokens"
-    )
+    met = texts.join(in_blocks(placed, block).hint("merge"), "rep").select("grp", "rep", "label", "block", "bi", "bj", "text")
     n = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = met.repartition(n, "label", "bi", "bj").sortWithinPartitions("label", "bi", "bj")
-    return met.mapInArrow(verify, "u long, v long")
+    met = met.repartition(n, "grp", "bi", "bj").sortWithinPartitions("grp", "bi", "bj")
+    return met.mapInArrow(tidy(verify), "u long, v long")
 
 
-def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, block: int = BLOCK, looks: int = LOOKS) -> DataFrame:
+def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """rows (rep, ...) with label: the component of rep, or rep itself."""
+    own = labels.select(F.col("node").alias("rep"), "label")
+    return rows.join(own.hint("merge"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+
+
+def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, block: int = BLOCK, looks: int = LOOKS, sample: int = SAMPLE) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links): a row for each of docs."""
-    sets = cut(shingled(docs, size), "shingled")
+    ones, _, hot = measured(docs, percent, size, sample)
+    sets = cut(signed_sets(docs, percent, size, ones, hot), "sets")
     known = sets.filter("n > 0 AND doc_id IS NOT NULL")
     reps = cut(known.groupBy("node").agg(F.min("doc_id").alias("rep")), "nodes")
-    # candidate links: nodes with a common signature, to the least of them; of equal texts only one is looked at
-    by_id = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    entries = signed(by_id.join(reps.hint("merge"), "rep", "left_semi"), percent, size).select("rep", F.explode("sigs").alias("sig"))
-    same = Window.partitionBy("sig")
-    entries = entries.select("sig", "rep", F.min("rep").over(same).alias("least"), F.max("rep").over(same).alias("most"))
-    # rows that repeat a doc_id repeat its signatures; the marks below need each once
-    shared = cut(entries.filter("least <> most").select("sig", "rep").distinct(), "shared")
-    own = sets.join(reps.hint("merge"), ["node"]).filter("doc_id = rep").groupBy("node", "rep")
-    seen = cut(own.agg(F.first("n").alias("n"), F.first("parts").alias("parts")).drop("node"), "looks")
+    own = known.join(reps.hint("merge"), "node").filter("doc_id = rep")
+    seen = cut(own.select("node", "rep", "n", "parts").dropDuplicates(["node", "rep"]).drop("node"), "seen")
+    shared = cut(shared_signatures(own.select("rep", "sigs", "hots")), "shared")
     # many signatures are shared by the same nodes: one of each such set is looked at
     marks = shared.groupBy("sig").agg(
-        F.count("*").alias("size"), F.bit_xor(F.xxhash64("rep")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("h2")
-    )
-    firsts = marks.groupBy("size", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig", F.col("size").alias("members"))
-    once = shared.join(firsts.hint("merge"), "sig")
-    stars = cut(candidates(once.join(seen.hint("merge"), "rep"), percent, looks).distinct(), "candidates")
-    groups = components(stars)
-    members = cut(groups.unionByName(groups.select(F.col("label").alias("node"), "label").distinct()), "members")
-    sizes = cut(members.groupBy("label").agg(F.count("*").alias("members")), "sizes")
-    blocks = F.ceil(F.col("members") / block).cast("int")
-    placed = members.join(sizes, "label").select(
-        F.col("node").alias("rep"), "label", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), blocks.alias("blocks")
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("rep")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("h2"), F.min("rep").alias("least"), F.max("whole").alias("any")
     )
-    placed = cut(placed, "placed")
-    links = cut(verified(by_id.join(placed.hint("merge"), "rep"), percent, size), "links")
-    roots = components(links)
-    for done in (shared, seen, stars, members, sizes, placed):
+    firsts = marks.filter("size > 1 AND any = 1").groupBy("size", "h1", "h2").agg(F.min("sig").alias("sig"), F.min("least").alias("least")).select("sig", "least")
+    once = cut(shared.select("sig", "rep").join(firsts.hint("merge"), "sig"), "once")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
+    pairs = once.filter("rep <> least").select(F.col("rep").alias("u"), F.col("least").alias("v")).distinct()
+    # several texts of one doc_id are one document
+    several = known.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("doc_id")
+    same = known.select("doc_id", "node").join(several, "doc_id").join(reps, "node").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
+    links = cut(pivot_links(pairs, seen, texts, percent, size, block).unionByName(same), "links")
+    near = cut(components(links), "labels")
+    mixed = with_main(labelled(once.select("sig", "rep"), near), "sig")
+    stars = cut(candidates(mixed.join(seen.hint("merge"), "rep"), percent, looks).distinct(), "candidates")
+    scratch = [seen, shared, once, links, stars]
+    roots = near
+    if not stars.isEmpty():
+        groups = components(stars)
+        groups = groups.unionByName(groups.select(F.col("label").alias("node"), "label").distinct())
+        placed = cut(labelled(groups.select(F.col("node").alias("rep"), F.col("label").alias("grp")), near), "placed")
+        more = cut(verified(with_main(placed, "grp"), texts, percent, size, block), "more-links")
+        roots = cut(components(near.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(more)), "roots")
+        scratch += [near, placed, more]
+    roots = roots.select(F.col("node").alias("rep"), "label")
+    for done in scratch:
         discard(done)
-    roots = cut(roots.select(F.col("node").alias("rep"), "label"), "roots")
     rows = sets.select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
     out = rows.join(reps, "node", "left").join(roots, "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "rep", "doc_id").alias("component_id"))
