@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,6 +44,16 @@ def normalize_text(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"\s+", " "))
 
 
+def nfc(x: Column) -> Column:
+    """Composed form (NFC). Spark has no function for it: Arrow batches, and only for text beyond ASCII worth calling."""
+
+    @F.pandas_udf("string")
+    def compose(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
+
+    return compose(x)
+
+
 def finite(x: Column) -> Column:
     """x, or null where it is infinite or not a number: what JSON can hold."""
     return F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), None).otherwise(x)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# The file name extensions of audio, in order of preference.
 EXTENSIONS = [".mp3", ".opus", ".wav", ".m4a", ".ogg", ".flac", ".aac", ".wma"]
 
 
@@ -53,7 +54,7 @@ def find_files(files: DataFrame, surahs: DataFrame) -> DataFrame:
     order = F.array_position(F.lit(EXTENSIONS), ext)
     number = F.regexp_extract("file", r"^(\d+)", 1)
     rows = files.filter(number != "").withColumn("surah", number.cast("int"))
-    padded = F.lpad(F.col("surah").cast("string"), 3, "0")
+    padded = F.format_string("%03d", "surah")
     rank = (
         F.when((stem == padded) & (order > 0), order)
         .when((stem == F.col("surah").cast("string")) & (order > 0), 100 + order)
@@ -63,8 +64,11 @@ def find_files(files: DataFrame, surahs: DataFrame) -> DataFrame:
     return surahs.join(best, "surah", "left")
 
 
-def chunked(rows: DataFrame, size: int, order: list[Column | str], group: list[str] = ()) -> DataFrame:
-    """rows with chunk_no: pieces of `size` rows in the order given, within each group."""
+def chunked(rows: DataFrame, size: int, order: list[Column | str], group: list[str]) -> DataFrame:
+    """rows with chunk_no: pieces of `size` rows in the order given, within each group. At least one group column is asked
+    for: without one all rows would be numbered by one task."""
+    if not group:
+        raise ValueError("chunks are numbered within groups; name the columns of a group")
     window = Window.partitionBy(*group).orderBy(*order)
     return rows.withColumn("chunk_no", F.floor((F.row_number().over(window) - 1) / size).cast("int"))
 

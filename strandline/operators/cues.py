@@ -62,13 +62,30 @@ def span_margins(cues: DataFrame, margins: DataFrame) -> DataFrame:
     return cues.join(least, ["rec", "cue_no"], "left").na.fill(INF, ["min_decision_margin"])
 
 
+def span_scores(cues: DataFrame, frames: DataFrame) -> DataFrame:
+    """cues (rec, cue_no, start_frame, end_frame) whose spans do not overlap, with avg_logprob (the mean of lp) and
+    min_decision_margin (the least margin) of the frames (rec, t, lp, margin) in each; -inf and +inf without any.
+
+    One ordered pass of a recording gives every frame its cue, and one aggregate of the same dealing its numbers.
+    """
+    none = F.lit(None)
+    marks = cues.select("rec", F.col("start_frame").alias("at"), F.lit(0).alias("kind"), "cue_no", "end_frame", none.cast("double").alias("lp"), none.cast("double").alias("margin"))
+    rows = frames.select("rec", F.col("t").alias("at"), F.lit(1).alias("kind"), none.cast("long").alias("cue_no"), none.cast("long").alias("end_frame"), F.col("lp").cast("double").alias("lp"), F.col("margin").cast("double").alias("margin"))
+    order = Window.partitionBy("rec").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    own = F.last(F.when(F.col("kind") == 0, F.struct("cue_no", "end_frame")), ignorenulls=True).over(order)
+    held = marks.unionByName(rows).withColumn("own", own)
+    of = held.select("rec", F.col("own.cue_no").alias("cue_no"), F.when(F.col("at") <= F.col("own.end_frame"), F.struct("lp", "margin")).alias("x"))
+    got = of.filter("cue_no IS NOT NULL").groupBy("rec", "cue_no").agg(F.avg("x.lp").alias("avg_logprob"), F.min("x.margin").alias("min_decision_margin"))
+    return cues.join(got, ["rec", "cue_no"], "left").na.fill(-INF, ["avg_logprob"]).na.fill(INF, ["min_decision_margin"])
+
+
 def flag_low_confidence(cues: DataFrame, logprob_margin: float = 1.0, margin_floor: float = 0.5, spliced: Column | None = None) -> DataFrame:
     """cues with low_confidence: mean score below the recording's median (finite, not spliced) less logprob_margin, or a
     decision margin below margin_floor."""
     spliced = F.lit(False) if spliced is None else spliced
     usable = finite(F.col("avg_logprob")).isNotNull() & ~spliced
-    base = cues.filter(usable).groupBy("rec").agg(F.median("avg_logprob").alias("base"))
-    got = cues.join(base, "rec", "left")
+    base = F.median(F.when(usable, F.col("avg_logprob"))).over(Window.partitionBy("rec"))
+    got = cues.withColumn("base", base)
     low = (F.col("avg_logprob") < F.coalesce("base", F.lit(0.0)) - logprob_margin) | (F.col("min_decision_margin") < margin_floor)
     return got.withColumn("low_confidence", low).drop("base")
 
@@ -119,13 +136,16 @@ def repeat_sites(cues: DataFrame) -> DataFrame:
 
 def display_mapping(cues: DataFrame, back: int = 30) -> DataFrame:
     """cues with slot: a word's place among the words said once; for a repeat the nearest earlier slot with the same word
-    and verse, at most `back` before, else the slot before it. An equi join on word and verse with a bounded distance."""
+    and verse, at most `back` before, else the slot before it. The join's key holds the place in steps of `back`: a repeat
+    meets words of its own step and of the one before, at most 2 x back of them, however frequent its word is."""
     order = _ordered("cue_no")
     counted = cues.withColumn("cursor", F.sum((~F.col("is_repeat")).cast("long")).over(order))
-    canonical = counted.filter(~F.col("is_repeat")).select("rec", "word", "aya", (F.col("cursor") - 1).alias("found"))
-    repeats = counted.filter("is_repeat")
+    found = F.col("cursor") - 1
+    canonical = counted.filter(~F.col("is_repeat")).select("rec", "word", "aya", found.alias("found"), F.floor(found / back).alias("step"))
+    step = F.floor((F.col("cursor") - 1) / back)
+    repeats = counted.filter("is_repeat").withColumn("step", F.explode(F.array(step, step - 1)))
     near = (
-        repeats.join(canonical, ["rec", "word", "aya"])
+        repeats.join(canonical, ["rec", "word", "aya", "step"])
         .filter((F.col("found") < F.col("cursor")) & (F.col("found") >= F.col("cursor") - back))
         .groupBy("rec", "cue_no")
         .agg(F.max("found").alias("found"))

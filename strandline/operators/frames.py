@@ -42,9 +42,14 @@ def prefix_counts(ids: DataFrame, blank: int) -> DataFrame:
     return ids.withColumn("begins", begins).withColumn("n_tokens", F.sum("begins").over(_by_time())).drop("begins")
 
 
-def label_states(labels: DataFrame, blank: int) -> DataFrame:
-    """State of each frame of a label sequence: blanks 2c and labels 2(c - 1) + 1 after c labels have begun."""
+def label_states(labels: DataFrame, blank: int, references: DataFrame | None = None) -> DataFrame:
+    """State of each frame of a label sequence: blanks 2c and labels 2(c - 1) + 1 after c labels have begun. With references
+    (rec, ids) a label that is not the next one of its recording, or one too many, is an error."""
     counted = prefix_counts(labels, blank)
+    if references is not None:
+        wrong = (F.col("id") != blank) & ~F.col("id").eqNullSafe(F.get("ids", (F.col("n_tokens") - 1).cast("int")))
+        told = F.raise_error(F.concat(F.lit("label out of order at frame "), F.col("t").cast("string"))).cast("long")
+        counted = counted.join(references.select("rec", "ids"), "rec", "left").withColumn("n_tokens", F.when(wrong, told).otherwise(F.col("n_tokens"))).drop("ids")
     return counted.withColumn("state", F.when(F.col("id") == blank, 2 * F.col("n_tokens")).otherwise(2 * F.col("n_tokens") - 1)).drop("n_tokens")
 
 

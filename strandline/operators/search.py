@@ -7,7 +7,7 @@ functions, so recordings run in parallel and a failing one becomes a row with an
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -220,10 +220,14 @@ class Cue:
     is_final: bool = False
     is_repeat: bool = False
     avg: float = field(default=NEG)
+    margin: float = field(default=np.inf)
+    spans: list[tuple[int, int]] = field(default_factory=list)  # of the word's tokens
+    spliced: bool = False
 
 
 def _score_window(lp: np.ndarray, greedy: np.ndarray, words: list[list[int]], start: int, stop: int, floor: float, p: RepeatParams, blank: int):
-    """Spans and means of the two copies of a phrase in frames start..stop, and their score; None if it isn't said twice there."""
+    """Token spans and means of the words of both copies of a phrase in frames start..stop, and the copies' score; None if it
+    isn't said twice there."""
     phrase = [t for w in words for t in w]
     twice = phrase + phrase
     said = collapse_ids(greedy[start : stop + 1], blank)
@@ -239,20 +243,19 @@ def _score_window(lp: np.ndarray, greedy: np.ndarray, words: list[list[int]], st
     first[path[::-1]] = np.arange(len(path))[::-1]
     if (first[1::2] < 0).any():
         return None
-    spans, at = [], 0
-    for w in words + words:
-        spans.append((int(first[2 * at + 1]), int(last[2 * (at + len(w)) - 1])))
-        at += len(w)
+    every = list(zip(first[1::2].tolist(), last[1::2].tolist(), strict=True))
+    ends = np.cumsum([len(w) for w in words + words]).tolist()
+    spans = [every[e - len(w) : e] for e, w in zip(ends, words + words, strict=True)]
     k = len(words)
-    (s1, e1), (s2, e2) = (spans[0][0], spans[k - 1][1]), (spans[k][0], spans[-1][1])
+    (s1, e1), (s2, e2) = (spans[0][0][0], spans[k - 1][-1][1]), (spans[k][0][0], spans[-1][-1][1])
     if not s2 > e1 or e1 - s1 < p.least_frames or e2 - s2 < p.least_frames:
         return None
     both = min(path_means(window, states, path, s1, e1), path_means(window, states, path, s2, e2))
     gap, margin = s2 - e1, both - floor
     if both < floor or gap <= p.artifact_gap and margin < p.artifact_margin or not free and gap <= p.pause_frames and margin < p.pause_margin:
         return None
-    means = [path_means(window, states, path, s, e) for s, e in spans]
-    return both + p.bonus * (k - 1), [(s + start, e + start, m) for (s, e), m in zip(spans, means, strict=True)]
+    means = [path_means(window, states, path, own[0][0], own[-1][1]) for own in spans]
+    return both + p.bonus * (k - 1), [([(s + start, e + start) for s, e in own], m) for own, m in zip(spans, means, strict=True)]
 
 
 def find_repeats(cues: list[Cue], lp: np.ndarray, blank: int, p: RepeatParams = RepeatParams()) -> list[Cue]:  # noqa: B008
@@ -294,8 +297,8 @@ def find_repeats(cues: list[Cue], lp: np.ndarray, blank: int, p: RepeatParams =
             _, spans, j = best
             used |= set(range(j, i + 1))
             own = cues[j : i + 1]
-            for n, (c, (s, e, mean)) in enumerate(zip(own + own, spans, strict=True)):
-                fixes.append(Cue(c.cue_no, s, e, c.tokens, c.sura, c.aya, c.is_final, n >= len(own), mean))
+            for n, (c, (at, mean)) in enumerate(zip(own + own, spans, strict=True)):
+                fixes.append(replace(c, start=at[0][0], end=at[-1][1], spans=at, avg=mean, margin=np.inf, is_repeat=n >= len(own), spliced=True))
     out = [c for k, c in enumerate(cues) if k not in used] + fixes
     return sorted(out, key=lambda c: (c.start, c.end))
 
@@ -310,10 +313,15 @@ def kernel(name: str) -> Kernel:
     return KERNELS[name]
 
 
+def matrix(frames: pd.DataFrame) -> np.ndarray:
+    return np.stack(frames.sort_values("t")["lp"].to_list()).astype(float)
+
+
 def align(scores: DataFrame, references: DataFrame, blank: int, engine: str = "direct") -> DataFrame:
     """rec, t, state, margin, error: best path of scores (rec, t, lp) through references (rec, ids array). A recording
-    that can't be aligned is one row with an error; the others go on."""
-    run = kernel(engine)
+    that can't be aligned is one row with an error; the others go on. The engine `segmented` is an approximation that cuts
+    at silences; its references have word_ends and silences (feature frames) too."""
+    run = None if engine == "segmented" else kernel(engine)
     rec = scores.schema["rec"].dataType.simpleString()
 
     def one(key: tuple, frames: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
@@ -321,17 +329,86 @@ def align(scores: DataFrame, references: DataFrame, blank: int, engine: str = "d
         try:
             if refs.empty or frames.empty:
                 raise ValueError("no reference" if refs.empty else "no frames")
-            frames = frames.sort_values("t")
-            got = run(np.stack(frames["lp"].to_list()).astype(float), list(refs["ids"].iloc[0]), blank)
+            lp, ref = matrix(frames), refs.iloc[0]
+            got = run(lp, list(ref["ids"]), blank) if run else segmented(lp, list(ref["ids"]), list(ref["word_ends"]), list(ref["silences"]), blank)
             if got is None:
                 raise ValueError("the labels don't fit into the frames")
-            return pd.DataFrame({"rec": key[0], "t": frames["t"].to_numpy(), "state": got[0], "margin": got[1], "error": None})[columns]
+            return pd.DataFrame({"rec": key[0], "t": np.sort(frames["t"].to_numpy()), "state": got[0], "margin": got[1], "error": None})[columns]
         except ValueError as e:
             return pd.DataFrame([[key[0], None, None, None, str(e)]], columns=columns)
 
     return scores.groupBy("rec").cogroup(references.groupBy("rec")).applyInPandas(one, f"rec {rec}, t long, state long, margin double, error string")
 
 
+def word_cues(lp: np.ndarray, words: list[Cue], blank: int, run: Kernel) -> list[Cue]:
+    """words with start, end, token spans, mean score and least margin by the best path; those with a token that the path
+    left out are left out too."""
+    ids = [t for w in words for t in w.tokens]
+    got = run(lp, ids, blank)
+    if got is None:
+        raise ValueError("the labels don't fit into the frames")
+    path, margin = got
+    states = states_of(ids, blank)
+    first, last = np.full(len(states), -1), np.full(len(states), -1)
+    last[path] = np.arange(len(path))
+    first[path[::-1]] = np.arange(len(path))[::-1]
+    every = list(zip(first[1::2].tolist(), last[1::2].tolist(), strict=True))
+    out = []
+    for w, end in zip(words, np.cumsum([len(w.tokens) for w in words]).tolist(), strict=True):
+        own = every[end - len(w.tokens) : end]
+        if own and all(s >= 0 for s, _ in own):
+            s, e = own[0][0], own[-1][1]
+            out.append(replace(w, start=s, end=e, spans=own, avg=path_means(lp, states, path, s, e), margin=float(margin[s : e + 1].min()) if e >= s else np.inf))
+    return out
+
+
+def align_words(scores: DataFrame, slots: DataFrame, blank: int, engine: str = "direct", repeats: RepeatParams | None = None) -> DataFrame:
+    """The words of recordings, aligned: rec, cue_no, word_no, start_frame, end_frame, token_frame_spans, is_repeat, spliced,
+    avg_logprob, min_decision_margin, error. slots: rec, word_no, sura, aya, is_ayah_final, tokens.
+
+    Alignment and, with `repeats`, the search for phrases said twice run over one copy of a recording's scores, so these
+    are dealt out once. A recording that can't be aligned is one row with an error; the others go on.
+    """
+    run = kernel(engine)
+    rec = scores.schema["rec"].dataType.simpleString()
+    schema = f"rec {rec}, cue_no long, word_no long, start_frame long, end_frame long, token_frame_spans array<struct<start:bigint,end:bigint>>, is_repeat boolean, spliced boolean, avg_logprob double, min_decision_margin double, error string"
+    columns = [f.split()[0] for f in "rec, cue_no, word_no, start_frame, end_frame, token_frame_spans, is_repeat, spliced, avg_logprob, min_decision_margin, error".split(", ")]
+
+    def one(key: tuple, frames: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        try:
+            if own.empty or frames.empty:
+                raise ValueError("no reference" if own.empty else "no frames")
+            lp = matrix(frames)
+            words = [
+                Cue(int(w.word_no), 0, 0, list(w.tokens), int(w.sura or 0), -1 if w.aya is None else int(w.aya), bool(w.is_ayah_final))
+                for w in own.astype(object).where(own.notna(), None).sort_values("word_no").itertuples()
+            ]
+            got = word_cues(lp, words, blank, run)
+            if repeats:
+                got = find_repeats(got, lp.astype(np.float32).astype(float), blank, repeats)
+            rows = [
+                (key[0], k, c.cue_no, c.start, c.end, [{"start": s, "end": e} for s, e in c.spans], c.is_repeat, c.spliced, c.avg, c.margin, None)
+                for k, c in enumerate(got)
+            ]
+            return pd.DataFrame(rows, columns=columns)
+        except ValueError as e:
+            return pd.DataFrame([[key[0], *[None] * 9, str(e)]], columns=columns)
+
+    wanted = slots.select("rec", "word_no", "sura", "aya", "is_ayah_final", "tokens")
+    return scores.groupBy("rec").cogroup(wanted.groupBy("rec")).applyInPandas(one, schema)
+
+
+def split_chunks(silences: DataFrame, lengths: DataFrame, hop: int = 48, warmup: int = 4, most: int | None = None) -> DataFrame:
+    """rec, chunk: split_points() of every recording; silences (rec, frame), lengths (rec, n_chunks)."""
+    rec = lengths.schema["rec"].dataType.simpleString()
+
+    def one(key: tuple, own: pd.DataFrame, n: pd.DataFrame) -> pd.DataFrame:
+        got = split_points(own["frame"].tolist(), int(n["n_chunks"].iloc[0]), hop, warmup, most) if len(n) else []
+        return pd.DataFrame([(key[0], c) for c in got], columns=["rec", "chunk"])
+
+    return silences.groupBy("rec").cogroup(lengths.groupBy("rec")).applyInPandas(one, f"rec {rec}, chunk long")
+
+
 def detect_repeats(cues: DataFrame, scores: DataFrame, blank: int, params: RepeatParams = RepeatParams()) -> DataFrame:  # noqa: B008
     """cues (rec, cue_no, start_frame, end_frame, tokens, sura, aya, is_ayah_final, avg_logprob) after find_repeats."""
     rec = cues.schema["rec"].dataType.simpleString()

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.operators import cues, frames, search
+from strandline.operators import cues, search
 
 
 @dataclass(frozen=True)
 class AlignParams:
-    """Parameters of the plan; the defaults are part of its meaning."""
+    """Parameters of the plan; the defaults are part of its meaning. repeats: None for no search."""
 
     blank: int = 0
     seconds_per_frame: float = 0.04
@@ -26,37 +26,14 @@ class AlignParams:
 def align(scores: DataFrame, slots: DataFrame, params: AlignParams = AlignParams()) -> tuple[DataFrame, DataFrame]:  # noqa: B008
     """(records, errors) of scores (rec, t, lp) and slots (rec, word_no, word, sura, aya, is_ayah_final, tokens).
 
-    The alignment and the repeat search are grouped functions; everything around them is relational and optimised as one.
+    One grouped function aligns a recording, searches it for repeats and splices those in: each keeps its word, has the
+    spans and the mean of its own copy and an infinite margin. All that follows are windows over the same dealing by
+    recording, so the scores are moved and searched once for the records (and once more if the errors are asked for).
     """
-    tokens = slots.select("rec", "word_no", F.posexplode("tokens").alias("k", "token"))
-    order = F.array_sort(F.collect_list(F.struct("word_no", "k", "token")))
-    refs = tokens.groupBy("rec").agg(F.transform(order, lambda x: x["token"]).alias("ids"))
-    path = search.align(scores, refs, params.blank, params.engine)
-    errors = path.filter("error IS NOT NULL").select("rec", "error")
-    path = path.filter("error IS NULL").drop("error")
-    positions = refs.select("rec", F.posexplode("ids").alias("pos", "token"))
-    words = frames.token_spans(frames.state_spans(path), _positions(slots))
-    states = positions.select("rec", (2 * F.col("pos") + 1).cast("long").alias("state"), F.col("token").alias("symbol"))
-    blanks = refs.select("rec", F.explode(F.sequence(F.lit(0), F.size("ids"))).alias("n")).select("rec", (2 * F.col("n")).cast("long").alias("state"), F.lit(params.blank).cast("long").alias("symbol"))
-    states = states.select("rec", "state", F.col("symbol").cast("long").alias("symbol")).unionByName(blanks)
-    scored = frames.path_scores(scores, path, states)
-    cue = words.join(slots, ["rec", "word_no"]).withColumnRenamed("word_no", "cue_no").withColumn("is_repeat", F.lit(False))
-    cue = cues.span_margins(cues.span_means(cue, scored), path)
-    cue = cues.flag_low_confidence(cue, params.logprob_margin, params.margin_floor)
-    return cues.clamp(
-        cue.withColumn("start", F.col("start_frame") * params.seconds_per_frame).withColumn("end", F.col("end_frame") * params.seconds_per_frame),
-        params.shortest_word,
-    ), errors
-
-
-def _positions(slots: DataFrame) -> DataFrame:
-    """rec, word_no, pos of every token of every word, numbered through the recording."""
-    order = Window.partitionBy("rec").orderBy("word_no", "k")
-    rows = slots.select("rec", "word_no", F.posexplode("tokens").alias("k", "token"))
-    return rows.select("rec", "word_no", (F.row_number().over(order) - 1).alias("pos"))
-
-
-def fix_repeats(records: DataFrame, scores: DataFrame, params: AlignParams = AlignParams()) -> DataFrame:  # noqa: B008
-    """The records after the repeat search; spliced words have an infinite decision margin."""
-    wanted = records.select("rec", "cue_no", "start_frame", "end_frame", "tokens", "sura", "aya", "is_ayah_final", "avg_logprob")
-    return search.detect_repeats(wanted, scores, params.blank, params.repeats or search.RepeatParams())
+    got = search.align_words(scores, slots, params.blank, params.engine, params.repeats)
+    errors = got.filter("error IS NOT NULL").select("rec", "error")
+    named = slots.select("rec", "word_no", "word", "sura", "aya", "is_ayah_final", "tokens")
+    records = got.filter("error IS NULL").drop("error").join(named, ["rec", "word_no"])
+    records = cues.flag_low_confidence(records, params.logprob_margin, params.margin_floor, F.col("spliced"))
+    timed = records.withColumn("start", F.col("start_frame") * params.seconds_per_frame).withColumn("end", F.col("end_frame") * params.seconds_per_frame)
+    return cues.clamp(timed, params.shortest_word), errors

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions import arrays, scalars
-from strandline.operators import catalog, cues, frames, search, signal
-from strandline.plans import fixtures
+from strandline.operators import catalog, cues, frames, reference, search, signal
+from strandline.plans import alignment, fixtures
 from strandline.plans.fixtures import BLANK, CUES, ENERGIES, SCORES, table
 from strandline.sources import readers
 
@@ -212,22 +212,21 @@ def jn8_slot_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cues.slot_starts(cues.display_mapping(fixtures.cues(spark, sf_dir))).withColumn("start", F.round("start", 6))
 
 
-@query(f"""WITH {CUES}, times AS (SELECT DISTINCT rec, round(start + 3, 3) AS time FROM cues WHERE cue_no % 3 = 0),
-h AS (SELECT t.rec, t.time, max(c.start) AS s FROM times t LEFT JOIN cues c ON c.rec = t.rec AND c.start <= t.time GROUP BY t.rec, t.time)
+@query(f"""WITH {CUES}, times AS (SELECT DISTINCT rec, round(start + 3, 3) AS time FROM cues), starts AS (SELECT DISTINCT rec, start AS s FROM cues),
+h AS (SELECT t.rec, t.time, s FROM times t ASOF LEFT JOIN starts ON t.rec = starts.rec AND t.time >= starts.s)
 SELECT h.rec, h.time, coalesce(max(c.cue_no) FILTER (h.time < c."end"), -1) AS cue_no FROM h LEFT JOIN cues c ON c.rec = h.rec AND c.start = h.s GROUP BY h.rec, h.time""")
 def jn6_words_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = fixtures.cues(spark, sf_dir)
-    times = own.filter(F.col("cue_no") % 3 == 0).select("rec", F.round(F.col("start") + 3, 3).alias("time")).distinct()
-    return cues.words_at(own, times)
+    return cues.words_at(own, own.select("rec", F.round(F.col("start") + 3, 3).alias("time")).distinct())
 
 
 @query(f"""WITH {CUES}, s AS (SELECT *, sum(CASE WHEN is_repeat AND NOT coalesce(p, FALSE) THEN 1 ELSE 0 END) OVER (PARTITION BY rec ORDER BY cue_no) - 1 AS site FROM (SELECT *, lag(is_repeat) OVER (PARTITION BY rec ORDER BY cue_no) AS p FROM cues)),
-sites AS (SELECT rec, site, arg_min(start, cue_no) AS start FROM s WHERE is_repeat GROUP BY rec, site), times AS (SELECT rec, start AS time FROM cues WHERE cue_no % 5 = 0)
+sites AS (SELECT rec, site, arg_min(start, cue_no) AS start FROM s WHERE is_repeat GROUP BY rec, site), times AS (SELECT rec, start AS time FROM cues)
 SELECT t.rec, round(t.time, 6) AS time, round(greatest(0, coalesce(min(s.start) FILTER (s.start > t.time + 0.5), min(s.start)) - 5), 6) AS next_seek, round(greatest(0, coalesce(max(s.start) FILTER (s.start < t.time - 1), max(s.start)) - 5), 6) AS prev_seek
 FROM times t JOIN sites s USING (rec) GROUP BY t.rec, t.time""")
 def jn9_repeat_jumps(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = fixtures.cues(spark, sf_dir)
-    got = cues.repeat_jumps(cues.repeat_sites(own), own.filter(F.col("cue_no") % 5 == 0).select("rec", F.col("start").alias("time")))
+    got = cues.repeat_jumps(cues.repeat_sites(own), own.select("rec", F.col("start").alias("time")))
     got = got.filter("next_seek IS NOT NULL").distinct()
     return got.select("rec", *[F.round(c, 6).alias(c) for c in ("time", "next_seek", "prev_seek")])
 
@@ -263,6 +262,15 @@ SELECT w.rec, w.cue_no, round(avg(e.energy), 6) AS avg_logprob, min(e.energy) AS
 def agg4_span_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = fixtures.energies(spark, sf_dir)
     words = own.groupBy("rec", F.floor(F.col("t") / 5).alias("cue_no")).agg(F.min("t").alias("start_frame"), F.max("t").alias("end_frame"))
+    got = cues.span_scores(words, own.select("rec", "t", F.col("energy").alias("lp"), F.col("energy").alias("margin")))
+    return got.select("rec", "cue_no", F.round("avg_logprob", 6).alias("avg_logprob"), "min_decision_margin")
+
+
+@query(f"""WITH {ENERGIES}, w AS (SELECT rec, t // 7 AS cue_no, greatest(0, min(t) - 2) AS start_frame, max(t) AS end_frame FROM energies GROUP BY rec, t // 7)
+SELECT w.rec, w.cue_no, round(avg(e.energy), 6) AS avg_logprob, min(e.energy) AS min_decision_margin FROM w JOIN energies e ON e.rec = w.rec AND e.t BETWEEN w.start_frame AND w.end_frame GROUP BY w.rec, w.cue_no""")
+def agg5_overlapping_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = fixtures.energies(spark, sf_dir)
+    words = own.groupBy("rec", F.floor(F.col("t") / 7).alias("cue_no")).agg(F.greatest(F.lit(0), F.min("t") - 2).alias("start_frame"), F.max("t").alias("end_frame"))
     got = cues.span_margins(cues.span_means(words, own.withColumnRenamed("energy", "lp")), own.withColumnRenamed("energy", "margin"))
     return got.select("rec", "cue_no", F.round("avg_logprob", 6).alias("avg_logprob"), "min_decision_margin")
 
@@ -332,7 +340,12 @@ def ln_plain_loudness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signal.plain_loudness(pcm).select("rec", F.round("lufs", 6).alias("lufs"), F.round("peak_db", 6).alias("peak_db"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {ENERGIES}, l AS (SELECT rec, quantile_cont(energy, 0.3) AS q FROM energies GROUP BY rec), s AS (SELECT e.*, t - row_number() OVER (PARTITION BY e.rec ORDER BY t) AS island FROM energies e JOIN l USING (rec) WHERE energy <= q),
+r AS (SELECT rec, min(t) AS i, max(t) + 1 AS j FROM s GROUP BY rec, island), runs AS (SELECT rec, (i + j) // 2 * 160 + 200 AS p, j - i AS frames FROM r WHERE j - i >= 2),
+g AS (SELECT rec, list(p ORDER BY frames DESC, p) AS ps FROM runs GROUP BY rec),
+c(rec, ps, chosen) AS (SELECT rec, ps, CAST([] AS BIGINT[]) FROM g WHERE len(ps) > 5 UNION ALL
+  SELECT rec, list_filter(ps[2:], lambda x: abs(x - ps[1]) >= 1600), list_append(chosen, ps[1]) FROM c WHERE len(ps) > 0 AND len(chosen) < 5)
+SELECT rec, unnest(ps) AS midpoint_sample FROM g WHERE len(ps) <= 5 UNION ALL SELECT rec, unnest(chosen) FROM c WHERE len(chosen) = 5 OR len(ps) = 0""")
 def w9_spaced_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = signal.silence_runs(fixtures.energies(spark, sf_dir), percentile=0.3, least=2)
     return signal.spaced_runs(runs, most=5, gap=1600)
@@ -405,11 +418,11 @@ def agg12_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.error_rate(rows, "source").withColumns({"exact": F.round("exact", 6), "rate": F.round("rate", 6)})
 
 
-@query("""WITH f(file) AS (SELECT lpad(CAST(p_partkey AS VARCHAR), 3, '0') || '.opus' FROM part WHERE p_partkey < 60 AND p_partkey % 3 = 0 UNION ALL SELECT lpad(CAST(p_partkey AS VARCHAR), 3, '0') || '.mp3' FROM part WHERE p_partkey < 60 AND p_partkey % 6 = 0 UNION ALL SELECT CAST(p_partkey AS VARCHAR) || '.wav' FROM part WHERE p_partkey < 60 AND p_partkey % 5 = 0 UNION ALL SELECT lpad(CAST(p_partkey AS VARCHAR), 3, '0') || '_x.mp3' FROM part WHERE p_partkey < 60 AND p_partkey % 7 = 1)
-SELECT s.p_partkey AS surah, coalesce((SELECT 'd/' || file FROM f WHERE file = lpad(CAST(p_partkey AS VARCHAR), 3, '0') || '.mp3'), (SELECT 'd/' || file FROM f WHERE file = lpad(CAST(p_partkey AS VARCHAR), 3, '0') || '.opus'), (SELECT 'd/' || file FROM f WHERE file = CAST(p_partkey AS VARCHAR) || '.wav'), (SELECT 'd/' || file FROM f WHERE file = lpad(CAST(p_partkey AS VARCHAR), 3, '0') || '_x.mp3')) AS path FROM part s WHERE p_partkey < 60""")
+@query("""SELECT p_partkey AS surah, CASE WHEN p_partkey % 6 = 0 THEN 'd/' || pad || '.mp3' WHEN p_partkey % 3 = 0 THEN 'd/' || pad || '.opus' WHEN p_partkey % 5 = 0 THEN 'd/' || p_partkey || '.wav' WHEN p_partkey % 7 = 1 THEN 'd/' || pad || '_x.mp3' END AS path
+FROM (SELECT p_partkey, printf('%03d', p_partkey) AS pad FROM part)""")
 def src4_find_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").filter("p_partkey < 60").select(F.col("p_partkey").cast("int").alias("surah"))
-    padded = F.lpad(F.col("surah").cast("string"), 3, "0")
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("surah"))
+    padded = F.format_string("%03d", "surah")
     names = F.array(
         F.when(F.col("surah") % 3 == 0, F.concat(padded, F.lit(".opus"))), F.when(F.col("surah") % 6 == 0, F.concat(padded, F.lit(".mp3"))),
         F.when(F.col("surah") % 5 == 0, F.concat(F.col("surah").cast("string"), F.lit(".wav"))), F.when(F.col("surah") % 7 == 1, F.concat(padded, F.lit("_x.mp3"))),
@@ -604,11 +617,11 @@ def sf_normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", scalars.normalize_text(F.col("text")).alias("text"))
 
 
-@query("""WITH c AS (SELECT o_orderkey, o_custkey, o_orderstatus, (row_number() OVER (ORDER BY o_orderkey) - 1) // 8 AS batch FROM orders WHERE o_orderkey < 400)
-SELECT CAST(batch AS INT) AS batch, count(*) FILTER (o_orderstatus <> 'P') AS succeeded, CAST(sum(o_custkey) AS BIGINT) AS wall FROM c GROUP BY batch""")
+@query("""WITH c AS (SELECT o_custkey, o_totalprice, o_orderstatus, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 8 AS batch FROM orders)
+SELECT o_custkey, CAST(batch AS INT) AS batch, count(*) FILTER (o_orderstatus <> 'P') AS succeeded, CAST(sum(round(o_totalprice)) AS BIGINT) AS wall FROM c GROUP BY o_custkey, batch""")
 def agg11_batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = catalog.chunked(table(spark, sf_dir, "orders").filter("o_orderkey < 400").withColumn("g", F.lit(0)), 8, ["o_orderkey"], ["g"])
-    return rows.groupBy(F.col("chunk_no").alias("batch")).agg(F.count_if(F.col("o_orderstatus") != "P").alias("succeeded"), F.sum("o_custkey").alias("wall"))
+    rows = catalog.chunked(table(spark, sf_dir, "orders"), 8, ["o_orderkey"], ["o_custkey"])
+    return rows.groupBy("o_custkey", F.col("chunk_no").alias("batch")).agg(F.count_if(F.col("o_orderstatus") != "P").alias("succeeded"), F.sum(F.round("o_totalprice")).cast("long").alias("wall"))
 
 
 @query("""SELECT o_orderkey, round(o_custkey / 1500e0 * 100, 6) AS "left", round(greatest(0.3, (o_orderkey % 20) / 1500e0 * 100), 6) AS width FROM orders""")
@@ -617,7 +630,7 @@ def ux_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", F.round(place["left"], 6).alias("left"), F.round(place["width"], 6).alias("width"))
 
 
-# kernels: no SQL; compared with brute force in the tests
+# kernels: those without SQL are compared with brute force in the tests
 
 
 def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -625,14 +638,45 @@ def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.scores(spark, sf_dir).select("rec").distinct().select("rec", ids.alias("ids"))
 
 
-@query()
+#: The best path as SQL: rows of scores forward (r, by state from 1), then the states backward (i), by recursion.
+BEST_PATH = f"""{SCORES}, refs AS (SELECT rec, list_transform(range(0, 17), lambda s: CASE WHEN s % 2 = 0 THEN 0 ELSE ((s // 2 + 1) * 7 + rec) % 60 + 1 END) AS st FROM (SELECT DISTINCT rec FROM scores)),
+f(rec, t, r) AS (SELECT rec, t, list_transform(range(1, 18), lambda s: CASE WHEN s <= 2 THEN CAST(lp[st[s] + 1] AS DOUBLE) ELSE CAST('-Infinity' AS DOUBLE) END) FROM scores JOIN refs USING (rec) WHERE t = 0
+  UNION ALL SELECT f.rec, s.t, list_transform(range(1, 18), lambda i: greatest(f.r[i], CASE WHEN i > 1 THEN f.r[i - 1] ELSE CAST('-Infinity' AS DOUBLE) END, CASE WHEN i % 2 = 0 AND i > 2 THEN f.r[i - 2] ELSE CAST('-Infinity' AS DOUBLE) END) + CAST(s.lp[st[i] + 1] AS DOUBLE))
+  FROM f JOIN scores s ON s.rec = f.rec AND s.t = f.t + 1 JOIN refs ON refs.rec = f.rec),
+m AS (SELECT rec, t + 1 AS t, i, [r[i], CASE WHEN i > 1 THEN r[i - 1] ELSE CAST('-Infinity' AS DOUBLE) END, CASE WHEN i % 2 = 0 AND i > 2 THEN r[i - 2] ELSE CAST('-Infinity' AS DOUBLE) END] AS moves FROM f, (SELECT unnest(range(1, 18)) AS i)),
+e AS (SELECT rec, max(t) AS t, arg_max(CASE WHEN r[16] > r[17] THEN 16 ELSE 17 END, t) AS i FROM f GROUP BY rec),
+g(rec, t, i) AS (SELECT rec, t, CAST(i AS BIGINT) FROM e UNION ALL SELECT g.rec, g.t - 1, g.i - (list_position(moves, list_max(moves)) - 1) FROM g JOIN m ON m.rec = g.rec AND m.t = g.t AND m.i = g.i WHERE g.t > 0),
+path AS (SELECT g.rec, g.t, g.i - 1 AS state, CASE WHEN isfinite(list_sort(moves, 'DESC')[2]) THEN list_max(moves) - list_sort(moves, 'DESC')[2] END AS margin FROM g LEFT JOIN m ON m.rec = g.rec AND m.t = g.t AND m.i = g.i)"""
+PATH_SQL = f"WITH RECURSIVE {BEST_PATH} SELECT rec, t, state, round(margin, 6) AS margin, CAST(NULL AS VARCHAR) AS error FROM path"
+
+
+def _best_path(spark: SparkSession, sf_dir: str, engine: str) -> DataFrame:
+    got = search.align(fixtures.scores(spark, sf_dir), _references(spark, sf_dir), BLANK, engine)
+    return got.withColumn("margin", F.round(scalars.finite(F.col("margin")), 6))
+
+
+@query(PATH_SQL)
 def dp5_align(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.align(fixtures.scores(spark, sf_dir), _references(spark, sf_dir), BLANK)
+    return _best_path(spark, sf_dir, "direct")
 
 
-@query()
+@query(PATH_SQL)
 def dp7_align_checkpointed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.align(fixtures.scores(spark, sf_dir), _references(spark, sf_dir), BLANK, engine="checkpointed")
+    return _best_path(spark, sf_dir, "checkpointed")
+
+
+@query()
+def dp11_align_segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An approximation: cut at the silences where the recording is long enough, whole elsewhere."""
+    refs = _references(spark, sf_dir).select("rec", "ids", F.lit([2, 4, 6, 8]).alias("word_ends"), F.lit([40, 80, 120]).alias("silences"))
+    return search.align(fixtures.scores(spark, sf_dir), refs, BLANK, "segmented")
+
+
+@query()
+def dp17_split_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silences = fixtures.energies(spark, sf_dir).filter("energy <= 5").select("rec", (F.col("t") * 24).alias("frame"))
+    lengths = silences.groupBy("rec").agg(F.floor(F.max("frame") / 48).alias("n_chunks"))
+    return search.split_chunks(silences, lengths, warmup=4, most=6)
 
 
 @query()
@@ -647,12 +691,45 @@ def dp13_detect_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.detect_repeats(words, fixtures.scores(spark, sf_dir), BLANK)
 
 
-@query()
-def pl_align_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from strandline.plans.alignment import align
-
+def _slots_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _references(spark, sf_dir).select("rec", F.posexplode("ids").alias("word_no", "id"))
-    slots = rows.select(
+    return rows.select(
         "rec", "word_no", F.concat(F.lit("w"), F.col("word_no")).alias("word"), F.lit(1).alias("sura"), F.floor(F.col("word_no") / 4).cast("int").alias("aya"), (F.col("word_no") % 4 == 3).alias("is_ayah_final"), F.array(F.col("id").cast("long")).alias("tokens")
     )
-    return align(fixtures.scores(spark, sf_dir), slots)[0]
+
+
+@query()
+def pl_align_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(fixtures.scores(spark, sf_dir), _slots_of(spark, sf_dir))[0]
+
+
+@query(f"""WITH RECURSIVE {BEST_PATH}, w AS (SELECT p.rec, p.state // 2 AS cue_no, min(p.t) AS start_frame, max(p.t) AS end_frame, avg(CAST(s.lp[refs.st[p.state + 1] + 1] AS DOUBLE)) AS a, min(coalesce(margin, CAST('Infinity' AS DOUBLE))) AS m
+  FROM path p JOIN scores s ON s.rec = p.rec AND s.t = p.t JOIN refs ON refs.rec = p.rec WHERE p.state % 2 = 1 GROUP BY p.rec, p.state // 2),
+b AS (SELECT *, median(a) OVER (PARTITION BY rec) AS base, lead(start_frame) OVER (PARTITION BY rec ORDER BY start_frame) AS nxt, greatest(end_frame * 0.04e0, start_frame * 0.04e0 + 0.15e0) AS lifted FROM w)
+SELECT rec, cue_no, 'w' || cue_no AS word, start_frame, end_frame, round(a, 6) AS avg_logprob, CASE WHEN isfinite(m) THEN round(m, 6) END AS min_decision_margin, a < base - 1 OR m < 0.5 AS low_confidence,
+  round(start_frame * 0.04e0, 6) AS start, round(greatest(CASE WHEN nxt IS NULL THEN lifted ELSE least(lifted, nxt * 0.04e0) END, start_frame * 0.04e0), 6) AS "end" FROM b""")
+def pl_align_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan without the search for repeats, which SQL can state."""
+    got = alignment.align(fixtures.scores(spark, sf_dir), _slots_of(spark, sf_dir), alignment.AlignParams(repeats=None))[0]
+    margin = F.round(scalars.finite(F.col("min_decision_margin")), 6).alias("min_decision_margin")
+    return got.select("rec", "cue_no", "word", "start_frame", "end_frame", F.round("avg_logprob", 6).alias("avg_logprob"), margin, "low_confidence", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
+
+
+@query(f"""WITH {SCORES}, x AS (SELECT g.rec, g.t, s.id, list_sort(lp, 'DESC') AS d, lp[s.id + 1] AS c FROM greedy g JOIN symbols s USING (rec, t))
+SELECT rec, t, id, CASE WHEN t = 0 THEN NULL WHEN c = d[1] THEN round(CAST(d[1] AS DOUBLE) - CAST(d[2] AS DOUBLE), 5) ELSE round(CAST(c AS DOUBLE) - CAST(d[1] AS DOUBLE), 5) END AS margin FROM x""")
+def w13_decision_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = fixtures.scores(spark, sf_dir).select("rec", "t", F.col("lp").cast("array<double>").alias("lp"), (arrays.argmax(F.col("lp")) % 4).cast("long").alias("id"))
+    return frames.decision_margin(chosen).withColumn("margin", F.round(scalars.finite(F.col("margin")), 5))
+
+
+@query("""WITH x AS (SELECT p_partkey, string_split(p_type, '') AS u FROM part)
+SELECT p_partkey, array_to_string(list_filter(list_transform(range(1, len(u) + 1), lambda i: CASE WHEN i = 1 OR u[i] <> u[i - 1] THEN u[i] END), lambda x: x IS NOT NULL), '') AS units FROM x""")
+def w15_collapse_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(arrays.collapse_units(F.split("p_type", "")), "").alias("units"))
+
+
+@query("""SELECT o_orderkey AS rec, CAST(i AS BIGINT) AS out_pos, CAST(i // 2 AS BIGINT) AS text_pos FROM orders, unnest(range(0, 2 * length(o_orderpriority))) AS g(i)""")
+def jn5_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("rec"), F.length("o_orderpriority").alias("n"))
+    mapping = orders.select("rec", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("text_pos")).select("rec", "text_pos", (2 * F.col("text_pos")).alias("start"), (2 * F.col("text_pos") + 2).alias("end"))
+    return reference.scatter(mapping, orders.select("rec", (2 * F.col("n")).alias("n")))

@@ -76,19 +76,44 @@ def tone(seconds, rate=16000):
     return np.sin(2 * np.pi * 200 * np.arange(int(seconds * rate)) / rate)
 
 
-def test_silence_midpoints():
+def test_silence_positions(spark):
     quiet = np.zeros(16000)
     x = np.concatenate([tone(1), quiet, tone(1), quiet, tone(1)])
-    for p in signal.silence_midpoints(x):
-        assert 0.9 <= p / 16000 <= 2.1 or 2.9 <= p / 16000 <= 4.1
-    assert signal.silence_midpoints(np.zeros(160)) == []
+    long = np.concatenate([tone(5), quiet[:8000], tone(5)])
+    pcm = spark.createDataFrame([("a", x.tolist()), ("b", [0.0] * 160), ("c", long.tolist())], "rec string, pcm array<float>")
+    got = [tuple(r) for r in signal.silence_positions(pcm, target_sec=5.0).collect()]
+    own = [p / 16000 for r, p in got if r == "a"]
+    assert own and all(0.9 <= p <= 2.1 or 2.9 <= p <= 4.1 for p in own)
+    assert [round(p / 16000, 1) for r, p in got if r == "c"] == [5.0] and not any(r == "b" for r, _ in got)
+    assert signal.silence_positions(pcm, target_sec=5.0, most=1).filter("rec = 'a'").count() == 1
     with pytest.raises(ValueError):
-        signal.silence_midpoints(x, rate=8000)
+        signal.silence_positions(pcm, rate=8000)
+
+
+def test_frame_rms():
+    x = np.random.default_rng(0).normal(size=4321)
+    starts = range(0, len(x) - 399, 160)
+    assert np.allclose(signal.frame_rms(x), [np.sqrt((x[s : s + 400] ** 2).mean() + 1e-12) for s in starts])
+    blocks = [min(s // 400, len(x) // 400 - 1) * 400 for s in starts]
+    assert np.allclose(signal.frame_rms(x, approximate=True), [np.sqrt((x[b : b + 400] ** 2).mean() + 1e-12) for b in blocks])
+    assert len(signal.frame_rms(x[:399])) == 0 and len(signal.frame_rms(x[:400], True)) == 1
+
+
+def test_biquad():
+    x = np.random.default_rng(1).normal(size=1000)
+    for b, a in signal.K_WEIGHTING[48000]:
+        want, s1, s2 = [], 0.0, 0.0
+        for v in x:
+            y = b[0] * v + s1
+            s1, s2 = b[1] * v - a[1] * y + s2, b[2] * v - a[2] * y
+            want.append(y)
+        assert np.allclose(signal.biquad(x, b, a), want) and len(signal.biquad(x[:0], b, a)) == 0
 
 
 def test_spaced():
-    runs = [(0, 5), (10, 9), (12, 8), (40, 7)]
-    assert signal.spaced(runs, 2, 5) == [10, 40] and signal.spaced(runs, None, 5) == [0, 10, 12, 40]
+    at, frames = np.array([0, 10, 12, 40]), np.array([5, 9, 8, 7])
+    assert signal.spaced(at, frames, 2, 5).tolist() == [10, 40] and signal.spaced(at, frames, 4, 5).tolist() == [0, 10, 12, 40]
+    assert signal.spaced(at, np.array([9, 9, 9, 9]), 3, 11).tolist() == [0, 12, 40]
 
 
 def test_gated_loudness_silence(spark):
