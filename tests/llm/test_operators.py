@@ -9,6 +9,7 @@ import random
 import re
 import struct
 import textwrap
+import time
 import wave
 import zlib
 from collections import defaultdict
@@ -114,7 +115,35 @@ def test_main_text_of_layouts():
     model = html_text.default_model()
     pages = html_text.labelled_pages(60, seed=77)
     exact = sum(html_text.extract(p, model) == t for p, t in pages)
-    assert exact >= 54, exact
+    assert exact >= 58, exact
+
+
+#: Pages written by hand, none of them made by the generator that the model is trained on: body, main text.
+PAGES = [
+    ("<article><h1>T one</h1><p>Some text is here, and more.</p><pre><code>x = 1</code></pre><h3>Third level</h3><p>End of it.</p></article>", "T one\nSome text is here, and more.\nx = 1\nThird level\nEnd of it."),
+    ("<div id=main><h2>Heading two</h2><p>Body text, a few words.</p><h4>Four</h4><p>More.</p></div>", "Heading two\nBody text, a few words.\nFour\nMore."),
+    ("<article><h1>T</h1><ul><li>One<ul><li>Inner</li></ul></li><li>Two</li></ul><table><tr><th>A</th><td>B</td></tr></table></article>", "T\nOne\nInner\nTwo\nA\nB"),
+    ("<article><h1>T</h1><figure><img src=x><figcaption>A picture.</figcaption></figure><dl><dt>Term</dt><dd>What it means.</dd></dl></article>", "T\nA picture.\nTerm\nWhat it means."),
+    ("<main><h1>On rivers</h1><section><h2>Sources</h2><p>Water <em>comes</em> from the <a href=/hills>hills</a>, mostly.</p></section><blockquote>All flows.</blockquote></main><section id=comments><h3>2 comments</h3><p>So true.</p></section>", "On rivers\nSources\nWater comes from the hills, mostly.\nAll flows."),
+    ("<div class=wrapper><header><h2>My site</h2><p>All about it.</p></header><article><h1>News</h1><p>It rained today.</p></article><aside><h3>Related</h3><ul><li><a href=1>Sun</a></li></ul></aside></div>", "News\nIt rained today."),
+    ("<article><h1>Offer</h1><div class=ad>Buy now, cheap.</div><p>The text goes on.</p><form><label>Mail</label><input><button>Send</button></form><p>And ends.</p></article>", "Offer\nThe text goes on.\nAnd ends."),
+]
+
+
+def test_main_text_of_pages_by_hand():
+    for body, want in PAGES:
+        page = f"<html><head><title>x</title></head><body><nav><ul><li><a href=/>Home</a></li><li><a href=/b>About</a></li></ul></nav>{body}<footer>&copy; me, 2020</footer></body></html>"
+        assert html_text.extract(page) == want, body
+
+
+def test_parse_is_linear():
+    """Ends without a beginning, and blocks within very deep inline markup, cost no search of what is open."""
+    took = []
+    for n in (5_000, 20_000):
+        began = time.process_time()
+        html_text.parse("<b>" * n + "</i><li>x<p>" * n)
+        took.append(time.process_time() - began)
+    assert took[1] < 12 * took[0] + 0.5
 
 
 def test_main_text_fixture(spark):
