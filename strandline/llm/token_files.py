@@ -27,8 +27,8 @@ from strandline.llm.common import cut, held, slices, tidy
 
 INDEX_ROWS = 1000
 #: Bytes of the cache, as estimated, in a worker, and what an entry costs besides its characters.
-CACHE_BYTES, ENTRY = 32 << 20, 190
-ROWS, OCTETS = 2048, 1 << 20
+CACHE_BYTES, ENTRY = 144 << 20, 190
+ROWS, OCTETS = 2048, 4 << 20
 LINE_END = "\n"
 #: White space other than space and line end, and runs of it: texts with any of these are encoded whole.
 OTHER_SPACE = [*"\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000\0", *map(chr, range(0x2000, 0x200B)), "  ", " \n", "\n ", "\n\n"]
