@@ -23,9 +23,10 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import ascii_lower, cut
+from strandline.llm.common import ascii_lower, column_of, cut, passed
 
 THRESHOLD = 0.8
+NEW = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Phrases of the contract and the label of each.
@@ -87,7 +88,7 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates: list[tuple[st
     vocabulary = sorted({w for s in sets for w in s})
     keep = [c for c in docs.columns if c != "text"]
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.struct(*keep).alias("row"), F.monotonically_increasing_id().alias("uid"), text.alias("body"))
+    rows = docs.select(F.struct(*[column_of(c).alias(f"c{i}") for i, c in enumerate(keep)]).alias("row"), F.monotonically_increasing_id().alias("uid"), text.alias("body"))
     rows = rows.withColumn("tokens", words(F.col("body")))
     ends = "|".join(sorted({p.split()[-1] for p in PHRASES}))
     has_end = ascii_lower(F.col("body")).rlike(ends)
@@ -135,7 +136,7 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates: list[tuple[st
     base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
     every = F.array_sort(F.array_union(base, F.coalesce("method_labels", F.array().cast("array<string>"))))
     return out.select(
-        *[F.col("row").getField(c).alias(c) for c in keep],
+        *[F.col("row").getField(f"c{i}").alias(n) for i, n in enumerate(passed(keep, NEW).values())],
         "n_words",
         F.size("places").cast("long").alias("n_base"),
         F.array_min(starts).alias("first_word"),

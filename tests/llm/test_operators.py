@@ -355,6 +355,10 @@ def test_licenses(spark, docs, texts, empty):
     assert licenses.scan(empty).count() == 0
     spans = by_id(licenses.scan(df.filter("doc_id = 1").select("doc_id", "text")))[1]["spans"]
     assert [(s["no"], s["label"]) for s in spans] == [(1, "mit")]
+    clash = {"labels": "labels_", "score": "score_", "row": "row", "uid": "uid", "words": "words", "a.b": "a.b", "spans_": "spans_", "spans": "spans__"}
+    named = df.drop("labels").select("*", *[F.lit(k).alias(k) for k in clash])
+    one = licenses.scan(named).filter("doc_id = 2").first().asDict()
+    assert one["labels"] == "apache,gpl,mit" and all(one[new] == old for old, new in clash.items())
 
 
 def test_licenses_wrapped(spark):
