@@ -19,6 +19,7 @@ from strandline.llm.common import cut
 
 SKETCH, SHINGLE = 128, 5
 RANGE_ROWS = 500
+STRIDE, LAST = 32, 2**62
 
 
 def sketch(text: Column, k: int = SKETCH, size: int = SHINGLE) -> Column:
@@ -77,15 +78,16 @@ def fingerprint(a: Column) -> Column:
     return F.base64(F.unhex(F.array_join(F.transform(a, lambda h: F.lpad(F.hex(h), 16, "0")), "")))
 
 
-def key_ranges(rows: DataFrame, key: str, per_range: int = RANGE_ROWS, first_level: int = 1024) -> tuple[Column, Column]:
-    """Columns (cell, range) that deal rows into ascending ranges of the key, of about per_range rows; nulls make the last.
+def key_ranges(rows: DataFrame, key: str, per_range: int = RANGE_ROWS, first_level: int = 1024) -> tuple[Column, int]:
+    """The column that deals rows into ascending ranges of the key, of about per_range rows, and how many ranges make a
+    cell; nulls make the last range, LAST.
 
     Cells are at most first_level + 1, between quantiles; ranges are equal widths within a cell. So what is asked for and
     compared has a fixed size, and what follows a range is found within its cell or is the first of a later cell.
     """
     count, low, high = rows.agg(F.count("*"), F.min(key), F.max(key)).first()
     if low is None:
-        return F.lit(0).cast("long"), F.lit(0).cast("long")
+        return F.lit(0).cast("long"), 1
     ranges = max(1, -(-count // per_range))
     wanted = min(ranges, first_level)
     cuts = [low]
@@ -95,11 +97,22 @@ def key_ranges(rows: DataFrame, key: str, per_range: int = RANGE_ROWS, first_lev
     ends = [*cuts[1:], high + 1]
     parts = -(-ranges // len(cuts))
     widths = [max(1, -(-(e - c) // parts)) for c, e in zip(cuts, ends, strict=True)]
-    at = F.size(F.filter(F.lit(cuts), lambda c: c <= F.col(key)))
-    inside = ((F.col(key) - F.element_at(F.lit(cuts), at)) / F.element_at(F.lit(widths), at)).cast("long")
-    last = F.lit(2**62)
-    is_null = F.col(key).isNull()
-    return F.when(is_null, last).otherwise(at.cast("long")), F.when(is_null, last).otherwise(at.cast("long") * parts + F.least(inside, F.lit(parts - 1)))
+
+    def inside(at: Column) -> Column:
+        step = ((F.col(key) - F.element_at(F.lit(cuts), at)) / F.element_at(F.lit(widths), at)).cast("long")
+        return at.cast("long") * parts + F.least(step, F.lit(parts - 1))
+
+    at = _reached(F.lit(cuts), F.lit(cuts[::STRIDE]), F.col(key))
+    place = F.get(F.transform(F.array(at), inside), 0)
+    return F.when(F.col(key).isNull(), F.lit(LAST)).otherwise(place), parts
+
+
+def _reached(cuts: Column, coarse: Column, x: Column) -> Column:
+    """How many of the ascending cuts are at most x: first among every STRIDE-th, then among the STRIDE from there on."""
+    group = F.size(F.filter(coarse, lambda c: c <= x)) - 1
+    return F.get(
+        F.transform(F.array(group), lambda g: g * STRIDE + F.size(F.filter(F.slice(cuts, g * STRIDE + 1, STRIDE), lambda c: c <= x))), 0
+    )
 
 
 def with_next(docs: DataFrame, k: int = SKETCH, size: int = SHINGLE, per_range: int = RANGE_ROWS) -> DataFrame:
@@ -109,17 +122,18 @@ def with_next(docs: DataFrame, k: int = SKETCH, size: int = SHINGLE, per_range:
     from a table of one row a range. Equal keys follow one another by text; null keys come last. A single row is its own next.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    cell, place = key_ranges(rows, "doc_id", per_range)
-    rows = rows.withColumn("cell", cell).withColumn("place", place)
+    place, per_cell = key_ranges(rows, "doc_id", per_range)
+    rows = rows.withColumn("place", place)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text")
-    firsts = cut(rows.groupBy("cell", "place").agg(F.min_by("text", order).alias("first_text")), "firsts")
+    firsts = cut(rows.groupBy("place").agg(F.min_by("text", order).alias("first_text")), "firsts")
+    cell = F.when(F.col("place") == LAST, F.col("place")).otherwise(F.floor(F.col("place") / per_cell))
     # the range that follows one is in its cell, or the first of the next cell; cells are few, whatever the size
-    cells = firsts.groupBy("cell").agg(F.min("place").alias("first"))
+    places = firsts.select("place", cell.alias("cell"))
+    cells = places.groupBy("cell").agg(F.min("place").alias("first"))
     turn = F.lead("first", 1).over(Window.orderBy("cell"))
     cells = cells.select("cell", F.coalesce(turn, F.min("first").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("later"))
-    inner = firsts.select("cell", "place", F.lead("place").over(Window.partitionBy("cell").orderBy("place")).alias("inner"))
+    inner = places.select("cell", "place", F.lead("place").over(Window.partitionBy("cell").orderBy("place")).alias("inner"))
     nexts = inner.join(cells, "cell").select("place", F.coalesce("inner", "later").alias("follower"))
-    firsts = firsts.drop("cell")
     nexts = nexts.join(firsts.withColumnRenamed("place", "follower"), "follower")
     nexts = cut(nexts.select("place", "first_text", sketch(F.col("first_text"), k, size).alias("first_sketch")), "nexts")
     inside = Window.partitionBy("place").orderBy(F.col("doc_id").asc_nulls_last(), "text")

@@ -423,6 +423,18 @@ def test_fingerprints(spark, docs, texts, empty):
     assert fingerprints.with_next(one).first()["next_text"] == "a b"
 
 
+@pytest.mark.parametrize("first_level", [1024, 40, 1])
+def test_next_row_in_many_ranges(spark, first_level, monkeypatch):
+    ranges = fingerprints.key_ranges
+    monkeypatch.setattr(fingerprints, "key_ranges", lambda rows, key, per_range: ranges(rows, key, per_range, first_level))
+    ids = [k * k * (-1) ** k for k in range(1500)] + [2**50, 2**50 + 1, -(2**50), 7, 7, None, None]
+    rows = [(i, f"{i} {k}") for k, i in enumerate(ids)]
+    got = fingerprints.with_next(spark.createDataFrame(rows, "doc_id long, text string"), per_range=3).collect()
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    assert {(r["doc_id"], r["text"], r["next_text"]) for r in got} == {(*r, rows[(k + 1) % len(rows)][1]) for k, r in enumerate(rows)}
+    assert len(got) == len(rows)
+
+
 def test_fingerprints_merge(spark):
     rng = random.Random(2)
     words = sentence(rng, 900).split()
