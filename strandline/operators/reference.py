@@ -8,6 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Consecutive places of a recording that are one row while they are scattered.
+PLACES = 16
+
 
 def word_offsets(text: Column, words: Column) -> Column:
     """(word, start, end) of the words in text, each searched for behind the one before; a word that is not there is an error."""
@@ -25,14 +28,22 @@ def word_offsets(text: Column, words: Column) -> Column:
 
 def scatter(mapping: DataFrame, lengths: DataFrame) -> DataFrame:
     """rec, out_pos, text_pos of mapping (rec, text_pos, start, end: the output places of a character of the text); of
-    characters that share a place the last one has it. A place below n (rec, n) that none has is an error."""
-    spans = mapping.filter(F.col("end") > F.col("start"))
-    own = spans.select("rec", "text_pos", F.explode(F.sequence(F.col("start"), F.col("end") - 1)).alias("out_pos"))
-    own = own.groupBy("rec", "out_pos").agg(F.max("text_pos").alias("text_pos"))
-    every = lengths.select("rec", F.explode(F.when(F.col("n") > 0, F.sequence(F.lit(0).cast("bigint"), F.col("n").cast("bigint") - 1))).alias("out_pos"))
-    own = own.withColumn("out_pos", F.col("out_pos").cast("bigint"))
+    characters that share a place the last one has it. A place below n (rec, n) that none has is an error.
+
+    A row holds the PLACES places of a block; rows are dealt and joined by recording and block. The join is a merge join by
+    hint: Spark's estimates leave out what explode adds, and it would broadcast all places of large tables.
+    """
+    start, end, n = (F.col(c).cast("bigint") for c in ("start", "end", "n"))
+    first = F.col("block") * PLACES
+    blocks = F.explode(F.sequence(F.floor(start / PLACES), F.floor((end - 1) / PLACES)))
+    spans = mapping.filter(end > start).select("rec", "text_pos", "start", "end", blocks.alias("block"))
+    spans = spans.select("rec", "block", "text_pos", (start - first).alias("lo"), (end - first).alias("hi"))
+    own = spans.groupBy("rec", "block").agg(*[F.max(F.when((F.col("lo") <= k) & (F.col("hi") > k), F.col("text_pos"))).alias(f"at{k}") for k in range(PLACES)])
+    every = lengths.filter(n > 0).select("rec", n.alias("n"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / PLACES))).alias("block"))
+    held = F.slice(F.array(*[F.col(f"at{k}") for k in range(PLACES)]), 1, F.least(F.lit(PLACES), n - first).cast("int"))
+    got = every.join(own.hint("merge"), ["rec", "block"], "left").select("rec", "block", F.posexplode(held).alias("k", "text_pos"))
+    got = got.select("rec", (first + F.col("k")).alias("out_pos"), "text_pos")
     gap = F.raise_error(F.concat(F.lit("no character of the text for place "), F.col("out_pos").cast("string"))).cast("bigint")
-    got = every.join(own, ["rec", "out_pos"], "left")
     return got.select("rec", "out_pos", F.coalesce(F.col("text_pos").cast("bigint"), gap).alias("text_pos"))
 
 

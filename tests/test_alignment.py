@@ -79,6 +79,35 @@ def test_references(spark):
     assert [(r["token"], r["word_no"], r["char_idx"]) for r in got] == [(11, 7, 0), (12, 7, 1), (13, 8, 1)]
 
 
+def test_scatter_broadcasts_nothing(spark):
+    """Estimates leave out what explode adds: both sides look small here, and all places would go through the driver."""
+    orders = spark.range(100).select(F.col("id").alias("rec"), F.lit(400).alias("n"))
+    mapping = orders.select("rec", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("text_pos")).select("rec", "text_pos", F.col("text_pos").alias("start"), (F.col("text_pos") + 1).alias("end"))
+    got = reference.scatter(mapping, orders)
+    assert got.filter("out_pos = text_pos").count() == 40000
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scatter_same_as_a_loop(spark):
+    rng = np.random.default_rng(5)
+    spans, lengths, want = [], [("none", None), ("zero", 0), ("twice", 3), ("twice", 3)], [("twice", p, 0) for p in range(3)] * 2
+    spans += [("twice", 0, -20, 40), ("twice", 9, 3, 3), ("twice", 9, 5, 2), ("twice", 9, None, 2), ("twice", 9, 0, None), ("twice", 9, -9, -2), ("alone", 0, 0, 5)]
+    for rec, n in (("one", 1), ("edge", 16), ("over", 17), ("long", 500)):
+        cuts = [0, *sorted(rng.integers(0, n + 1, 9).tolist()), n]
+        own = [(rec, k, a, b) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+        own += [(rec, int(rng.integers(0, 30)), a, a + int(rng.integers(0, 70))) for a in rng.integers(-40, n, 20).tolist()]
+        place = {p: max(k for _, k, a, b in own if a <= p < b) for p in range(n)}
+        spans, lengths, want = spans + own, [*lengths, (rec, n)], want + [(rec, p, k) for p, k in place.items()]
+    for whole in ("int", "long"):
+        mapping = spark.createDataFrame(spans, f"rec string, text_pos {whole}, start {whole}, end {whole}")
+        got = reference.scatter(mapping, spark.createDataFrame(lengths, f"rec string, n {whole}"))
+        assert got.dtypes == [("rec", "string"), ("out_pos", "bigint"), ("text_pos", "bigint")]
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+        for gap in (mapping.filter("rec <> 'edge'"), mapping.withColumn("text_pos", F.expr("if(rec = 'one', null, text_pos)"))):
+            with pytest.raises(Exception, match="no character"):
+                reference.scatter(gap, spark.createDataFrame(lengths, f"rec string, n {whole}")).collect()
+
+
 def test_tables_of_kernels(spark):
     silences = spark.createDataFrame([("a", k * 480) for k in (2, 4, 5, 6, 8)] + [("b", 480)], "rec string, frame long")
     lengths = spark.createDataFrame([("a", 100), ("b", 8), ("c", 50)], "rec string, n_chunks long")
