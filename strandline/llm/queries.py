@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, fingerprints, html_text, language_id, licenses, line_dedup, media, mixing, ngram_join, token_files
+from strandline.llm import bpe, fingerprints, html_text, language_id, licenses, line_dedup, media, mixing, ngram_join, periodic_runs, token_files
 from strandline.llm.common import new_path, table
 
 # Names of the vocabulary files; the functions below take paths.
@@ -85,6 +85,39 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """docs with every tenth text, by crc32 of its doc_id, made to say a stretch of its words again and again to its end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def loop(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - F.lit(1).cast("long")), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " ")
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    bound = F.get(F.transform(F.array(words), lambda ws: F.when(F.size(ws) > 0, loop(ws)).otherwise(F.lit(""))), 0)
+    return docs.withColumn("text", F.when(h % 10 == 0, bound).otherwise(F.col("text")))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs.find_runs(looped(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = periodic_runs.longest()
+    length = -best["l"]
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        length.alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * length / best["period"]).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_main_text": op2_main_text,
@@ -96,6 +129,7 @@ QUERIES = {
     "op8_media": op8_media,
     "op9_token_files": op9_token_files,
     "op10_mixing": op10_mixing,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -138,7 +172,35 @@ r(doc_id, reached) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.doc_id, e.y F
 SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(reached) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
+#: The table of the 32-bit cyclic redundancy check by byte, for _crc().
+CRC_TABLE = "SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs"
+
+
+def _crc(octets: str) -> str:
+    """SQL for the unsigned crc32 of a list of bytes, where a column crcs holds CRC_TABLE."""
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(crcs[xor(c & 255, b) + 1], c >> 8)), 4294967295)"
+
+
+RUNS_SQL = rf"""
+WITH tab AS ({CRC_TABLE}),
+o AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS ws, {_crc("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))")} AS h FROM documents, tab),
+g AS (SELECT doc_id, ws, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS loops, h // 10 AS g FROM o),
+a AS (SELECT *, CASE WHEN loops THEN g % n END AS a, CASE WHEN loops THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM g),
+w AS (SELECT doc_id, n, i, ws[1 + CASE WHEN loops AND i >= a THEN a + (i - a) % p ELSE i END] AS w FROM a, unnest(range(0, n)) AS u(i)),
+m AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM w x JOIN w y ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+s AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM m),
+e AS (SELECT doc_id, q, min(i) AS lo, max(i) + 1 + q AS hi FROM s GROUP BY doc_id, q, island HAVING max(i) + 1 + q - min(i) >= greatest(6, 4 * q)),
+r AS (SELECT doc_id, lo AS start, hi - lo AS length, min(q) AS period FROM e GROUP BY doc_id, lo, hi),
+b AS (SELECT doc_id, count(*) AS n_runs, arg_min(struct_pack(s := start, l := length, p := period), struct_pack(a := -length, b := start, c := period)) AS best,
+  string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines FROM r GROUP BY doc_id),
+k AS (SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.i) AS stay FROM w WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = w.doc_id AND w.i >= r.start + r.period AND w.i < r.start + r.length) GROUP BY w.doc_id)
+SELECT o.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period, 1000 * best.l // best.p AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(stay, '')) AS collapsed_sha256
+FROM o LEFT JOIN b ON b.doc_id = o.doc_id LEFT JOIN k ON k.doc_id = o.doc_id
+"""
+
 SQL = {
+    "op11_periodic_runs": RUNS_SQL,
     "op3_ngram_join": JOIN_SQL,
     "op4_licenses": _license_sql(),
     "op1_line_dedup": r"""
