@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, fingerprints, html_text, language_id, licenses, line_dedup, media, mixing, ngram_join, periodic_runs, token_files
+from strandline.llm import bpe, fingerprints, html_text, language_id, licenses, line_dedup, media, mixing, ngram_join, periodic_runs, resampling, token_files
 from strandline.llm.common import new_path, table
 
 # Names of the vocabulary files; the functions below take paths.
@@ -118,6 +118,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return resampling.resample(docs, table(spark, sf_dir, "benchmark"), keep_text=False).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_main_text": op2_main_text,
@@ -130,6 +135,7 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_mixing": op10_mixing,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_resampling": op13_resampling,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -183,7 +189,8 @@ def _crc(octets: str) -> str:
 
 RUNS_SQL = rf"""
 WITH tab AS ({CRC_TABLE}),
-o AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS ws, {_crc("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))")} AS h FROM documents, tab),
+o AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS ws, {_crc("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))")} AS h FROM documents, tab),
 g AS (SELECT doc_id, ws, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS loops, h // 10 AS g FROM o),
 a AS (SELECT *, CASE WHEN loops THEN g % n END AS a, CASE WHEN loops THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM g),
 w AS (SELECT doc_id, n, i, ws[1 + CASE WHEN loops AND i >= a THEN a + (i - a) % p ELSE i END] AS w FROM a, unnest(range(0, n)) AS u(i)),
@@ -199,7 +206,26 @@ SELECT o.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS lengt
 FROM o LEFT JOIN b ON b.doc_id = o.doc_id LEFT JOIN k ON k.doc_id = o.doc_id
 """
 
+RESAMPLING_SQL = rf"""
+WITH tab AS ({CRC_TABLE}),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+fd AS (SELECT doc_id, array_to_string(ws[i:i + k - 1], ' ') AS f FROM d, unnest(range(1, len(ws) + 1)) AS g(i), (VALUES (1), (2), (3)) AS o(k) WHERE i + k - 1 <= len(ws)),
+fb AS (SELECT array_to_string(ws[i:i + k - 1], ' ') AS f FROM b, unnest(range(1, len(ws) + 1)) AS g(i), (VALUES (1), (2), (3)) AS o(k) WHERE i + k - 1 <= len(ws)),
+n AS (SELECT f, sum(s) AS s, sum(t) AS t FROM (SELECT f, 1 AS s, 0 AS t FROM fd UNION ALL SELECT f, 0, 1 FROM fb) GROUP BY f),
+c AS (SELECT f, s, t, {_crc("list_transform(regexp_extract_all(hex(encode(f)), '..'), lambda x: CAST('0x' || x AS BIGINT))")} % 10000 AS bucket FROM n, tab),
+k AS (SELECT bucket, CAST(sum(s) AS DOUBLE) AS s, CAST(sum(t) AS DOUBLE) AS t FROM c GROUP BY bucket),
+a AS (SELECT CAST(sum(s) AS DOUBLE) AS s, CAST(sum(t) AS DOUBLE) AS t FROM n),
+w AS (SELECT bucket, CAST(floor(1000 * ln((k.t + 1) * (a.s + 10000) / ((k.s + 1) * (a.t + 10000)))) AS BIGINT) AS gain FROM k, a),
+g AS (SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM fd JOIN c ON c.f = fd.f JOIN w ON w.bucket = c.bucket GROUP BY doc_id),
+h AS (SELECT d.doc_id, len(ws) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+  + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || d.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM d LEFT JOIN g ON g.doc_id = d.doc_id),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM h WHERE n_words >= 20)
+SELECT h.doc_id, n_features, weight, score, CASE WHEN rank <= 5 * n // 100 THEN rank END AS rank FROM h LEFT JOIN r ON r.doc_id = h.doc_id
+"""
+
 SQL = {
+    "op13_resampling": RESAMPLING_SQL,
     "op11_periodic_runs": RUNS_SQL,
     "op3_ngram_join": JOIN_SQL,
     "op4_licenses": _license_sql(),
