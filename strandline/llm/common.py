@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import gc
 import string
 import tempfile
 import uuid
@@ -93,6 +94,13 @@ def discard(df: DataFrame) -> None:
         delete(df.sparkSession, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that are no longer in use: it does so when the driver collects garbage,
+    which by itself may come long after."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -27,29 +27,38 @@ linked with nothing and is in no component; an empty table gives an empty result
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Mapping
+import logging
+import time
+from collections.abc import Callable, Iterator, Mapping
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.common import cut, discard, grouped, held, slices, tidy
+from strandline.llm.common import cut, discard, grouped, held, release, slices, tidy
 from strandline.llm.graph import components
 
 SHINGLE, PERCENT = 3, 90
+#: Partners of a pivot in a block, and sets on a side of what is compared at once; nodes in a block of looks; elements of the
+#: sets of a block that is compared exactly.
 BLOCK = 128
 LOOKS = 1024
+ELEMENTS = 400_000
 #: Words whose hashes a worker keeps; rows, and about as many bytes of text, that a task has in hand.
 CACHE_WORDS = 120_000
 ROWS, OCTETS = 512, 4 << 20
 COLUMNS = 8192
 #: Sets from which costs are measured; in how many of them a signature is called hot, and the parts it is then dealt into.
 SAMPLE, HOT, SALTS = 2048, 24, 64
-#: Seconds x 10^6 that a signature costs (made, moved, matched) and a look at another set's size and histogram.
-SIGNATURE, LOOK = 1.2, 0.25
+#: Seconds x 10^6 of Spark's tasks for moving and matching a signature; what making one and a look at another set's size and
+#: histogram cost is measured with the sample.
+MOVED = 1.4
+
+log = logging.getLogger(__name__)
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -193,28 +202,54 @@ def possible(sizes: np.ndarray, counts: list[np.ndarray], percent: int, left: np
     return out
 
 
-def _links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> np.ndarray:
-    """Which of left and right (or of left among themselves) have the wanted similarity, as a matrix."""
+def near_pairs(a: np.ndarray, a_parts: list[np.ndarray], b: np.ndarray, b_parts: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the pairs of nodes, of sizes a and b, may have the wanted similarity, by histogram; never a false no."""
+    most = (a + b) * (100 - percent) // (100 + percent)
+    out = np.zeros(len(a), bool)
+    for k, (x, y) in enumerate(zip(a_parts, b_parts, strict=True)):
+        parts = min(len(x), len(y))
+        out[k] = np.abs(_fold(x, parts) - _fold(y, parts)).sum() <= most[k]
+    return out
+
+
+class Filter(NamedTuple):
+    """What excludes pairs of nodes by their sizes and parts alone: of pairs in rows, and of two lists of nodes."""
+
+    pairs: Callable[[np.ndarray, list[np.ndarray], np.ndarray, list[np.ndarray], int], np.ndarray]
+    lists: Callable[[np.ndarray, list[np.ndarray], int, np.ndarray, np.ndarray], np.ndarray]
+    unit: type = np.uint8
+
+
+HISTOGRAMS = Filter(near_pairs, possible)
+
+
+def counted(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
+    """How many elements each of left shares with each of right (or of left), as a matrix."""
     sets = left + (right or [])
     sizes = np.array([len(s) for s in sets])
-    if len(sets) == 2:
-        common = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        counts = np.array([[common]]) if right else np.array([[sizes[0], common], [common, sizes[1]]])
-    else:
-        tokens, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-        order = np.argsort(tokens, kind="stable")
-        tokens, row = tokens[order], row[order]
-        new = np.r_[True, tokens[1:] != tokens[:-1]]
-        column = np.cumsum(new) - 1
-        shared = np.bincount(column)[column] > 1
-        row, column = row[shared], np.cumsum(new & shared)[shared] - 1
-        k = len(left)
-        counts = np.zeros((k, len(right) if right else k), np.int64)
-        for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-            lo, hi = np.searchsorted(column, [start, start + COLUMNS])
-            x = np.zeros((len(sets), COLUMNS), np.float32)
-            x[row[lo:hi], column[lo:hi] - start] = 1
-            counts += (x[:k] @ (x[k:] if right else x).T).astype(np.int64)
+    tokens, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(tokens, kind="stable")
+    tokens, row = tokens[order], row[order]
+    new = np.r_[True, tokens[1:] != tokens[:-1]][: len(tokens)]
+    column = np.cumsum(new) - 1
+    shared = np.bincount(column)[column] > 1 if len(column) else new
+    row, column = row[shared], np.cumsum(new & shared)[shared] - 1
+    k = len(left)
+    counts = np.zeros((k, len(right) if right else k), np.int64)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        lo, hi = np.searchsorted(column, [start, start + COLUMNS])
+        x = np.zeros((len(sets), min(COLUMNS, int(column[hi - 1]) - start + 1)), np.float32)
+        x[row[lo:hi], column[lo:hi] - start] = 1
+        counts += (x[:k] @ (x[k:] if right else x).T).astype(np.int64)
+    if not right:
+        np.fill_diagonal(counts, sizes)
+    return counts
+
+
+def _links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> np.ndarray:
+    """Which of left and right (or of left among themselves) have the wanted similarity, as a matrix."""
+    sizes = np.array([len(s) for s in left + (right or [])])
+    counts = counted(left, right)
     k = len(left)
     a, b = sizes[:k, None], (sizes[k:] if right else sizes)[None, :]
     return counts * 100 >= percent * (a + b - counts)
@@ -248,6 +283,17 @@ def _forest(linked: np.ndarray, square: bool) -> list[tuple[int, int]]:
     return out
 
 
+def _look_seconds(sets: list[np.ndarray], percent: int) -> float | None:
+    """How long a look at another set's size and histogram takes, of those of about equal size among the sets."""
+    if len(sets) < 2:
+        return None
+    near = sorted(sets, key=len)[len(sets) // 4 : 3 * len(sets) // 4 + 1]
+    sizes, parts, every = np.array([len(x) for x in near]), [histogram(x) for x in near], np.arange(len(near))
+    began = time.perf_counter()
+    possible(sizes, parts, percent, every, every)
+    return (time.perf_counter() - began) / len(near) ** 2
+
+
 def measured(docs: DataFrame, percent: int, size: int, sample: int = SAMPLE) -> tuple[dict[int, int], dict[int, dict[int, float]], list[int]]:
     """(threshold-1 segments by band, cost a set by band and choice, hot signatures), from about `sample` different texts.
 
@@ -264,21 +310,24 @@ def measured(docs: DataFrame, percent: int, size: int, sample: int = SAMPLE) ->
         for batch in batches:
             for start, n in slices(batch.column(1), 64, OCTETS):
                 out = []
-                for t in batch.column(1).slice(start, n).to_pylist():
-                    tokens = shingle_set(t, size)
+                sets = [shingle_set(t, size) for t in batch.column(1).slice(start, n).to_pylist()]
+                look = _look_seconds([x for x in sets if len(x)], percent)
+                for tokens in sets:
                     node = int(np.bitwise_xor.reduce(tokens)) >> 1 if len(tokens) else 0
                     for band, own_h in bands_of(len(tokens), percent) if len(tokens) else []:
                         for k in choices(band, percent):
+                            began = time.perf_counter()
                             sigs = np.unique(_segment_signatures(tokens, band, percent, k, own_h)).view(np.int64)
-                            out.append((band, k, node, sigs))
+                            out.append((band, k, node, time.perf_counter() - began, look, sigs))
                 if out:
-                    bands, ks, nodes, sigs = zip(*out, strict=True)
+                    bands, ks, nodes, spent, looked, sigs = zip(*out, strict=True)
                     ends = pa.array(np.cumsum([0, *map(len, sigs)]), pa.int32())
                     values = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sigs), pa.int64()))
-                    yield pa.RecordBatch.from_arrays([pa.array(bands, pa.int32()), pa.array(ks, pa.int32()), pa.array(nodes, pa.int64()), values], names=["band", "ones", "node", "sigs"])
+                    yield pa.RecordBatch.from_arrays([pa.array(bands, pa.int32()), pa.array(ks, pa.int32()), pa.array(nodes, pa.int64()), pa.array(spent), pa.array(looked), values], names=["band", "ones", "node", "spent", "look", "sigs"])
 
-    signed = cut(few.mapInArrow(tidy(run), "band int, ones int, node long, sigs array<long>").dropDuplicates(["band", "ones", "node"]), "sample")
-    counts = signed.groupBy("band", "ones").agg(F.count("*").alias("sets"), F.sum(F.size("sigs")).alias("sigs")).collect()
+    signed = cut(few.mapInArrow(tidy(run), "band int, ones int, node long, spent double, look double, sigs array<long>").dropDuplicates(["band", "ones", "node"]), "sample")
+    counts = signed.groupBy("band", "ones").agg(F.count("*").alias("sets"), F.sum(F.size("sigs")).alias("sigs"), F.sum("spent").alias("spent")).collect()
+    look = 1e6 * (signed.agg(F.percentile_approx("look", 0.5)).first()[0] or 0.0)
     each = signed.select("band", "ones", "node", F.explode("sigs").alias("s")).select("band", "ones", "node", F.col("s").bitwiseAND(-2).alias("sig"), F.col("s").bitwiseAND(1).alias("whole"))
     shared = each.groupBy("band", "ones", "sig").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("who"), F.max("whole").alias("whole"))
     shared = shared.filter("members > 1 AND whole = 1").drop("whole")
@@ -287,7 +336,7 @@ def measured(docs: DataFrame, percent: int, size: int, sample: int = SAMPLE) ->
     looks = {(r["band"], r["ones"]): r["looks"] for r in once.groupBy("band", "ones").agg(F.sum(F.expr("members * (members - 1) / 2")).alias("looks")).collect()}
     costs: dict[int, dict[int, float]] = {}
     for r in counts:
-        own = SIGNATURE * r["sigs"] + LOOK * looks.get((r["band"], r["ones"]), 0.0) * times
+        own = 1e6 * r["spent"] + MOVED * r["sigs"] + look * looks.get((r["band"], r["ones"]), 0.0) * times
         costs.setdefault(r["band"], {})[r["ones"]] = own / r["sets"]
     chosen = {band: min(own, key=lambda k: (own[k], k)) for band, own in costs.items()}
     hot = [r["sig"] for r in shared.filter(F.col("members") >= HOT).select("sig", "band", "ones").collect() if chosen[r["band"]] == r["ones"]]
@@ -345,7 +394,7 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["u", "v"])
 
 
-def pivot_links(pairs: DataFrame, seen: DataFrame, texts: DataFrame, percent: int, size: int, block: int = BLOCK) -> DataFrame:
+def pivot_links(pairs: DataFrame, seen: DataFrame, texts: DataFrame, percent: int, size: int, block: int = BLOCK, by: Filter = HISTOGRAMS) -> DataFrame:
     """Those of the pairs (u, v: node and pivot) that have the wanted similarity. Sizes and histograms are looked at first;
     then the partners of a pivot are dealt out in blocks, and the pivot's text goes to each of them."""
 
@@ -353,11 +402,9 @@ def pivot_links(pairs: DataFrame, seen: DataFrame, texts: DataFrame, percent: in
         for batch in batches:
             a, b = batch.column(2).to_numpy(), batch.column(4).to_numpy()
             fits = np.minimum(a, b) * 100 >= percent * np.maximum(a, b)
-            most = (a + b) * (100 - percent) // (100 + percent)
-            for k in np.flatnonzero(fits).tolist():
-                x, y = (np.frombuffer(batch.column(c)[k].as_buffer(), np.uint8) for c in (3, 5))
-                parts = min(len(x), len(y))
-                fits[k] = np.abs(_fold(x, parts) - _fold(y, parts)).sum() <= most[k]
+            at = np.flatnonzero(fits)
+            x, y = ([np.frombuffer(v.as_buffer(), by.unit) for v in batch.column(c).take(pa.array(at))] for c in (3, 5))
+            fits[at] = by.pairs(a[at], x, b[at], y, percent)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(fits)), batch.column(1).filter(pa.array(fits))], names=["u", "v"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,18 +443,20 @@ def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return common * 100 >= percent * (len(a) + len(b) - common)
 
 
-def with_main(rows: DataFrame, key: str) -> DataFrame:
+def with_main(rows: DataFrame, key: str, weight: Column | None = None) -> DataFrame:
     """Of rows (key, rep, label) those whose key has several labels, with is_main (the key's most frequent label, the least
-    of equals), n_main and members."""
-    per = rows.groupBy(key, "label").agg(F.count("*").alias("c"))
-    per = per.groupBy(key).agg(F.max_by("label", F.struct("c", -F.col("label"))).alias("main"), F.max("c").alias("n_main"), F.sum("c").alias("members"))
-    per = cut(per.filter("members > n_main"), "mains")
+    of equals), n_main and members: the weight (1 a row) of the main label's rows and of all."""
+    per = rows.groupBy(key, "label").agg(F.count("*").alias("c"), F.sum(F.lit(1) if weight is None else weight).alias("w"))
+    order = F.struct("c", -F.col("label"))
+    per = per.groupBy(key).agg(F.max_by("label", order).alias("main"), F.max_by("w", order).alias("n_main"), F.sum("w").alias("members"), F.count("*").alias("labels"))
+    per = cut(per.filter("labels > 1").drop("labels"), "mains")
     return rows.join(per.hint("merge"), key).withColumn("is_main", F.col("label") == F.col("main")).drop("main")
 
 
 def in_blocks(rows: DataFrame, per_block: int) -> DataFrame:
-    """rows with block, bi and bj. The main label's nodes are cut into blocks -1, -2 and so on of about per_block, the others
-    into blocks 0, 1 and so on. Every two blocks meet, other than two of the main label, whose nodes are linked already."""
+    """rows with block, bi and bj. The main label's nodes are cut into blocks -1, -2 and so on of about per_block in weight,
+    the others into blocks 0, 1 and so on. Every two blocks meet, other than two of the main label, whose nodes are linked
+    already."""
     mains = F.ceil(F.col("n_main") / per_block).cast("int")
     others = F.ceil((F.col("members") - F.col("n_main")) / per_block).cast("int")
     place = F.xxhash64("rep")
@@ -421,7 +470,7 @@ def _apart(labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarra
     return labels[left][:, None] != labels[right][None, :]
 
 
-def candidates(shared: DataFrame, percent: int, looks: int = LOOKS) -> DataFrame:
+def candidates(shared: DataFrame, percent: int, looks: int = LOOKS, by: Filter = HISTOGRAMS) -> DataFrame:
     """Links (u, v) that span, for every signature, the nodes of different labels that may be similar; shared: sig, rep, n,
     parts, label and the columns of with_main()."""
 
@@ -431,10 +480,10 @@ def candidates(shared: DataFrame, percent: int, looks: int = LOOKS) -> DataFrame
             if group.num_rows < 2:
                 continue
             reps, sizes, block = group.column("rep").to_pylist(), group.column("n").to_numpy(), group.column("block").to_numpy()
-            counts = [np.frombuffer(c, np.uint8) for c in group.column("parts").to_pylist()]
+            parts = [np.frombuffer(c, by.unit) for c in group.column("parts").to_pylist()]
             bi, bj = group.column("bi")[0].as_py(), group.column("bj")[0].as_py()
             left, right = np.flatnonzero(block == bi), np.flatnonzero(block == bj)
-            near = possible(sizes, counts, percent, left, right) & _apart(group.column("label").to_numpy(), left, right)
+            near = by.lists(sizes, parts, percent, left, right) & _apart(group.column("label").to_numpy(), left, right)
             found.update((reps[left[x]], reps[right[y]]) for x, y in _forest(near, bi == bj))
             if len(found) > 50_000:
                 yield _pairs(list(found))
@@ -447,9 +496,17 @@ def candidates(shared: DataFrame, percent: int, looks: int = LOOKS) -> DataFrame
     return dealt.select("sig", "rep", "n", "parts", "label", "block", "bi", "bj").mapInArrow(tidy(run), "u long, v long")
 
 
-def verified(placed: DataFrame, texts: DataFrame, percent: int, size: int, block: int = BLOCK) -> DataFrame:
+def _tiles(at: np.ndarray, tile: int) -> list[np.ndarray]:
+    return [at[k : k + tile] for k in range(0, len(at), tile)]
+
+
+def verified(placed: DataFrame, texts: DataFrame, percent: int, size: int, elements: int = ELEMENTS, tile: int = BLOCK) -> DataFrame:
     """Spanning links (u, v) of the true links between labels within candidate groups; placed: rep, label, grp and the
-    columns of with_main(); texts: rep, text."""
+    columns of with_main() by elements; texts: rep, text.
+
+    A block holds sets of about `elements` elements together, so a text of n shingles in a group of S shingles is moved about
+    S / elements times, and a task has two blocks in hand; inside, sets are compared a tile with a tile.
+    """
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, int]] = []
@@ -459,17 +516,22 @@ def verified(placed: DataFrame, texts: DataFrame, percent: int, size: int, block
             left, right = np.flatnonzero(blocks == bi), np.flatnonzero(blocks == bj)
             if len(left) < (2 if bi == bj else 1) or not len(right):
                 continue
-            tokens = [shingle_set(t, size) for t in group.column("text").to_pylist()]
-            linked = _links([tokens[k] for k in left], None if bi == bj else [tokens[k] for k in right], percent)
-            linked = linked & _apart(labels, left, right)
-            found += [(reps[left[x]], reps[right[y]]) for x, y in _forest(linked, bi == bj)]
+            sets = [shingle_set(t, size) for t in group.column("text").to_pylist()]
+            for i, x in enumerate(_tiles(left, tile)):
+                for j, y in enumerate(_tiles(right, tile)):
+                    same = bi == bj and i == j
+                    if bi == bj and j < i or not (labels[x][:, None] != labels[y][None, :]).any():
+                        continue
+                    linked = _links([sets[k] for k in x], None if same else [sets[k] for k in y], percent) & _apart(labels, x, y)
+                    found += [(reps[x[u]], reps[y[v]]) for u, v in _forest(linked, same)]
             if len(found) > 50_000:
                 yield _pairs(found)
                 found = []
         if found:
             yield _pairs(found)
 
-    met = texts.join(in_blocks(placed, block).hint("merge"), "rep").select("grp", "rep", "label", "block", "bi", "bj", "text")
+    dealt = in_blocks(placed, elements).select("grp", "rep", "label", "block", "bi", "bj")
+    met = texts.join(dealt.hint("merge"), "rep").select("grp", "rep", "label", "block", "bi", "bj", "text")
     n = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = met.repartition(n, "grp", "bi", "bj").sortWithinPartitions("grp", "bi", "bj")
     return met.mapInArrow(tidy(verify), "u long, v long")
@@ -481,10 +543,17 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(own.hint("merge"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
 
 
-def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, block: int = BLOCK, looks: int = LOOKS, sample: int = SAMPLE) -> DataFrame:
+def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, looks: int = LOOKS, sample: int = SAMPLE, elements: int = ELEMENTS) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links): a row for each of docs."""
-    ones, _, hot = measured(docs, percent, size, sample)
+    ones, costs, hot = measured(docs, percent, size, sample)
+    log.info("segments of threshold 1 by band: %s; costs a set: %s", ones, costs)
     sets = cut(signed_sets(docs, percent, size, ones, hot), "sets")
+    return linked(docs, sets, percent, size, HISTOGRAMS, looks, elements)
+
+
+def linked(docs: DataFrame, sets: DataFrame, percent: int, size: int, by: Filter, looks: int = LOOKS, elements: int = ELEMENTS) -> DataFrame:
+    """doc_id, n_shingles, component_id of documents (doc_id, text) by their signed sets (doc_id, node, n, parts, sigs, hots):
+    sets that share a signature are compared by what `by` can exclude, then exactly."""
     known = sets.filter("n > 0 AND doc_id IS NOT NULL")
     reps = cut(known.groupBy("node").agg(F.min("doc_id").alias("rep")), "nodes")
     own = known.join(reps.hint("merge"), "node").filter("doc_id = rep")
@@ -501,17 +570,22 @@ def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, block:
     # several texts of one doc_id are one document
     several = known.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("doc_id")
     same = known.select("doc_id", "node").join(several, "doc_id").join(reps, "node").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    links = cut(pivot_links(pairs, seen, texts, percent, size, block).unionByName(same), "links")
+    links = cut(pivot_links(pairs, seen, texts, percent, size, by=by).unionByName(same), "links")
     near = cut(components(links), "labels")
     mixed = with_main(labelled(once.select("sig", "rep"), near), "sig")
-    stars = cut(candidates(mixed.join(seen.hint("merge"), "rep"), percent, looks).distinct(), "candidates")
-    scratch = [seen, shared, once, links, stars]
+    stars = cut(candidates(mixed.join(seen.hint("merge"), "rep"), percent, looks, by).distinct(), "candidates")
+    discard(shared)
+    discard(once)
+    discard(links)
+    release(docs.sparkSession)
+    scratch = [seen, stars]
     roots = near
     if not stars.isEmpty():
         groups = components(stars)
         groups = groups.unionByName(groups.select(F.col("label").alias("node"), "label").distinct())
-        placed = cut(labelled(groups.select(F.col("node").alias("rep"), F.col("label").alias("grp")), near), "placed")
-        more = cut(verified(with_main(placed, "grp"), texts, percent, size, block), "more-links")
+        placed = labelled(groups.select(F.col("node").alias("rep"), F.col("label").alias("grp")), near)
+        placed = cut(placed.join(seen.groupBy("rep").agg(F.max("n").alias("n")).hint("merge"), "rep"), "placed")
+        more = cut(verified(with_main(placed, "grp", F.col("n")), texts, percent, size, elements), "more-links")
         roots = cut(components(near.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(more)), "roots")
         scratch += [near, placed, more]
     roots = roots.select(F.col("node").alias("rep"), "label")

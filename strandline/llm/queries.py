@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, fingerprints, html_text, language_id, licenses, line_dedup, media, mixing, ngram_join, periodic_runs, resampling, token_files
+from strandline.llm import bpe, fingerprints, html_text, language_id, licenses, line_dedup, media, minhash, mixing, ngram_join, periodic_runs, resampling, token_files
 from strandline.llm.common import new_path, table
 
 # Names of the vocabulary files; the functions below take paths.
@@ -118,6 +118,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=80, size=2)
+    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return resampling.resample(docs, table(spark, sf_dir, "benchmark"), keep_text=False).select("doc_id", "n_features", "weight", "score", "rank")
@@ -135,6 +140,7 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_mixing": op10_mixing,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_minhash": op12_minhash,
     "op13_resampling": op13_resampling,
 }
 
@@ -166,18 +172,22 @@ FROM w LEFT JOIN pl ON pl.doc_id = w.doc_id LEFT JOIN al ON al.doc_id = w.doc_id
 """
 
 
-JOIN_SQL = rf"""
+def _join_sql(size: int, percent: int, more: str = "") -> str:
+    """Shingles of `size` words, links of at least that similarity, components by recursion."""
+    shingle = " || ' ' || ".join(f"ws[i + {k}]" for k in range(size))
+    return rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-s AS (SELECT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))
+s AS (SELECT doc_id, unnest(CASE WHEN len(ws) >= {size} THEN list_distinct(list_transform(range(1, len(ws) - {size - 2}), lambda i: {shingle}))
                                  WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 i AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
-l AS (SELECT x, y FROM i JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 90 * (a.n + b.n - k)),
+l AS (SELECT x, y FROM i JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= {percent} * (a.n + b.n - k)),
 e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
 r(doc_id, reached) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reached)
-SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(reached) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(reached) AS component_id{more} FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
+
 #: The table of the 32-bit cyclic redundancy check by byte, for _crc().
 CRC_TABLE = "SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs"
 
@@ -227,7 +237,8 @@ SELECT h.doc_id, n_features, weight, score, CASE WHEN rank <= 5 * n // 100 THEN
 SQL = {
     "op13_resampling": RESAMPLING_SQL,
     "op11_periodic_runs": RUNS_SQL,
-    "op3_ngram_join": JOIN_SQL,
+    "op3_ngram_join": _join_sql(3, 90),
+    "op12_minhash": _join_sql(2, 80, ", r.doc_id = min(reached) AS kept"),
     "op4_licenses": _license_sql(),
     "op1_line_dedup": r"""
 WITH l AS (
