@@ -1,9 +1,7 @@
-"""Array column functions: score vectors, label sequences, edit distance, longest-match tokens."""
+"""Array column functions: score vectors, label sequences, edit distance."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,17 +61,6 @@ def bounded_edit_ratio(a: Column, b: Column, least: float) -> Column:
     return F.when((longer > 0) & (shorter / longer < least), shorter / longer).otherwise(edit_ratio(a, b))
 
 
-def longest_match(text: Column, tokens: list[str]) -> Column:
-    """Greedy longest-match tokens of text with their start; an error if a part of it matches none."""
-    pattern = "|".join(re.escape(t) for t in sorted(tokens, key=lambda t: (-len(t), t)))
-    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    covered = F.aggregate(found, F.lit(0), lambda acc, t: acc + F.length(t))
-    starts = F.transform(
-        found, lambda t, i: F.struct(t.alias("token"), F.aggregate(F.slice(found, F.lit(1), i), F.lit(0), lambda acc, u: acc + F.length(u)).alias("start"))
-    )
-    return F.when(covered == F.length(text), starts).otherwise(F.raise_error(F.concat(F.lit("no token matches a part of: "), text)))
-
-
 def joint_only(joint: Column, alone: Column) -> Column:
     """Names in joint but not in alone, sorted, where the two sets differ; else null."""
     a, b = F.array_sort(F.array_distinct(joint)), F.array_sort(F.array_distinct(alone))

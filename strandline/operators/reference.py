@@ -1,13 +1,20 @@
 """Building references: text, its recited form and the mapping between them, to words, tokens and their places.
 
-The recited form comes from outside (a phonetiser); here its mapping is checked and reshaped. All of it is relational.
+The recited form comes from outside (a phonetiser); here its mapping is checked and reshaped. All of it is relational but the
+calls of a phonetiser, once for each different pair of words that meet at the end of a verse.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: The names of the rules at each character of a text; a ValueError where it can't read the text.
+Phonetiser = Callable[[str], list[list[str]]]
+
 #: Consecutive places of a recording that are one row while they are scattered.
 PLACES = 16
 
@@ -52,3 +59,92 @@ def token_words(tokens: DataFrame, characters: DataFrame) -> DataFrame:
     (characters: rec, out_pos, word_no); char_idx counts from the word's first character."""
     firsts = characters.withColumn("char_idx", F.col("out_pos") - F.min("out_pos").over(Window.partitionBy("rec", "word_no")))
     return tokens.join(firsts.withColumnRenamed("out_pos", "start"), ["rec", "start"], "left").select("rec", "pos", "token", "word_no", "char_idx")
+
+
+def verse_ends(words: DataFrame) -> DataFrame:
+    """rec, word_no, word, next_no, next: the last word of each verse with the first of the next one; words: rec, verse,
+    word_no (ascending through the recording), word."""
+    order = Window.partitionBy("rec").orderBy("word_no")
+    met = words.select("rec", "word_no", "word", "verse", *[F.lead(c).over(order).alias(n) for c, n in (("word_no", "next_no"), ("word", "next"), ("verse", "later"))])
+    return met.filter(F.col("next_no").isNotNull() & ~F.col("verse").eqNullSafe(F.col("later"))).drop("verse", "later")
+
+
+def _changed(joint: list[list[str]], alone: list[list[str]]) -> list[dict]:
+    """Places whose rules differ, with the names that only the joint reading has."""
+    pairs = [(set(a), set(b)) for a, b in zip(joint, alone, strict=False)]
+    return [{"char_idx": k, "rules": sorted(a - b)} for k, (a, b) in enumerate(pairs) if a != b]
+
+
+def joint_rules(pairs: DataFrame, phonetise: Phonetiser) -> DataFrame:
+    """word, next, own, following, error of different pairs (word, next): for either word the characters (char_idx, rules)
+    whose rules are others if both are read on as one text, with the rules that this adds. Pairs that the phonetiser can't
+    read have an error and no rules. Each word alone is read once a batch."""
+    extra = "array<struct<char_idx:int,rules:array<string>>>"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            alone: dict[str, list[list[str]]] = {}
+            rows = []
+            for word, following in zip(batch["word"], batch["next"], strict=True):
+                try:
+                    for w in (word, following):
+                        if w not in alone:
+                            alone[w] = phonetise(w)
+                    joint = phonetise(f"{word} {following}")
+                    after = len(word) + 1
+                    rows.append((word, following, _changed(joint[: len(word)], alone[word]), _changed(joint[after:], alone[following]), None))
+                except ValueError as e:
+                    rows.append((word, following, [], [], str(e)))
+            yield pd.DataFrame(rows, columns=["word", "next", "own", "following", "error"])
+
+    return pairs.select("word", "next").distinct().mapInPandas(run, f"word string, next string, own {extra}, following {extra}, error string")
+
+
+def boundary_rules(words: DataFrame, phonetise: Phonetiser) -> DataFrame:
+    """rec, word_no, char_idx, rules: what reading on over the ends of verses adds at the characters of the words beside them.
+    Of a verse of one word, what the end behind it says goes before what the one ahead of it says."""
+    ends = verse_ends(words)
+    found = ends.join(joint_rules(ends, phonetise), ["word", "next"])
+    sides = F.array(F.struct(F.col("word_no").alias("word_no"), F.lit(1).alias("side"), F.col("own").alias("extra")), F.struct(F.col("next_no").alias("word_no"), F.lit(0).alias("side"), F.col("following").alias("extra")))
+    rows = found.select("rec", F.inline(sides)).select("rec", "word_no", "side", F.inline("extra"))
+    return rows.groupBy("rec", "word_no", "char_idx").agg(F.max_by("rules", "side").alias("rules"))
+
+
+def with_boundary_rules(slots: DataFrame, extra: DataFrame) -> DataFrame:
+    """slots (rec, word_no, letters: an array of structs, ...) whose letters have boundary_rules, null where there are none."""
+    lists = extra.groupBy("rec", "word_no").agg(F.map_from_entries(F.collect_list(F.struct("char_idx", "rules"))).alias("_extra"))
+
+    def letter(x: Column, i: Column) -> Column:
+        return x.withField("boundary_rules", F.try_element_at("_extra", i))
+
+    return slots.join(lists, ["rec", "word_no"], "left").withColumn("letters", F.transform("letters", letter)).drop("_extra")
+
+
+def combined(words: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(references, slots) of the verses of recordings, one after another. words: rec, verse, word (number in the verse),
+    text, letters; tokens: rec, verse, pos (in the verse), id, word, char_idx (in the word).
+
+    references: rec, ids. slots: rec, word_no, word, verse, is_verse_final, token_positions (into ids), token_char_idx,
+    letters. Verses are numbered on by sums over a row for each verse, so words and tokens are not ordered through.
+    """
+    sizes = words.groupBy("rec", "verse").agg(F.count("*").alias("n_words"))
+    sizes = sizes.join(tokens.groupBy("rec", "verse").agg(F.count("*").alias("n_tokens")), ["rec", "verse"], "left")
+    before = Window.partitionBy("rec").orderBy("verse").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "rec", "verse", "n_words", F.coalesce(F.sum("n_words").over(before), F.lit(0)).alias("words_before"), F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("tokens_before")
+    )
+    placed = tokens.join(offsets, ["rec", "verse"]).withColumn("at", F.col("tokens_before") + F.col("pos"))
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("at", "id"))), lambda x: x["id"])
+    references = placed.groupBy("rec").agg(ids.alias("ids"))
+    own = placed.groupBy("rec", "verse", "word").agg(F.array_sort(F.collect_list(F.struct("at", "char_idx"))).alias("own"))
+    slots = words.join(offsets, ["rec", "verse"]).join(own, ["rec", "verse", "word"], "left")
+    return references, slots.select(
+        "rec",
+        (F.col("words_before") + F.col("word")).alias("word_no"),
+        F.col("text").alias("word"),
+        "verse",
+        (F.col("word") == F.col("n_words") - 1).alias("is_verse_final"),
+        F.coalesce(F.transform("own", lambda x: x["at"]), F.array().cast("array<bigint>")).alias("token_positions"),
+        F.coalesce(F.transform("own", lambda x: x["char_idx"]), F.array().cast("array<int>")).alias("token_char_idx"),
+        "letters",
+    )

@@ -1,4 +1,4 @@
-"""Dynamic programming and search: exact constrained alignment, repeat detection, split points, segmented alignment.
+"""Dynamic programming and search: exact constrained alignment, repeat detection, split points.
 
 Kernels are numpy functions of one recording; `align` and `detect_repeats` apply them per recording as grouped Arrow
 functions, so recordings run in parallel and a failing one becomes a row with an error instead of ending the job.
@@ -117,55 +117,60 @@ def path_means(lp: np.ndarray, states: np.ndarray, path: np.ndarray, start: int,
     return float(lp[t, states[path[t]]].mean())
 
 
-def segmented(lp: np.ndarray, ids: list[int], word_ends: list[int], silences: list[int], blank: int, per_frame: int = 4, least: int = 200, slack: int = 10) -> tuple[np.ndarray, np.ndarray] | None:
-    """Alignment cut at silences (feature frames) whose share of greedy tokens is nearest to a word's end; an approximation,
-    for whoever asks for it. Falls back to the whole where it can't cut."""
-    frames, labels = len(lp), len(ids)
-    usable = sorted({s // per_frame for s in silences if 0 < s // per_frame < frames})
-    best = lp.argmax(1)
-    begins = (best != blank) & (best != np.concatenate([[blank], best[:-1]]))
-    counts = np.cumsum(begins)
-    cuts = [(0, 0)]
-    if len(usable) >= 2 and counts[-1]:
-        for t in usable:
-            last_t, last_l = cuts[-1]
-            if t - last_t < least or frames - t < least:
-                continue
-            target = int(counts[t] * labels / max(1, counts[-1]))
-            at = min(word_ends, key=lambda e: abs(e - target))
-            if last_l < at < labels and t - last_t >= at - last_l + slack and frames - t >= labels - at + slack:
-                cuts.append((t, at))
-    if len(cuts) == 1:
-        return viterbi(lp, ids, blank)
-    paths, margins = [], []
-    for (t, at), (t2, at2) in zip(cuts, [*cuts[1:], (frames, labels)], strict=True):
-        got = viterbi(lp[t:t2], ids[at:at2], blank)
-        if got is None:
-            return viterbi(lp, ids, blank)
-        paths.append(got[0] + 2 * at)
-        margins.append(got[1])
-    return np.concatenate(paths), np.concatenate(margins)
+def packed_path(lp: np.ndarray, ids: list[int], blank: int, dtype: type = np.float64, rows: int = 64) -> np.ndarray | None:
+    """The states of viterbi()'s best path from one pass forward that keeps nothing but the moves: two bits a cell, a quarter
+    of a byte where scores take eight. Scores are rows of dtype. Margins need the scores, so there are none."""
+    frames, states = len(lp), states_of(ids, blank)
+    skip = skips(states)
+    if not frames or frames < len(ids) + sum(a == b for a, b in zip(ids[1:], ids[:-1], strict=True)):
+        return None
+    width = -(-len(states) // 4)
+    moves, held = np.zeros((frames, width), np.uint8), np.zeros((rows, 4 * width), np.uint8)
+    # two cells of nothing before the first state, so that advancing and skipping are slices of the row
+    row, new, best = (np.full(len(states) + 2, NEG, dtype) for _ in range(3))
+    row[2:] = _first_row(lp, states)
+    barred = np.where(skip, 0, NEG).astype(dtype)
+    jump, further = np.empty(len(states), dtype), np.empty(len(states), bool)
+    for t in range(1, frames):
+        own = held[t % rows, : len(states)]
+        np.greater(row[1:-1], row[2:], out=own.view(bool))
+        np.maximum(row[1:-1], row[2:], out=best[2:])
+        np.add(row[:-2], barred, out=jump)
+        np.greater(jump, best[2:], out=further)
+        own[further] = 2
+        np.maximum(best[2:], jump, out=best[2:])
+        np.add(best[2:], lp[t].astype(dtype)[states], out=new[2:])
+        row, new = new, row
+        if t % rows == rows - 1 or t == frames - 1:
+            first = t - t % rows
+            quads = held[: t - first + 1].reshape(t - first + 1, width, 4)
+            moves[first : t + 1] = quads[:, :, 0] | quads[:, :, 1] << 2 | quads[:, :, 2] << 4 | quads[:, :, 3] << 6
+    state = _end_state(row[2:])
+    if state is None:
+        return None
+    path = np.zeros(frames, np.int64)
+    for t in range(frames - 1, -1, -1):
+        path[t] = state
+        state -= int(moves[t, state >> 2]) >> 2 * (state & 3) & 3 if t else 0
+    return path
 
 
 def split_points(silences: list[int], n_chunks: int, hop: int = 48, warmup: int = 4, most: int | None = None) -> list[int]:
-    """Chunks to split at: again and again the widest gap with a silence at least `warmup` from both its ends is cut at the
-    one nearest to its middle."""
-    if not silences or n_chunks < 2 * (warmup + 1):
-        return []
-    left = sorted(s // hop for s in silences if warmup <= s // hop <= n_chunks - warmup)
-    bounds, chosen = [0, n_chunks], []
-    while left and (most is None or len(chosen) < most):
-        gaps = sorted(zip(bounds, bounds[1:], strict=False), key=lambda g: g[0] - g[1])
-        fits = (([c for c in left if a + warmup <= c <= b - warmup], a, b) for a, b in gaps)
-        found = next(((own, (a + b) // 2) for own, a, b in fits if own), None)
-        if found is None:
-            break
-        own, middle = found
-        cut = min(own, key=lambda c: abs(c - middle))
-        left.remove(cut)
-        chosen.append(cut)
-        bounds = sorted([*bounds, cut])
-    return sorted(chosen)
+    """Chunks to split at. A stretch of chunks with a silence at least `warmup` from both its ends is bisected at the one
+    nearest to its middle (the earlier of two), and so are its parts; of all bisections those of the `most` widest stretches
+    count, the earlier of equals first. A part is narrower than what it is a part of, so that never leaves out a stretch whose
+    parts are bisected."""
+    points = np.unique(np.asarray(silences, np.int64) // hop)
+    stretches, found = [(0, n_chunks)], []
+    while stretches:
+        a, b = stretches.pop()
+        lo, hi = np.searchsorted(points, [a + warmup, b - warmup + 1])
+        if lo >= hi:
+            continue
+        cut = int(points[lo + np.argmin(np.abs(points[lo:hi] - (a + b) // 2))])
+        found.append((a - b, a, cut))
+        stretches += [(a, cut), (cut, b)]
+    return sorted(cut for *_, cut in sorted(found)[:most])
 
 
 def edit_distance(a: list[int], b: list[int]) -> int:
@@ -234,10 +239,9 @@ def _score_window(lp: np.ndarray, greedy: np.ndarray, words: list[list[int]], st
     to_twice, to_once = ratio(said, twice), ratio(said, phrase)
     free = to_twice >= p.free_ratio and to_twice - to_once >= p.free_margin
     window = lp[start : stop + 1]
-    got = viterbi(window, twice, blank)
-    if got is None:
+    path, states = packed_path(window, twice, blank, np.float32), states_of(twice, blank)
+    if path is None:
         return None
-    path, states = got[0], states_of(twice, blank)
     first, last = np.full(len(states), -1), np.full(len(states), -1)
     last[path] = np.arange(len(path))
     first[path[::-1]] = np.arange(len(path))[::-1]
@@ -304,7 +308,14 @@ def find_repeats(cues: list[Cue], lp: np.ndarray, blank: int, p: RepeatParams =
 
 
 Kernel = Callable[[np.ndarray, list[int], int], tuple[np.ndarray, np.ndarray] | None]
-KERNELS: dict[str, Kernel] = {"direct": viterbi, "checkpointed": lambda lp, ids, blank: viterbi(lp, ids, blank, direct_cells=0)}
+
+
+def _packed(lp: np.ndarray, ids: list[int], blank: int) -> tuple[np.ndarray, np.ndarray] | None:
+    path = packed_path(lp, ids, blank)
+    return None if path is None else (path, np.full(len(path), np.nan))
+
+
+KERNELS: dict[str, Kernel] = {"direct": viterbi, "checkpointed": lambda lp, ids, blank: viterbi(lp, ids, blank, direct_cells=0), "packed": _packed}
 
 
 def kernel(name: str) -> Kernel:
@@ -319,9 +330,9 @@ def matrix(frames: pd.DataFrame) -> np.ndarray:
 
 def align(scores: DataFrame, references: DataFrame, blank: int, engine: str = "direct") -> DataFrame:
     """rec, t, state, margin, error: best path of scores (rec, t, lp) through references (rec, ids array). A recording
-    that can't be aligned is one row with an error; the others go on. The engine `segmented` is an approximation that cuts
-    at silences; its references have word_ends and silences (feature frames) too."""
-    run = None if engine == "segmented" else kernel(engine)
+    that can't be aligned is one row with an error; the others go on. The engine `packed` gives no margins (null);
+    segments.align() takes a recording apart."""
+    run = kernel(engine)
     rec = scores.schema["rec"].dataType.simpleString()
 
     def one(key: tuple, frames: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
@@ -330,10 +341,10 @@ def align(scores: DataFrame, references: DataFrame, blank: int, engine: str = "d
             if refs.empty or frames.empty:
                 raise ValueError("no reference" if refs.empty else "no frames")
             lp, ref = matrix(frames), refs.iloc[0]
-            got = run(lp, list(ref["ids"]), blank) if run else segmented(lp, list(ref["ids"]), list(ref["word_ends"]), list(ref["silences"]), blank)
+            got = run(lp, list(ref["ids"]), blank)
             if got is None:
                 raise ValueError("the labels don't fit into the frames")
-            return pd.DataFrame({"rec": key[0], "t": np.sort(frames["t"].to_numpy()), "state": got[0], "margin": got[1], "error": None})[columns]
+            return pd.DataFrame({"rec": key[0], "t": np.sort(frames["t"].to_numpy()), "state": got[0], "margin": pd.Series(got[1]).replace(np.nan, None), "error": None})[columns]
         except ValueError as e:
             return pd.DataFrame([[key[0], None, None, None, str(e)]], columns=columns)
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.functions import arrays, scalars
-from strandline.operators import catalog, cues, frames, reference, search, signal
+from strandline.operators import catalog, cues, frames, reference, search, segments, signal, tokens
 from strandline.plans import alignment, fixtures
 from strandline.plans.fixtures import BLANK, CUES, ENERGIES, SCORES, table
 from strandline.sources import readers
+from strandline.sources.shared import new_folder
+from strandline.streaming import chunks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -482,11 +484,15 @@ def dp12_edit_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", F.round(arrays.edit_ratio(F.col("p_name"), F.col("p_type")), 6).alias("ratio"))
 
 
-@query("""SELECT o_orderkey, array_to_string(regexp_extract_all(lower(o_orderpriority), 'medium|high|urgent|specified|not|low|[1-5]|-| '), '|') AS tokens FROM orders""")
+#: Tokens of order priorities, the longer of two that begin alike first where that matters to a pattern.
+PRIORITY_TOKENS = {t: k for k, t in enumerate(["medium", "high", "urgent", "not", "specified", "low", "-", " ", "1", "2", "3", "4", "5"])}
+
+
+@query("""WITH o AS (SELECT o_orderkey, regexp_extract_all(lower(o_orderpriority), 'medium|high|urgent|not|specified|low|-| |1|2|3|4|5') AS ts FROM orders)
+SELECT o_orderkey, CAST(i - 1 AS INT) AS pos, CAST(coalesce(list_sum(list_transform(ts[1:i - 1], lambda t: length(t))), 0) AS INT) AS start, ts[i] AS token FROM o, unnest(range(1, len(ts) + 1)) AS g(i)""")
 def dp16_longest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = ["medium", "high", "urgent", "not", "specified", "low", "-", " ", *"12345"]
-    got = arrays.longest_match(F.lower("o_orderpriority"), tokens)
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(F.transform(got, lambda x: x["token"]), "|").alias("tokens"))
+    texts = table(spark, sf_dir, "orders").select("o_orderkey", F.lower("o_orderpriority").alias("text"))
+    return tokens.tokenize(texts, PRIORITY_TOKENS).select("o_orderkey", "pos", "start", "token")
 
 
 @query("""WITH a AS (SELECT o_orderkey, [CAST(o_orderkey % 3 AS VARCHAR), CAST(o_orderkey % 5 AS VARCHAR), 'x'] AS j, [CAST(o_orderkey % 3 AS VARCHAR), 'x'] AS i FROM orders)
@@ -665,14 +671,55 @@ def dp7_align_checkpointed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _best_path(spark, sf_dir, "checkpointed")
 
 
-@query()
+@query(f"WITH RECURSIVE {BEST_PATH} SELECT rec, t, state FROM path")
+def dp10_align_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pass that keeps two bits a cell; no margins."""
+    return search.align(fixtures.scores(spark, sf_dir), _references(spark, sf_dir), BLANK, "packed").select("rec", "t", "state")
+
+
+#: Pieces by silences (runs of frames of which one score is near zero), then the best path of every piece.
+SEGMENTS_SQL = f"""WITH RECURSIVE {SCORES}, n AS (SELECT rec, count(*) AS frames FROM scores GROUP BY rec),
+en AS (SELECT rec, t, abs(CAST(lp[4] AS DOUBLE)) AS energy FROM scores), lim AS (SELECT rec, quantile_cont(energy, 0.3) AS threshold FROM en GROUP BY rec),
+isl AS (SELECT rec, t, t - row_number() OVER (PARTITION BY rec ORDER BY t) AS island FROM en JOIN lim USING (rec) WHERE energy <= threshold),
+si AS (SELECT DISTINCT rec, (min(t) + max(t) + 1) // 2 AS t FROM isl GROUP BY rec, island HAVING (min(t) + max(t) + 1) // 2 > 0),
+sb AS (SELECT rec, t, best <> 0 AND best IS DISTINCT FROM lag(best) OVER (PARTITION BY rec ORDER BY t) AS begins FROM greedy),
+sd AS (SELECT rec, t, sum(CAST(begins AS INT)) OVER (PARTITION BY rec ORDER BY t) AS said FROM sb), tot AS (SELECT rec, max(said) AS total FROM sd GROUP BY rec),
+ca AS (SELECT si.rec, si.t, CAST(floor(said * (8.0e0 / total)) AS BIGINT) AS share FROM si JOIN sd ON sd.rec = si.rec AND sd.t = si.t JOIN tot ON tot.rec = si.rec WHERE total > 0),
+mk AS (SELECT rec, list({{t: t, lab: list_sort(list_transform([2, 4, 6, 8], lambda e: {{o: abs(e - share), e: CAST(e AS BIGINT)}}))[1].e}} ORDER BY t) AS ms FROM ca GROUP BY rec HAVING count(*) > 1),
+ac AS (SELECT n.rec, frames, list_reduce(list_prepend([{{t: CAST(0 AS BIGINT), lab: CAST(0 AS BIGINT)}}], list_transform(coalesce(ms, []), lambda m: [m])), lambda a, m: CASE WHEN m[1].t - a[-1].t >= 8 AND frames - m[1].t >= 8
+  AND m[1].lab > a[-1].lab AND m[1].lab < 8 AND m[1].t - a[-1].t >= m[1].lab - a[-1].lab + 2 THEN list_concat(a, m) ELSE a END) AS kept FROM n LEFT JOIN mk ON mk.rec = n.rec),
+en2 AS (SELECT rec, list_append(kept, {{t: frames, lab: CAST(8 AS BIGINT)}}) AS ends FROM ac),
+pc AS (SELECT rec, CAST(i - 1 AS INT) AS seg, ends[i].t AS t0, ends[i + 1].t AS t1, ends[i].lab AS l0, ends[i + 1].lab AS l1 FROM en2, unnest(range(1, len(ends))) AS g(i)),
+un AS (SELECT rec FROM pc GROUP BY rec HAVING bool_or(t1 - t0 < l1 - l0)),
+pq AS (SELECT * FROM pc WHERE rec NOT IN (SELECT rec FROM un) UNION ALL SELECT rec, 0, 0, frames, 0, 8 FROM n WHERE rec IN (SELECT rec FROM un)),
+st AS (SELECT *, list_transform(range(0, 2 * (l1 - l0) + 1), lambda s: CASE WHEN s % 2 = 0 THEN 0 ELSE ((l0 + s // 2 + 1) * 7 + rec) % 60 + 1 END) AS st FROM pq),
+f(rec, seg, t, r) AS (SELECT st.rec, seg, t, list_transform(range(1, len(st) + 1), lambda s: CASE WHEN s <= 2 THEN CAST(lp[st[s] + 1] AS DOUBLE) ELSE CAST('-Infinity' AS DOUBLE) END) FROM scores JOIN st ON st.rec = scores.rec AND t = t0
+  UNION ALL SELECT f.rec, f.seg, s.t, list_transform(range(1, len(st.st) + 1), lambda i: greatest(f.r[i], CASE WHEN i > 1 THEN f.r[i - 1] ELSE CAST('-Infinity' AS DOUBLE) END, CASE WHEN i % 2 = 0 AND i > 2 THEN f.r[i - 2] ELSE CAST('-Infinity' AS DOUBLE) END) + CAST(s.lp[st.st[i] + 1] AS DOUBLE))
+  FROM f JOIN st ON st.rec = f.rec AND st.seg = f.seg JOIN scores s ON s.rec = f.rec AND s.t = f.t + 1 WHERE s.t < st.t1),
+m AS (SELECT rec, seg, t + 1 AS t, i, [r[i], CASE WHEN i > 1 THEN r[i - 1] ELSE CAST('-Infinity' AS DOUBLE) END, CASE WHEN i % 2 = 0 AND i > 2 THEN r[i - 2] ELSE CAST('-Infinity' AS DOUBLE) END] AS moves FROM f, unnest(range(1, len(r) + 1)) AS g(i)),
+e AS (SELECT rec, seg, max(t) AS t, arg_max(CASE WHEN len(r) > 1 AND r[len(r) - 1] > r[len(r)] THEN len(r) - 1 ELSE len(r) END, t) AS i FROM f GROUP BY rec, seg),
+g(rec, seg, t, i) AS (SELECT rec, seg, t, CAST(i AS BIGINT) FROM e UNION ALL SELECT g.rec, g.seg, g.t - 1, g.i - (list_position(moves, list_max(moves)) - 1) FROM g JOIN st ON st.rec = g.rec AND st.seg = g.seg JOIN m ON m.rec = g.rec AND m.seg = g.seg AND m.t = g.t AND m.i = g.i WHERE g.t > st.t0)
+SELECT g.rec, g.seg AS segment, g.t, g.i - 1 + 2 * st.l0 AS state, CASE WHEN g.t > st.t0 AND isfinite(list_sort(moves, 'DESC')[2]) THEN round(list_max(moves) - list_sort(moves, 'DESC')[2], 6) END AS margin, CAST(NULL AS VARCHAR) AS error
+FROM g JOIN st ON st.rec = g.rec AND st.seg = g.seg LEFT JOIN m ON m.rec = g.rec AND m.seg = g.seg AND m.t = g.t AND m.i = g.i"""
+
+
+@query(SEGMENTS_SQL)
 def dp11_align_segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An approximation: cut at the silences where the recording is long enough, whole elsewhere."""
-    refs = _references(spark, sf_dir).select("rec", "ids", F.lit([2, 4, 6, 8]).alias("word_ends"), F.lit([40, 80, 120]).alias("silences"))
-    return search.align(fixtures.scores(spark, sf_dir), refs, BLANK, "segmented")
+    scores = fixtures.scores(spark, sf_dir)
+    quiet = scores.select("rec", "t", F.abs(F.get("lp", F.lit(3)).cast("double")).alias("energy"))
+    silences = signal.silence_runs(quiet, 0.3, least=1, hop=4, frame=0).select("rec", F.col("midpoint_sample").alias("frame"))
+    refs = _references(spark, sf_dir).select("rec", "ids", F.lit([2, 4, 6, 8]).alias("word_ends"))
+    got = segments.align(scores, refs, silences, BLANK, segments.SegmentParams(least=8, slack=2))
+    return got.withColumn("margin", F.round(scalars.finite(F.col("margin")), 6))
 
 
-@query()
+@query(f"""WITH RECURSIVE {ENERGIES}, q AS (SELECT rec, t * 24 AS frame FROM energies WHERE energy <= 5),
+r AS (SELECT rec, max(frame) // 48 AS n, list_sort(list_distinct(list(frame // 48))) AS cs FROM q GROUP BY rec),
+g(rec, cs, a, b, pick) AS (SELECT rec, cs, CAST(0 AS BIGINT), n, list_sort(list_transform(list_filter(cs, lambda c: c >= 4 AND c <= n - 4), lambda c: {{o: abs(c - n // 2), c: c}}))[1].c FROM r
+  UNION ALL SELECT rec, cs, h.x, h.y, list_sort(list_transform(list_filter(cs, lambda c: c >= h.x + 4 AND c <= h.y - 4), lambda c: {{o: abs(c - (h.x + h.y) // 2), c: c}}))[1].c
+  FROM (SELECT rec, cs, unnest([{{x: a, y: pick}}, {{x: pick, y: b}}]) AS h FROM g WHERE pick IS NOT NULL)),
+k AS (SELECT rec, pick, row_number() OVER (PARTITION BY rec ORDER BY b - a DESC, a) AS k FROM g WHERE pick IS NOT NULL)
+SELECT rec, pick AS chunk FROM k WHERE k <= 6""")
 def dp17_split_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     silences = fixtures.energies(spark, sf_dir).filter("energy <= 5").select("rec", (F.col("t") * 24).alias("frame"))
     lengths = silences.groupBy("rec").agg(F.floor(F.max("frame") / 48).alias("n_chunks"))
@@ -733,3 +780,82 @@ def jn5_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("rec"), F.length("o_orderpriority").alias("n"))
     mapping = orders.select("rec", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("text_pos")).select("rec", "text_pos", (2 * F.col("text_pos")).alias("start"), (2 * F.col("text_pos") + 2).alias("end"))
     return reference.scatter(mapping, orders.select("rec", (2 * F.col("n")).alias("n")))
+
+
+# streams
+
+
+@query(f"""WITH {SCORES}, n AS (SELECT rec, count(*) AS n FROM scores GROUP BY rec),
+w AS (SELECT rec, c AS chunk, r AS "row", 8 * c + 3 * r AS first FROM n, unnest(range(0, CASE WHEN n <= 12 THEN 1 ELSE 1 + CAST(ceil((n - 12) / 8e0) AS BIGINT) END)) AS g(c), (VALUES (0), (1), (2), (3)) AS p(r)),
+x AS (SELECT rec, t, k, CAST(lp[k + 1] AS DOUBLE) AS v FROM scores, unnest(range(0, len(lp))) AS g(k)), dims AS (SELECT DISTINCT k FROM x)
+SELECT w.rec, w.chunk, w."row", dims.k, round(coalesce(sum(v), 0) / 3, 6) AS v FROM w CROSS JOIN dims LEFT JOIN x ON x.rec = w.rec AND x.k = dims.k AND x.t >= w.first AND x.t < w.first + 3 GROUP BY w.rec, w.chunk, w."row", dims.k""")
+def ss1_stream_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of three batches of the scores, through the framing with the stand-in model, from a folder into a folder."""
+    chunks.state_in_rocksdb(spark)
+    where = new_folder(spark, "stream")
+    scores = fixtures.scores(spark, sf_dir)
+    ends = scores.groupBy("rec").agg((F.max("t") + 1).alias("n"))
+    rows = scores.join(ends, "rec").select("rec", "t", F.col("lp").cast("array<double>").alias("feat"), (F.col("t") == F.col("n") - 1).alias("last"), F.floor(3 * F.col("t") / F.col("n")).cast("int").alias("part"))
+    rows.write.partitionBy("part").parquet(f"{where}/parts")
+    schema = rows.drop("part").schema
+    for part in range(3):  # a new query for each batch that comes: what the one before leaves behind is its checkpoint
+        spark.read.schema(rows.schema).parquet(f"{where}/parts").filter(F.col("part") == part).drop("part").write.mode("append").parquet(f"{where}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{where}/in")
+        out = chunks.frame_chunks(stream, chunks.mean_model(4), 12, 8).writeStream.format("parquet").option("path", f"{where}/out").option("checkpointLocation", f"{where}/state")
+        out.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(f"{where}/out")
+    return got.select("rec", "chunk", "row", F.posexplode("out").alias("k", "v")).withColumn("v", F.round("v", 6))
+
+
+# references
+
+
+def letter_rules(text: str) -> list[list[str]]:
+    """A toy phonetiser: the last letter of a text is `final`, one that the next letter equals is `double`."""
+    letters = [k for k, c in enumerate(text) if c != " "]
+    after = dict(zip(letters, letters[1:], strict=False))
+    return [[*(["final"] if letters and k == letters[-1] else []), *(["double"] if k in after and text[after[k]] == c else [])] for k, c in enumerate(text)]
+
+
+@query("""WITH v AS (SELECT conv_id, turn, list_filter(string_split(lower(text), ' '), lambda w: w <> '') AS ws FROM conversations),
+w AS (SELECT conv_id, turn, i, ws[i] AS word, row_number() OVER (PARTITION BY conv_id ORDER BY turn, i) - 1 AS word_no FROM v, unnest(range(1, len(ws) + 1)) AS g(i)),
+p AS (SELECT conv_id, turn, word_no, word, lead(word) OVER o AS nxt, lead(turn) OVER o AS later FROM w WINDOW o AS (PARTITION BY conv_id ORDER BY word_no))
+SELECT conv_id AS rec, CAST(word_no AS BIGINT) AS word_no, CAST(length(word) - 1 AS INT) AS char_idx, CASE WHEN right(word, 1) = left(nxt, 1) THEN 'double' ELSE '' END AS rules FROM p WHERE nxt IS NOT NULL AND later IS DISTINCT FROM turn""")
+def ref_boundary_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.filter(F.split(F.lower("text"), " "), lambda w: w != "")
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("rec"), F.col("turn").alias("verse"), F.posexplode(words).alias("i", "word"))
+    number = F.row_number().over(Window.partitionBy("rec").orderBy("verse", "i")) - 1
+    rows = rows.select("rec", "verse", number.cast("long").alias("word_no"), "word")
+    return reference.boundary_rules(rows, letter_rules).withColumn("rules", F.array_join("rules", ","))
+
+
+@query("""WITH v AS (SELECT o_custkey AS rec, o_orderkey AS verse, lower(o_orderpriority) AS t FROM orders),
+x AS (SELECT rec, verse, regexp_extract_all(t, 'medium|high|urgent|not|specified|low|-| |1|2|3|4|5') AS ts FROM v),
+k AS (SELECT rec, verse, i - 1 AS pos, ts[i] AS token, len(list_filter(ts[1:i - 1], lambda t: t = ' ')) AS word, coalesce(list_sum(list_transform(ts[1:i - 1], lambda t: length(t))), 0) AS start FROM x, unnest(range(1, len(ts) + 1)) AS g(i)),
+q AS (SELECT *, row_number() OVER (PARTITION BY rec ORDER BY verse, pos) - 1 AS gp FROM k), z AS (SELECT rec, verse, word, token, gp, start - min(start) OVER (PARTITION BY rec, verse, word) AS idx FROM q WHERE token <> ' '),
+s AS (SELECT rec, verse, word, string_agg(token, '' ORDER BY gp) AS text, string_agg(gp, ',' ORDER BY gp) AS token_positions, string_agg(idx, ',' ORDER BY gp) AS token_char_idx FROM z GROUP BY rec, verse, word)
+SELECT rec, row_number() OVER (PARTITION BY rec ORDER BY verse, word) - 1 AS word_no, text AS word, verse, word = max(word) OVER (PARTITION BY rec, verse) AS is_verse_final, token_positions, token_char_idx FROM s""")
+def ref_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Priorities as verses of a customer, their parts between spaces as words."""
+    verses = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("rec"), F.col("o_orderkey").alias("verse"), F.lower("o_orderpriority").alias("text"))
+    spans = verses.select("rec", "verse", F.posexplode(reference.word_offsets(F.col("text"), F.split("text", " "))).alias("word", "span"))
+    words = spans.select("rec", "verse", F.col("word").cast("long").alias("word"), F.col("span.word").alias("text"), F.lit(None).alias("letters"))
+    found = tokens.tokenize(verses, PRIORITY_TOKENS)
+    characters = spans.select("rec", "verse", F.col("word").cast("long").alias("word"), F.col("span.start").alias("first"), F.explode(F.sequence("span.start", F.col("span.end") - 1)).alias("start"))
+    placed = found.join(characters, ["rec", "verse", "start"]).select("rec", "verse", "pos", "id", "word", (F.col("start") - F.col("first")).alias("char_idx"))
+    spaces = found.filter("token = ' '").select("rec", "verse", "pos", "id", F.lit(-1).cast("long").alias("word"), F.lit(0).alias("char_idx"))
+    _, slots = reference.combined(words, placed.unionByName(spaces))
+    return slots.select("rec", "word_no", "word", "verse", "is_verse_final", F.array_join("token_positions", ",").alias("token_positions"), F.array_join("token_char_idx", ",").alias("token_char_idx"))
+
+
+# loudness
+
+TAPS = [row.tolist() for row in signal.interpolator()]
+
+
+@query(f"""WITH {ENERGIES}, x AS (SELECT rec, list_concat(list_transform(range(24), lambda z: 0e0), list_concat(list(energy - 25e0 ORDER BY t), list_transform(range(24), lambda z: 0e0))) AS xs FROM energies GROUP BY rec),
+y AS (SELECT rec, max(abs(list_inner_product(xs[i + 1:i + 48], CAST(h AS DOUBLE[])))) AS top FROM x, unnest(range(0, len(xs) - 47)) AS g(i), (SELECT unnest({TAPS}) AS h) GROUP BY rec) SELECT rec, round(20 * log10(greatest(top, 1e-6)), 6) AS true_peak_db FROM y""")
+def ln_true_peak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixtures.energies(spark, sf_dir).groupBy("rec").agg(F.array_sort(F.collect_list(F.struct("t", (F.col("energy") - 25.0).cast("double").alias("v")))).alias("x"))
+    pcm = rows.select("rec", F.transform("x", lambda x: x["v"]).alias("pcm"))
+    return signal.true_peaks(pcm).withColumn("true_peak_db", F.round("true_peak_db", 6))

@@ -113,12 +113,6 @@ def test_tables_of_kernels(spark):
     lengths = spark.createDataFrame([("a", 100), ("b", 8), ("c", 50)], "rec string, n_chunks long")
     got = [r["chunk"] for r in search.split_chunks(silences, lengths, most=2).orderBy("chunk").collect()]
     assert got == search.split_points([k * 480 for k in (2, 4, 5, 6, 8)], 100, most=2)
-    ids = [1, 2, 3, 4] * 40
-    lp = biased(2, ids, per_state=4)
-    scores = spark.createDataFrame([("a", t, r.tolist()) for t, r in enumerate(lp)], "rec string, t long, lp array<double>")
-    refs = spark.createDataFrame([("a", ids, list(range(4, 161, 4)), [4 * 430, 4 * 860])], "rec string, ids array<int>, word_ends array<int>, silences array<int>")
-    path = [r["state"] for r in search.align(scores, refs, 0, "segmented").orderBy("t").collect()]
-    assert path == search.segmented(lp, ids, list(range(4, 161, 4)), [4 * 430, 4 * 860], 0)[0].tolist()
 
 
 def test_nfc(spark):

@@ -94,6 +94,26 @@ def test_split_points():
     assert search.split_points([], 100) == [] and search.split_points([480], 8) == []
 
 
+def test_split_points_equal_repeated_bisection_of_the_widest():
+    def slow(silences, n, warmup, most):
+        points, bounds, out = {s // 48 for s in silences}, [0, n], []
+        while most is None or len(out) < most:
+            fits = [(a - b, a, b) for a, b in itertools.pairwise(bounds) if any(a + warmup <= c <= b - warmup for c in points)]
+            if not fits:
+                break
+            _, a, b = min(fits)
+            out.append(min((c for c in points if a + warmup <= c <= b - warmup), key=lambda c: (abs(c - (a + b) // 2), c)))
+            bounds = sorted([0, n, *out])
+        return sorted(out)
+
+    rng = np.random.default_rng(7)
+    for _ in range(400):
+        n = int(rng.integers(1, 80))
+        silences, warmup = rng.integers(0, n * 48, rng.integers(0, 30)).tolist(), int(rng.integers(1, 8))
+        most = [None, 0, 1, 2, 5][rng.integers(0, 5)]
+        assert search.split_points(silences, n, 48, warmup, most) == slow(silences, n, warmup, most)
+
+
 def words_said_twice(pause):
     """Seven words, the last four said again inside the last one's time."""
     words = [[1, 2], [3, 4], [5, 6], [7, 8], [9, 10], [2, 11], [4, 1]]
@@ -133,13 +153,23 @@ def test_no_repeats_in_plain_recording():
     assert search.find_repeats(cues, lp[: spans[5][1] + 1], 0) == cues
 
 
-def test_segmented_falls_back_and_stitches():
-    ids = [1, 2, 3, 4] * 40
-    lp = biased(2, ids, per_state=4)
-    whole = search.viterbi(lp, ids, 0)[0]
-    got = search.segmented(lp, ids, list(range(4, 161, 4)), [4 * 430, 4 * 860], 0)[0]
-    assert (got == whole).mean() > 0.98
-    assert search.segmented(lp, ids, [4], [], 0)[0].tolist() == whole.tolist()
+@pytest.mark.parametrize("dtype", [np.float64, np.float32])
+def test_packed_path_is_the_best_path(dtype):
+    """Scores of few different values: ties at most cells; some impossible ones, so that skips are forced."""
+    rng = np.random.default_rng(0)
+    for _ in range(300):
+        ids = rng.integers(1, 4, rng.integers(0, 8)).tolist()
+        lp = rng.integers(-3, 1, (rng.integers(1, 40), 4)).astype(float)
+        if rng.random() < 0.3:
+            lp[rng.random(lp.shape) < 0.2] = -np.inf
+        want, got = search.viterbi(lp, ids, 0), search.packed_path(lp, ids, 0, dtype, rows=int(rng.integers(1, 9)))
+        assert (want is None) == (got is None) and (want is None or want[0].tolist() == got.tolist())
+
+
+def test_packed_path_of_a_long_recording():
+    ids = [1, 2, 3, 4] * 300
+    lp = biased(6, ids, per_state=2)
+    assert search.packed_path(lp, ids, 0).tolist() == search.viterbi(lp, ids, 0)[0].tolist()
 
 
 def test_align_isolates_errors(spark):
