@@ -1,18 +1,19 @@
 """License scans: exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text, or a window of consecutive words across line ends that is as long as the template divided by
-THRESHOLD; a template is a known notice; all are sets of words. A block matches a template if it holds at least THRESHOLD
-of the template's words. Words are ordered by their frequency in the corpus, rarest first. Of a template
-of t words that needs o of them, at least one of the t - o + 1 rarest must be in the block (prefix filter); the block must
-hold o template words at all (length filter); and where the first shared word stands must leave enough words after it on
-both sides (positional filter). What passes is verified by the whole intersection.
-
-Only template words matter for the overlap, so blocks are cut down to them in the one pass over the text; templates are
-constants, which bounds the vocabulary, its frequency table and what is broadcast. Beside the templates, phrases are
+A window is a stretch of a text of as many words as a template has, divided by THRESHOLD, wherever lines end; a template is a
+known notice; all are sets of words. A window matches a template if it holds at least THRESHOLD of the template's words, or
+all of them if the template has fewer than SHORT. Texts are cut into blocks of twice the widest window that overlap by half,
+so each window lies in one. Words are ordered by their frequency in the corpus, rarest first. Of a template of t words that
+needs o of them, at least one of the t - o + 1 rarest must be in the block (prefix filter); the block must hold o template
+words at all (length filter); and where the first shared word stands must leave enough words after it on both sides
+(positional filter). What passes is verified window by window.
+
+Only template words matter for the overlap, so blocks are cut down to them in the one pass over the text, which splits it into
+words once; templates are constants, which bounds the vocabulary, its frequency table and what is broadcast. Beside the templates, phrases are
 found at every place where their words stand consecutively.
 
 Defined results: null and empty text has no words, no places, no labels and score 0; a document has the labels of all its
-blocks and its score is the largest containment that reached the threshold (1 if a phrase was found); rows that repeat a
+windows and its score is the largest containment that reached the threshold (1 if a phrase was found); rows that repeat a
 doc_id are each scanned; other columns pass through. Only DataFrame functions are used.
 """
 
@@ -25,27 +26,63 @@ from pyspark.sql import functions as F
 
 from strandline.llm.common import ascii_lower, column_of, cut, passed
 
-THRESHOLD = 0.8
+THRESHOLD, SHORT = 0.8, 8
 NEW = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Phrases of the contract and the label of each.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Public license notices. One label a family: within a family the notices differ by a word or two.
+# Public license notices and texts. One label a family: within a family the notices differ by a word or two.
 TEMPLATES = [
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"
+        " including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so"
+        " subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+    ),
     ("apache", "licensed under the apache license version 2 0"),
     ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    (
+        "apache",
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"
+        " see the license for the specific language governing permissions and limitations under the license",
+    ),
     ("gpl", "this work is licensed under the gnu general public license version 3"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
+    (
+        "gpl",
+        "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"
+        " see the gnu general public license for more details",
+    ),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    (
+        "bsd",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice"
+        " this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+    ),
+    (
+        "bsd",
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability"
+        " and fitness for a particular purpose are disclaimed",
+    ),
     ("mpl", "this source code form is subject to the terms of the mozilla public license"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    (
+        "boost",
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software"
+        " to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software",
+    ),
+    ("boost", "distributed under the boost software license version 1 0"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
     ("cc", "licensed under cc by 4 0"),
+    ("cc", "this work is licensed under a creative commons attribution 4 0 international license"),
+    ("cc", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related rights to this work"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software"),
 ]
 
 
@@ -89,24 +126,20 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates: list[tuple[st
     keep = [c for c in docs.columns if c != "text"]
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.struct(*[column_of(c).alias(f"c{i}") for i, c in enumerate(keep)]).alias("row"), F.monotonically_increasing_id().alias("uid"), text.alias("body"))
-    rows = rows.withColumn("tokens", words(F.col("body")))
+    # every word with its line, split once; lines are only told apart for the spans
+    lined = F.flatten(F.transform(F.split("body", "\n"), lambda line, no: F.transform(words(line), lambda w: F.struct(no.alias("no"), w.alias("w")))))
+    rows = rows.withColumn("lined", lined)
     ends = "|".join(sorted({p.split()[-1] for p in PHRASES}))
     has_end = ascii_lower(F.col("body")).rlike(ends)
-    places = F.when(has_end, phrase_places(F.col("tokens"))).otherwise(F.array().cast("array<struct<start:bigint,label:string>>"))
-    blocks = F.transform(F.split("body", "\n"), lambda line: F.array_distinct(F.filter(words(line), lambda w: w.isin(vocabulary))))
+    places = F.when(has_end, phrase_places(F.transform("lined", lambda x: x["w"]))).otherwise(F.array().cast("array<struct<start:bigint,label:string>>"))
     smallest = min(_needed(len(s), threshold) for s in sets)
-    widths = [_needed(len(re.findall(r"[0-9a-z]+", t)), 1 / threshold) for _, t in templates]
-    wide = _wide_blocks(F.col("lined"), max(widths), vocabulary, smallest)
-    numbered = F.filter(
-        F.transform(blocks, lambda b, i: F.struct(i.alias("no"), b.alias("words"))), lambda b: F.size(b["words"]) >= smallest
-    )
-    lined = F.flatten(F.transform(F.split("body", "\n"), lambda line, no: F.transform(words(line), lambda w: F.struct(no.alias("no"), w.alias("w")))))
-    rows = rows.withColumn("lined", F.when(F.instr("body", "\n") > 0, lined).otherwise(F.slice(lined, 1, 0)))
-    n_words = F.size("tokens").cast("long").alias("n_words")
-    rows = cut(rows.select("row", "uid", n_words, places.alias("places"), numbered.alias("blocks"), wide.alias("wide")), "licenses")
+    widths = [window_words(t, threshold) for _, t in templates]
+    blocks = _blocks(F.col("lined"), max(widths), vocabulary, smallest)
+    n_words = F.size("lined").cast("long").alias("n_words")
+    rows = cut(rows.select("row", "uid", n_words, places.alias("places"), blocks.alias("blocks")), "licenses")
 
-    each = rows.select("uid", F.explode("blocks").alias("b")).select("uid", "b.no", "b.words")
-    counts = dict(each.select(F.explode("words").alias("w")).groupBy("w").count().collect())  # a row a template word
+    each = rows.select("uid", F.explode("blocks").alias("b"))
+    counts = dict(each.select(F.explode(F.array_distinct(F.transform("b", lambda x: x["w"]))).alias("w")).groupBy("w").count().collect())  # a row a template word
     rank = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
     index = []
     for number, ((label, _), own) in enumerate(zip(templates, sets, strict=True)):
@@ -116,18 +149,18 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates: list[tuple[st
             index.append((rank[w], number, label, place, len(ordered), needed, [rank[x] for x in ordered], widths[number]))
     index = spark.createDataFrame(index, "token int, template int, label string, place int, size int, needed int, ranks array<int>, width int")
     firsts = sorted({r for own in sets for r in sorted(rank[w] for w in own)[: len(own) - _needed(len(own), threshold) + 1]})
-    ranked = F.array_sort(F.transform("words", lambda w: _rank_of(w, rank)))
-    each = each.select("uid", "no", ranked.alias("ranks_b"))
+    each = each.select("uid", F.transform("b", lambda x: F.struct(x["no"].alias("no"), x["pos"].alias("pos"), _rank_of(x["w"], rank).alias("r"))).alias("b"))
+    each = each.withColumn("ranks_b", F.array_sort(F.array_distinct(F.transform("b", lambda x: x["r"]))))
     probe = F.filter(F.transform("ranks_b", lambda r, i: F.struct(r.alias("token"), i.alias("place_b"))), lambda x: x["token"].isin(firsts))
-    probe = each.select("uid", "no", "ranks_b", F.explode(probe).alias("p")).select("uid", "no", "ranks_b", "p.token", "p.place_b")
-    met = probe.join(F.broadcast(index), "token").filter(
+    met = each.select("uid", "b", "ranks_b", F.explode(probe).alias("p")).select("uid", "b", "ranks_b", "p.token", "p.place_b").join(F.broadcast(index), "token")
+    met = met.filter(
         (F.size("ranks_b") >= F.col("needed"))  # length
-        & (F.col("place_b") <= F.size("ranks_b") - F.col("needed"))  # the block's own prefix
         & (F.least(F.size("ranks_b") - F.col("place_b"), F.col("size") - F.col("place")) + F.least("place_b", "place") >= F.col("needed"))  # position
     )
-    overlap = F.size(F.array_intersect("ranks_b", "ranks"))
-    hits = met.filter(overlap >= F.col("needed")).select("uid", "no", "label", (overlap / F.col("size")).alias("held"))
-    hits = hits.unionByName(_wide_hits(rows, rank, firsts, index))
+    shared = F.array_intersect("ranks_b", "ranks")
+    # of the words that lead here from a block to a template, the first one they share stands for all
+    met = met.filter((F.get(shared, F.lit(0)) == F.col("token")) & (F.size(shared) >= F.col("needed")))
+    hits = _matching_windows(met)
     found = hits.groupBy("uid").agg(
         F.collect_set("label").alias("method_labels"), F.max("held").alias("held"), F.array_sort(F.collect_set(F.struct("no", "label"))).alias("spans")
     )
@@ -148,40 +181,39 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates: list[tuple[st
     )
 
 
-def _wide_blocks(lined: Column, width: int, vocabulary: list[str], smallest: int) -> Column:
+def _blocks(lined: Column, width: int, vocabulary: list[str], smallest: int) -> Column:
     """Template words (no: line, pos, w) of blocks of 2 width words, a block every width words, so that a window of at most
-    width words lies in one of them whole. Only blocks across line ends with enough template words are kept."""
+    width words lies in one of them whole. Only blocks with enough template words are kept."""
 
     def block(k: Column) -> Column:
         part = F.transform(F.slice(lined, k * width + 1, 2 * width), lambda x, i: F.struct(x["no"].alias("no"), i.alias("pos"), x["w"].alias("w")))
         return F.filter(part, lambda x: x["w"].isin(vocabulary))
 
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size(lined) / width).cast("int") - 2))
-    crosses = lambda b: F.get(b, F.lit(0))["no"] < F.try_element_at(b, F.lit(-1))["no"]
-    return F.filter(F.transform(starts, block), lambda b: (F.size(b) >= smallest) & crosses(b))
+    return F.filter(F.transform(starts, block), lambda b: F.size(b) >= smallest)
 
 
-def _wide_hits(rows: DataFrame, rank: dict[str, int], firsts: list[int], index: DataFrame) -> DataFrame:
-    """uid, no, label, held of the windows across line ends that match, by the prefix filter on their blocks."""
-    own = rows.select("uid", F.explode("wide").alias("b"))
-    own = own.select("uid", F.transform("b", lambda x: F.struct(x["no"].alias("no"), x["pos"].alias("pos"), _rank_of(x["w"], rank).alias("r"))).alias("b"))
-    probe = F.array_distinct(F.filter(F.transform("b", lambda x: x["r"]), lambda r: r.isin(firsts)))
-    met = own.select("uid", "b", F.explode(probe).alias("token")).join(F.broadcast(index), "token")
+def _matching_windows(met: DataFrame) -> DataFrame:
+    """uid, no, label, held of blocks and templates that met (b: no, pos, r): the window that holds most of the template, of
+    equals the first, if that is enough."""
     met = met.withColumn("b", F.filter("b", lambda x: F.array_contains("ranks", x["r"])))
-    met = met.filter(F.size(F.array_distinct(F.transform("b", lambda x: x["r"]))) >= F.col("needed"))
 
     def window(start: Column) -> Column:
         inside = F.filter("b", lambda x: (x["pos"] >= start["pos"]) & (x["pos"] < start["pos"] + F.col("width")))
         held = F.size(F.array_distinct(F.transform(inside, lambda x: x["r"])))
-        crosses = F.try_element_at(inside, F.lit(-1))["no"] > start["no"]
-        return F.struct(F.when(crosses, held).otherwise(0).alias("held"), (-start["pos"]).alias("early"), start["no"].alias("no"))
+        return F.struct(held.alias("held"), (-start["pos"]).alias("early"), start["no"].alias("no"))
 
     best = met.select("uid", "label", "size", "needed", F.array_max(F.transform("b", window)).alias("best"))
     return best.filter(F.col("best.held") >= F.col("needed")).select("uid", "best.no", "label", (F.col("best.held") / F.col("size")).alias("held"))
 
 
+def window_words(template: str, threshold: float = THRESHOLD) -> int:
+    """Words of the windows that are compared with a template."""
+    return -int(-(len(re.findall(r"[0-9a-z]+", template)) / threshold - 1e-9) // 1)
+
+
 def _needed(size: int, threshold: float) -> int:
-    return max(1, -int(-(threshold * size - 1e-9) // 1))
+    return size if size < SHORT else -int(-(threshold * size - 1e-9) // 1)
 
 
 def _rank_of(word: Column, rank: dict[str, int]) -> Column:

@@ -157,14 +157,17 @@ def _values(rows: list[tuple]) -> str:
 def _license_sql() -> str:
     word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
     phrases = _values([(p.split(), len(p.split()), label) for p, label in licenses.PHRASES.items()])
-    sets = [(label, licenses.template_words(t)) for label, t in licenses.TEMPLATES]
-    templates = _values([(label, own, licenses._needed(len(own), licenses.THRESHOLD)) for label, own in sets])
+    sets = [(label, licenses.template_words(t), licenses.window_words(t)) for label, t in licenses.TEMPLATES]
+    templates = _values([(k, label, own, licenses._needed(len(own), licenses.THRESHOLD), width) for k, (label, own, width) in enumerate(sets)])
     return f"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS low FROM documents),
-w AS (SELECT doc_id, regexp_extract_all(low, {word}) AS ws FROM d), phrases(parts, n, label) AS (VALUES {phrases}), templates(label, ts, needed) AS (VALUES {templates}),
+w AS (SELECT doc_id, regexp_extract_all(low, {word}) AS ws FROM d), phrases(parts, n, label) AS (VALUES {phrases}), templates(number, label, ts, needed, width) AS (VALUES {templates}),
 p AS (SELECT doc_id, i - 1 AS start, label FROM w, unnest(range(1, len(ws) + 1)) AS g(i), phrases WHERE ws[i:i + n - 1] = parts),
-b AS (SELECT DISTINCT doc_id, list_distinct(regexp_extract_all(line, {word})) AS bs FROM d, unnest(string_split(low, chr(10))) AS l(line)),
-h AS (SELECT doc_id, label, len(list_intersect(bs, ts)) / CAST(len(ts) AS DOUBLE) AS held FROM b, templates WHERE len(list_intersect(bs, ts)) >= needed),
+x AS (SELECT number, label, needed, width, len(ts) AS size, unnest(ts) AS t FROM templates),
+v AS (SELECT doc_id, number, label, needed, width, size, i, t FROM (SELECT doc_id, i, ws[i] AS word FROM w, unnest(range(1, len(ws) + 1)) AS g(i)) JOIN x ON t = word),
+e AS (SELECT doc_id, number FROM v GROUP BY doc_id, number, needed HAVING count(DISTINCT t) >= needed),
+c AS (SELECT a.doc_id, a.label, a.needed, a.size, count(DISTINCT b.t) AS k FROM v a JOIN e ON e.doc_id = a.doc_id AND e.number = a.number JOIN v b ON b.doc_id = a.doc_id AND b.number = a.number AND b.i >= a.i AND b.i < a.i + a.width GROUP BY a.doc_id, a.number, a.label, a.needed, a.size, a.i),
+h AS (SELECT doc_id, label, k / CAST(size AS DOUBLE) AS held FROM c WHERE k >= needed),
 pl AS (SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM p GROUP BY doc_id),
 al AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(held) AS held FROM (SELECT doc_id, label, 1.0 AS held FROM p UNION ALL SELECT * FROM h) GROUP BY doc_id)
 SELECT w.doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(held, 0.0) AS score
