@@ -141,7 +141,8 @@ def find_runs(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with runs (array of start, length, period, by start, then period) and collapsed, the words that stay joined by
     one space."""
     names = passed(docs.columns, ["runs", "collapsed"])
-    rows = docs.select(*[column_of(c).alias(n) for c, n in names.items()], column_of(text).cast("string").alias("collapsed"))
+    # numbers for names on the way: Arrow functions take no names with dots
+    rows = docs.select(*[column_of(c).alias(f"c{i}") for i, c in enumerate(names)], column_of(text).cast("string").alias("collapsed"))
     run_type = T.ArrayType(T.StructType([T.StructField(k, T.LongType(), False) for k in ("start", "length", "period")]), False)
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField("runs", run_type), T.StructField("collapsed", T.StringType())])
 
@@ -160,7 +161,7 @@ def find_runs(docs: DataFrame, text: str = "text") -> DataFrame:
                 columns = [*part.columns[:-1], pa.array(all_runs, arrow), pa.array(left, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return rows.mapInArrow(tidy(run), schema)
+    return rows.mapInArrow(tidy(run), schema).toDF(*names.values(), "runs", "collapsed")
 
 
 def longest(runs: str = "runs") -> F.Column:

@@ -202,8 +202,7 @@ def _crc(octets: str) -> str:
 
 RUNS_SQL = rf"""
 WITH tab AS ({CRC_TABLE}),
-o AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+') AS ws, {_crc("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))")} AS h FROM documents, tab),
+o AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws, {_crc("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))")} AS h FROM documents, tab),
 g AS (SELECT doc_id, ws, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS loops, h // 10 AS g FROM o),
 a AS (SELECT *, CASE WHEN loops THEN g % n END AS a, CASE WHEN loops THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM g),
 w AS (SELECT doc_id, n, i, ws[1 + CASE WHEN loops AND i >= a THEN a + (i - a) % p ELSE i END] AS w FROM a, unnest(range(0, n)) AS u(i)),

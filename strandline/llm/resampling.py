@@ -150,7 +150,9 @@ def weigh(docs: DataFrame, gains: DataFrame, text: str = "text", order: int = OR
     many numbers go through the driver."""
     own = np.array([g for _, g in sorted((r["bucket"], r["gain"]) for r in gains.collect())], np.int64)
     new = ["n_words", "n_features", "weight"]
-    rows = docs.select(*[column_of(c).alias(n) for c, n in passed(docs.columns, new).items() if keep_text or c != text], column_of(text).cast("string").alias("n_words"))
+    names = {c: n for c, n in passed(docs.columns, new).items() if keep_text or c != text}
+    # numbers for names on the way: Arrow functions take no names with dots
+    rows = docs.select(*[column_of(c).alias(f"c{i}") for i, c in enumerate(names)], column_of(text).cast("string").alias("n_words"))
     schema = T.StructType([*rows.schema.fields[:-1], *[T.StructField(c, T.LongType()) for c in new]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +164,7 @@ def weigh(docs: DataFrame, gains: DataFrame, text: str = "text", order: int = OR
                 columns = [pa.array(x, pa.int64()) for x in (trie.sizes, features, trie.weights(own))]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], names=schema.names)
 
-    return rows.mapInArrow(tidy(run), schema)
+    return rows.mapInArrow(tidy(run), schema).toDF(*names.values(), *new)
 
 
 def noise(doc_id: Column, seed: int = SEED) -> Column:
