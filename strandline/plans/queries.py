@@ -11,7 +11,7 @@ from strandline.functions import arrays, scalars
 from strandline.operators import catalog, cues, frames, reference, search, segments, signal, tokens
 from strandline.plans import alignment, fixtures
 from strandline.plans.fixtures import BLANK, CUES, ENERGIES, SCORES, table
-from strandline.sources import readers
+from strandline.sources import readers, writers
 from strandline.sources.shared import new_folder
 from strandline.streaming import chunks
 
@@ -192,6 +192,25 @@ def snk3_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cues.json_records(got, ["word", "avg", "is_repeat"]).select("rec", F.col("position").alias("cue_no"), "json")
 
 
+@query(f"""WITH {CUES}, w AS (SELECT *, lead(start) OVER o AS nxt FROM cues WINDOW o AS (PARTITION BY rec ORDER BY start, cue_no)), l AS (SELECT *, greatest(CASE WHEN nxt IS NULL THEN greatest("end", start + 0.15) ELSE least(greatest("end", start + 0.15), nxt) END, start) AS e FROM w)
+SELECT rec, row_number() OVER (PARTITION BY rec ORDER BY start, cue_no) - 1 AS cue_no, CAST(round_even(start * 1000, 0) AS BIGINT) AS start_ms, CAST(round_even(e * 1000, 0) AS BIGINT) AS end_ms, word || CASE WHEN is_repeat THEN ' [repeat]' ELSE '' END AS word FROM l WHERE aya <> 0""")
+def snk1_srt_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file a recording, written and read back."""
+    where = new_folder(spark, "srt")
+    writers.write_srt(cues.clamp(fixtures.cues(spark, sf_dir)), where, keep_preamble=False)
+    got = readers.parse_srt(writers.read_files(spark, where, ".srt"))
+    return got.select(F.col("rec").cast("long").alias("rec"), F.col("cue_no").cast("long").alias("cue_no"), F.round(F.col("start") * 1000).cast("long").alias("start_ms"), F.round(F.col("end") * 1000).cast("long").alias("end_ms"), "word")
+
+
+@query(f"""WITH {CUES} SELECT rec, cue_no, word, round(start, 6) AS start, round("end", 6) AS "end", CAST(aya AS INT) AS aya, is_repeat FROM cues""")
+def snk3_json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file a recording, written and read back."""
+    where = new_folder(spark, "json")
+    writers.write_json(fixtures.cues(spark, sf_dir).withColumn("position", F.col("cue_no")), where, ["word", "start", "end", "aya", "sura", "is_repeat"])
+    got = readers.parse_records(writers.read_files(spark, where, ".json"))
+    return got.select(F.col("rec").cast("long").alias("rec"), F.col("cue_no").cast("long").alias("cue_no"), "word", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"), "aya", "is_repeat")
+
+
 @query(f"""WITH {CUES}, s AS (SELECT *, sum(CASE WHEN is_repeat AND NOT coalesce(p, FALSE) THEN 1 ELSE 0 END) OVER (PARTITION BY rec ORDER BY cue_no) - 1 AS site FROM (SELECT *, lag(is_repeat) OVER (PARTITION BY rec ORDER BY cue_no) AS p FROM cues))
 SELECT rec, CAST(site AS BIGINT) AS site, arg_min(aya, cue_no) AS aya, string_agg(word, ' ' ORDER BY cue_no) AS phrase, count(*) AS n_words, round(arg_min(start, cue_no), 6) AS start, round(arg_max("end", cue_no) - arg_min(start, cue_no), 6) AS duration FROM s WHERE is_repeat GROUP BY rec, site""")
 def w10_repeat_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
