@@ -17,6 +17,8 @@ RATE, LENGTH, SHIFT, BINS, FFT = 16000, 400, 160, 80, 512
 TAIL_SEC = 0.3
 #: Frames worked on at once: bounds the memory of a long recording.
 BLOCK = 2000
+#: Samples that the last frame starting in a block reads beyond it.
+AFTER = LENGTH - SHIFT
 
 
 def frame_count(samples: int, tail_sec: float = TAIL_SEC) -> int:
@@ -66,3 +68,25 @@ def features(pcm: DataFrame, tail_sec: float = TAIL_SEC) -> DataFrame:
                     yield pd.DataFrame({"rec": [name] * len(own), "t": np.arange(start, start + len(own)), "feat": list(own)})
 
     return pcm.select("rec", "pcm").mapInPandas(run, f"rec {rec}, t long, feat array<float>")
+
+
+def features_of_blocks(blocks: DataFrame, tail_sec: float = TAIL_SEC) -> DataFrame:
+    """rec, t, feat of recordings in blocks (rec, first, count, total, pcm with AFTER more samples or what there is), as
+    features() gives of whole ones. A frame belongs to the block that it starts in, one in the tail to the last block."""
+    rec = blocks.schema["rec"].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for name, first, count, total, x in pdf.dropna(subset=["pcm"]).itertuples(index=False):
+                first, count, total = int(first), int(count), int(total)
+                end = total + int(RATE * tail_sec)
+                want = end if first + count == total else min(first + count + AFTER, end)
+                if first % SHIFT or first + count < total and count % SHIFT or len(x) < min(want, total) - first:
+                    raise ValueError(f"{name}: blocks start at multiples of {SHIFT} and hold {AFTER} samples beyond their end")
+                held = np.asarray(x, np.float64)[: want - first]
+                got = log_mel(np.concatenate([held, np.zeros(want - first - len(held))]), 0.0)
+                for start in range(0, len(got), BLOCK):
+                    own = got[start : start + BLOCK]
+                    yield pd.DataFrame({"rec": [name] * len(own), "t": np.arange(first // SHIFT + start, first // SHIFT + start + len(own)), "feat": list(own)})
+
+    return blocks.select("rec", "first", "count", "total", "pcm").mapInPandas(run, f"rec {rec}, t long, feat array<float>")

@@ -20,6 +20,7 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 from pyspark.sql.types import StructType
 
 from strandline.operators import cues as cue_tables
+from strandline.sources.shared import opened
 
 FORMAT = "strandline_files"
 
@@ -30,14 +31,6 @@ def file_name(rec: Any, suffix: str) -> str:
     return (f"%{ord(name[0]):02X}{name[1:]}" if name[:1] in ("_", ".") else name) + suffix
 
 
-def opened(url: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a URL and the path in it; a name without a scheme is a local path."""
-    if url.startswith("file:") or "://" not in url:
-        return fs.LocalFileSystem(), url.removeprefix("file://").removeprefix("file:").rstrip("/")
-    system, path = fs.FileSystem.from_uri(url.replace("s3a://", "s3://", 1))
-    return system, path.rstrip("/")
-
-
 @dataclass
 class Written(WriterCommitMessage):
     """All that goes to the driver of a task: the folder of the attempt that counts."""
