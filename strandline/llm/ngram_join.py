@@ -8,8 +8,10 @@ similar sets must agree in one of them. How many segments of either kind a band
 sample of at most SAMPLE sets: signatures a set writes, and looks at other sets that share one, at the size of the whole
 table. Only that choice comes from the sample; every set is indexed, and any choice finds all links. With the costs timed on
 the test tables, equal segments alone are cheapest nearly everywhere: at 90 % and three words in 74 of 75 bands of sf0.1 and
-all 78 of check_l, at 80 % and five words in all 39 and all 41; making and moving the
-signatures of one-deletion neighbourhoods costs more there than the looks that they save. They win where very many short texts share a passage. A larger set that looks into the band below has a smaller H of its own there and skips (threshold -1) its shortest, least selective segments.
+all 78 of check_l, at 80 % and five words in all 39 and all 41; making and moving the signatures of one-deletion
+neighbourhoods costs more there than the looks that they save. They win where very many short texts share a passage. A
+larger set that looks into the band below has a smaller H of its own there and skips (threshold -1) its shortest, least
+selective segments.
 
 Equal sets are one node from the start, whatever the number of copies. Signatures that the sample shows to be held by very
 many sets are salted where nodes meet by signature. Then, in work linear in the nodes of a signature, every node is
