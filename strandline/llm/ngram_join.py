@@ -327,7 +327,7 @@ def measured(docs: DataFrame, percent: int, size: int, sample: int = SAMPLE) ->
                     bands, ks, nodes, spent, looked, sigs = zip(*out, strict=True)
                     ends = pa.array(np.cumsum([0, *map(len, sigs)]), pa.int32())
                     values = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sigs), pa.int64()))
-                    yield pa.RecordBatch.from_arrays([pa.array(bands, pa.int32()), pa.array(ks, pa.int32()), pa.array(nodes, pa.int64()), pa.array(spent), pa.array(looked), values], names=["band", "ones", "node", "spent", "look", "sigs"])
+                    yield pa.RecordBatch.from_arrays([pa.array(bands, pa.int32()), pa.array(ks, pa.int32()), pa.array(nodes, pa.int64()), pa.array(spent, pa.float64()), pa.array(looked, pa.float64()), values], names=["band", "ones", "node", "spent", "look", "sigs"])
 
     signed = cut(few.mapInArrow(tidy(run), "band int, ones int, node long, spent double, look double, sigs array<long>").dropDuplicates(["band", "ones", "node"]), "sample")
     counts = signed.groupBy("band", "ones").agg(F.count("*").alias("sets"), F.sum(F.size("sigs")).alias("sigs"), F.sum("spent").alias("spent")).collect()

@@ -274,6 +274,16 @@ def test_ngram_join_of_hot_groups(spark):
     assert ngram_join.measured(df, 90, 3, sample=200)[2]  # some of these signatures are hot
 
 
+@pytest.mark.parametrize("n", [1, 65])
+def test_sample_of_a_batch_with_one_text(spark, n):
+    """Costs are measured where a piece of a batch has a single set, so that no look can be timed there (the 65th text)."""
+    rng = random.Random(8)
+    rows = [(k, sentence(rng, 30)) for k in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    _, costs, _ = ngram_join.measured(df, 80, 5)
+    assert costs and all(c > 0 for own in costs.values() for c in own.values())
+
+
 def test_many_near_copies_are_linear(spark):
     """20,000 different near copies of one text: the components are right and no pair within the group is looked at twice."""
     rng = random.Random(12)
