@@ -120,31 +120,43 @@ def with_boundary_rules(slots: DataFrame, extra: DataFrame) -> DataFrame:
     return slots.join(lists, ["rec", "word_no"], "left").withColumn("letters", F.transform("letters", letter)).drop("_extra")
 
 
+def verse_rows(words: DataFrame, tokens: DataFrame) -> DataFrame:
+    """rec, verse, n_words, n_tokens, ids, words (structs word, text, letters, own: structs pos, char_idx): a row for each verse
+    that has words, of the frames that combined() takes. Words and tokens are dealt once, by recording and verse."""
+    said = words.select("rec", "verse", "word", F.struct("text", "letters").alias("said"))
+    read = tokens.select("rec", "verse", "word", F.struct("pos", "char_idx", "id").alias("read"))
+    dealt = said.unionByName(read, allowMissingColumns=True).repartition("rec", "verse")
+    own = dealt.groupBy("rec", "verse", "word").agg(F.collect_list("said").alias("said"), F.array_sort(F.collect_list("read")).alias("own"))
+    each = F.transform("said", lambda x: F.struct(F.col("word"), x["text"].alias("text"), x["letters"].alias("letters"), F.col("own")))
+    rows = own.groupBy("rec", "verse").agg(F.flatten(F.collect_list(each)).alias("words"), F.array_sort(F.flatten(F.collect_list("own"))).alias("all"))
+    return rows.select("rec", "verse", F.size("words").alias("n_words"), F.size("all").alias("n_tokens"), F.transform("all", lambda x: x["id"]).alias("ids"), "words")
+
+
+def combined_verses(verses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(references, slots) as of combined(), of rows as of verse_rows(): numbered on in one shuffle of verses, by sums."""
+    before = Window.partitionBy("rec").orderBy("verse").rowsBetween(Window.unboundedPreceding, -1)
+    spoken = verses.filter(F.col("rec").isNotNull() & F.col("verse").isNotNull() & (F.col("n_words") > 0))
+    placed = spoken.select("*", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{c}_before") for n, c in (("n_words", "words"), ("n_tokens", "tokens"))])
+    read = placed.filter("n_tokens > 0").groupBy("rec").agg(F.array_sort(F.collect_list(F.struct("tokens_before", "ids"))).alias("all"))
+    references = read.select("rec", F.flatten(F.transform("all", lambda x: x["ids"])).alias("ids"))
+    slots = placed.select("rec", "verse", "n_words", "words_before", "tokens_before", F.explode("words").alias("x"))
+    return references, slots.select(
+        "rec",
+        (F.col("words_before") + F.col("x.word")).alias("word_no"),
+        F.col("x.text").alias("word"),
+        "verse",
+        (F.col("x.word") == F.col("n_words") - 1).alias("is_verse_final"),
+        F.transform("x.own", lambda t: (F.col("tokens_before") + t["pos"]).cast("bigint")).alias("token_positions"),
+        F.transform("x.own", lambda t: t["char_idx"].cast("int")).alias("token_char_idx"),
+        F.col("x.letters").alias("letters"),
+    )
+
+
 def combined(words: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(references, slots) of the verses of recordings, one after another. words: rec, verse, word (number in the verse),
     text, letters; tokens: rec, verse, pos (in the verse), id, word, char_idx (in the word).
 
     references: rec, ids. slots: rec, word_no, word, verse, is_verse_final, token_positions (into ids), token_char_idx,
-    letters. Verses are numbered on by sums over a row for each verse, so words and tokens are not ordered through.
+    letters.
     """
-    sizes = words.groupBy("rec", "verse").agg(F.count("*").alias("n_words"))
-    sizes = sizes.join(tokens.groupBy("rec", "verse").agg(F.count("*").alias("n_tokens")), ["rec", "verse"], "left")
-    before = Window.partitionBy("rec").orderBy("verse").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "rec", "verse", "n_words", F.coalesce(F.sum("n_words").over(before), F.lit(0)).alias("words_before"), F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("tokens_before")
-    )
-    placed = tokens.join(offsets, ["rec", "verse"]).withColumn("at", F.col("tokens_before") + F.col("pos"))
-    ids = F.transform(F.array_sort(F.collect_list(F.struct("at", "id"))), lambda x: x["id"])
-    references = placed.groupBy("rec").agg(ids.alias("ids"))
-    own = placed.groupBy("rec", "verse", "word").agg(F.array_sort(F.collect_list(F.struct("at", "char_idx"))).alias("own"))
-    slots = words.join(offsets, ["rec", "verse"]).join(own, ["rec", "verse", "word"], "left")
-    return references, slots.select(
-        "rec",
-        (F.col("words_before") + F.col("word")).alias("word_no"),
-        F.col("text").alias("word"),
-        "verse",
-        (F.col("word") == F.col("n_words") - 1).alias("is_verse_final"),
-        F.coalesce(F.transform("own", lambda x: x["at"]), F.array().cast("array<bigint>")).alias("token_positions"),
-        F.coalesce(F.transform("own", lambda x: x["char_idx"]), F.array().cast("array<int>")).alias("token_char_idx"),
-        "letters",
-    )
+    return combined_verses(verse_rows(words, tokens))

@@ -1,10 +1,11 @@
-"""Greedy longest-match tokens of texts by a trie of the vocabulary, as a table function."""
+"""Greedy longest-match tokens of texts by a trie of the vocabulary, as a table function or as lists."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,8 +60,27 @@ def token_function(vocabulary: Mapping[str, int]):
     return F.udtf(LongestMatch, returnType="pos: int, start: int, token: string, id: int", useArrow=True)
 
 
+def with_tokens(texts: DataFrame, vocabulary: Mapping[str, int], text: str = "text", name: str = "tokens") -> DataFrame:
+    """texts with the tokens of each text (pos, start, token, id) in a list, null for a null text. Texts that a batch holds
+    more than once are read once."""
+    rows = dict(vocabulary)
+    held: list[Node] = []
+    kind = pa.list_(pa.struct([("pos", pa.int32()), ("start", pa.int32()), ("token", pa.string()), ("id", pa.int32())]))
+
+    def read(column: pa.Array) -> pa.Array:
+        if not held:
+            held.append(trie(rows))
+        different = column.dictionary_encode()
+        lists = []
+        for t in different.dictionary.to_pylist():
+            lists.append([{"pos": pos, "start": start, "token": t[start:end], "id": number} for pos, (start, end, number) in enumerate(longest_matches(held[0], t))])
+        return pa.array(lists, kind).take(different.indices)
+
+    function = F.arrow_udf(read, "array<struct<pos:int,start:int,token:string,id:int>>")
+    return texts.withColumn(name, function(F.col(text)))
+
+
 def tokenize(texts: DataFrame, vocabulary: Mapping[str, int], text: str = "text") -> DataFrame:
     """The columns of texts but the text, with pos, start, token and id: a row for each token."""
-    function = token_function(vocabulary)
     kept = [F.col(c) for c in texts.columns if c != text]
-    return texts.lateralJoin(function(F.col(text).outer())).select(*kept, "pos", "start", "token", "id")
+    return with_tokens(texts, vocabulary, text, "_tokens").select(*kept, F.inline("_tokens"))

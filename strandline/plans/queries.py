@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.functions import arrays, scalars
@@ -857,13 +857,16 @@ SELECT rec, row_number() OVER (PARTITION BY rec ORDER BY verse, word) - 1 AS wor
 def ref_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Priorities as verses of a customer, their parts between spaces as words."""
     verses = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("rec"), F.col("o_orderkey").alias("verse"), F.lower("o_orderpriority").alias("text"))
-    spans = verses.select("rec", "verse", F.posexplode(reference.word_offsets(F.col("text"), F.split("text", " "))).alias("word", "span"))
-    words = spans.select("rec", "verse", F.col("word").cast("long").alias("word"), F.col("span.word").alias("text"), F.lit(None).alias("letters"))
-    found = tokens.tokenize(verses, PRIORITY_TOKENS)
-    characters = spans.select("rec", "verse", F.col("word").cast("long").alias("word"), F.col("span.start").alias("first"), F.explode(F.sequence("span.start", F.col("span.end") - 1)).alias("start"))
-    placed = found.join(characters, ["rec", "verse", "start"]).select("rec", "verse", "pos", "id", "word", (F.col("start") - F.col("first")).alias("char_idx"))
-    spaces = found.filter("token = ' '").select("rec", "verse", "pos", "id", F.lit(-1).cast("long").alias("word"), F.lit(0).alias("char_idx"))
-    _, slots = reference.combined(words, placed.unionByName(spaces))
+    found = tokens.with_tokens(verses, PRIORITY_TOKENS).withColumn("spans", reference.word_offsets(F.col("text"), F.split("text", " ")))
+
+    def word(span: Column, i: Column) -> Column:
+        inside = F.filter("tokens", lambda t: (t["start"] >= span["start"]) & (t["start"] < span["end"]))
+        own = F.transform(inside, lambda t: F.struct(t["pos"].alias("pos"), (t["start"] - span["start"]).alias("char_idx")))
+        return F.struct(i.cast("long").alias("word"), span["word"].alias("text"), F.lit(None).cast("string").alias("letters"), own.alias("own"))
+
+    ids = F.transform("tokens", lambda t: t["id"]).alias("ids")
+    rows = found.select("rec", "verse", F.size("spans").alias("n_words"), F.size("tokens").alias("n_tokens"), ids, F.transform("spans", word).alias("words"))
+    _, slots = reference.combined_verses(rows)
     return slots.select("rec", "word_no", "word", "verse", "is_verse_final", F.array_join("token_positions", ",").alias("token_positions"), F.array_join("token_char_idx", ",").alias("token_char_idx"))
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.operators import reference, signal, tokens
-from strandline.plans.queries import letter_rules
+from strandline.plans.queries import QUERIES, letter_rules
 
 
 def greedy(vocabulary, text):
@@ -110,3 +110,21 @@ def test_true_peaks_of_recordings(spark):
     got = {r["rec"]: r["true_peak_db"] for r in signal.true_peaks(df).collect()}
     assert abs(got["a"] - 20 * math.log10(0.5)) < 1e-9 and got["b"] == -120.0
     assert 2.9 < got["c"] < 4.0  # samples of a tone at its 45 degrees, as loud again by the root of 2 between them, more at the ends
+
+
+def test_repeated_texts_and_nulls(spark):
+    df = spark.range(0, 5000, 1, 1).selectExpr("id AS k", "IF(id % 50 = 1, NULL, repeat('ab', cast(id % 50 AS int))) AS text")
+    got = tokens.tokenize(df, {"a": 1, "ab": 2}).groupBy("token", "id").count().collect()
+    assert [tuple(r) for r in got] == [("ab", 2, 100 * (sum(range(50)) - 1))]
+    assert tokens.with_tokens(df, {"ab": 2}).filter("tokens IS NULL").count() == 100
+
+
+def test_combined_query_reads_and_deals_verses_once(spark, tmp_path):
+    """One pass of the tokenizer and one shuffle, of verses; no join of characters, words and tokens."""
+    rows = [(7, 3, "4-NOT SPECIFIED"), (7, 9, "5-LOW"), (8, 1, None), (8, 2, "1-URGENT"), (None, 4, "2-HIGH")]
+    spark.createDataFrame(rows, "o_custkey long, o_orderkey long, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    got = QUERIES["ref_combined"](spark, str(tmp_path))
+    want = [(7, 0, "4-not", 3, False, "0,1,2", "0,1,2"), (7, 1, "specified", 3, True, "4", "0"), (7, 2, "5-low", 9, True, "5,6,7", "0,1,2"), (8, 0, "1-urgent", 2, True, "0,1,2", "0,1,2")]
+    assert sorted(map(tuple, got.collect())) == want
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and "UDTF" not in plan and plan.count("ArrowEvalPython") == 1
