@@ -13,6 +13,7 @@ their text; a null doc_id comes first; an empty table writes no rows.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -36,6 +37,19 @@ OTHER_SPACE = [*"\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\
 INNER_STOP = re.compile(r"[,.](?<=[\W_].)")
 
 
+class Numbers(dict):
+    """Pieces with their numbers; one that is looked up for the first time gets the next number and is kept in `fresh`."""
+
+    def __init__(self, known: dict[str, int]):
+        super().__init__(known)
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = out = len(self)
+        self.fresh.append(piece)
+        return out
+
+
 class WordCache:
     """Ids of texts by the tokenizers library. A byte-level pattern never joins text across the start of a space or line
     end that follows a word, nor across a comma or stop that follows a letter or digit; so what the library gives for
@@ -51,20 +65,28 @@ class WordCache:
         self.whole = OTHER_SPACE + self.special
         if self.byte_level:
             (self.line_end,) = self.tokenizer.encode(LINE_END, add_special_tokens=False).ids
-        self.cache_bytes, self.held_bytes = cache_bytes, 0
-        self.known: dict[str, bytes] = {}
+        self.cache_bytes = cache_bytes
+        self._reset()
 
     def _learn(self, pieces: list[str]) -> None:
         """Pieces without line ends, joined by those: a line end between two pieces is always a token of its own."""
         joined = [LINE_END.join(pieces[k : k + 1000]) for k in range(0, len(pieces), 1000)]
-        at = iter(pieces)
+        ids, ends = [], []
         for got in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
-            ids = np.array(got.ids, "<u4")
-            raw = ids.tobytes()
-            start = 0
-            for end in (*np.flatnonzero(ids == self.line_end).tolist(), len(ids)):
-                self.known[next(at)] = raw[4 * start : 4 * end]
-                start = end + 1
+            own = np.array(got.ids, "<u4")
+            ends.append(np.append(np.flatnonzero(own == self.line_end), len(own)))
+            ids.append(np.append(own, np.uint32(self.line_end)))
+        shift = np.cumsum([len(self.ids), *map(len, ids[:-1])])
+        ends = np.concatenate([e + k for e, k in zip(ends, shift, strict=True)])
+        starts = np.append(len(self.ids), ends[:-1] + 1)
+        self.starts, self.sizes = np.append(self.starts, starts), np.append(self.sizes, ends - starts)
+        self.ids = np.concatenate([self.ids, *ids])
+
+    def _reset(self) -> None:
+        """Nothing known but the empty piece and the line end, which _learn() can't take."""
+        self.known, self.held_bytes = Numbers({"": 0, LINE_END: 1}), 0
+        self.ids = np.array([self.line_end] if self.byte_level else [], "<u4")
+        self.starts, self.sizes = np.array([0, 0]), np.array([0, 1])
 
     def _pieces(self, text: str) -> list[str] | None:
         """The pieces of text, or None where it has to be encoded whole."""
@@ -79,26 +101,28 @@ class WordCache:
             cut = cut.replace(",", "\0,").replace(".", "\0.")
         return cut.split("\0")
 
+    def _together(self, numbers: np.ndarray) -> bytes:
+        """The ids of pieces by their numbers, one after another."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[numbers] - ends + sizes, sizes)
+        return self.ids[at + np.arange(len(at))].tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
         if self.held_bytes > self.cache_bytes:
-            known.clear()
-            self.held_bytes = 0
-        if self.byte_level:
-            known[""], known[LINE_END] = b"", self.line_end.to_bytes(4, "little")
-        cut = [self._pieces(t) for t in texts]
-        fresh: set[str] = set()
-        for pieces in cut:
-            if pieces:
-                fresh.update(pieces)
-        fresh.difference_update(known)
-        if fresh:
-            self.held_bytes += sum(ENTRY + 3 * len(x) for x in fresh)
-            self._learn(list(fresh))
-        hard = [t for t, pieces in zip(texts, cut, strict=True) if pieces is None]
+            self._reset()
+        number = self.known.__getitem__
+        cut: list[np.ndarray | None] = []
+        for t in texts:
+            pieces = self._pieces(t)
+            cut.append(None if pieces is None else np.fromiter(map(number, pieces), np.int64, len(pieces)))
+        if fresh := self.known.fresh:
+            self._learn(fresh)
+            self.known.fresh = []
+            self.held_bytes += 3 * sum(map(len, fresh)) + ENTRY * len(fresh)
+        hard = [t for t, numbers in zip(texts, cut, strict=True) if numbers is None]
         whole = iter(self.tokenizer.encode_batch_fast(hard, add_special_tokens=False) if hard else [])
-        get = known.__getitem__
-        return [np.array(next(whole).ids, "<u4").tobytes() if p is None else b"".join(map(get, p)) for p in cut]
+        return [np.array(next(whole).ids, "<u4").tobytes() if n is None else self._together(n) for n in cut]
 
 
 def is_byte_level(spec: dict) -> bool:
@@ -109,6 +133,8 @@ def is_byte_level(spec: dict) -> bool:
 
 
 def word_cache(path: str) -> WordCache:
+    """The cache of a worker. Spark's tasks take the cores; the library's own threads would spin beside them."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return held(("token_files", path), lambda: WordCache(path))
 
 

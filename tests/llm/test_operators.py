@@ -585,3 +585,18 @@ def test_flight_keeps_totals():
     assert ((out > 0) & (out < 1)).sum() <= 2
     mean = np.mean([mixing.flight(np.full(30, 0.3), size[:30], np.random.default_rng(k)) for k in range(800)], axis=0)
     assert abs(mean - 0.3).max() < 0.08
+
+
+def test_token_cache_looks_pieces_up_once(monkeypatch):
+    """Ids of pieces lie in one array by number; whatever was kept before, they are the library's."""
+    rng = random.Random(5)
+    texts = [sentence(rng, 40) for _ in range(30)] + ["", "one, two.", "a\nb", " led", "a  b", "x.y", "\u00e9t\u00e9, oui", "one, two."]
+    library = token_files.Tokenizer.from_file(BYTE_FILE)
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for octets in (1, 1 << 20):
+        cache = token_files.WordCache(BYTE_FILE, octets)
+        assert [x for k in range(0, len(texts), 7) for x in cache.encode(texts[k : k + 7])] == want
+        assert len(cache.known) == len(cache.starts) == len(cache.sizes) and not cache.known.fresh
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    token_files.word_cache(BYTE_FILE)
+    assert token_files.os.environ["TOKENIZERS_PARALLELISM"] == "false"
