@@ -547,15 +547,15 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(own.hint("merge"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
 
 
-def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, looks: int = LOOKS, sample: int = SAMPLE, elements: int = ELEMENTS) -> DataFrame:
+def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, looks: int = LOOKS, sample: int = SAMPLE, elements: int = ELEMENTS, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links): a row for each of docs."""
     ones, costs, hot = measured(docs, percent, size, sample)
     log.info("segments of threshold 1 by band: %s; costs a set: %s", ones, costs)
     sets = cut(signed_sets(docs, percent, size, ones, hot), "sets")
-    return linked(docs, sets, percent, size, HISTOGRAMS, looks, elements)
+    return linked(docs, sets, percent, size, HISTOGRAMS, looks, elements, block)
 
 
-def linked(docs: DataFrame, sets: DataFrame, percent: int, size: int, by: Filter, looks: int = LOOKS, elements: int = ELEMENTS) -> DataFrame:
+def linked(docs: DataFrame, sets: DataFrame, percent: int, size: int, by: Filter, looks: int = LOOKS, elements: int = ELEMENTS, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of documents (doc_id, text) by their signed sets (doc_id, node, n, parts, sigs, hots):
     sets that share a signature are compared by what `by` can exclude, then exactly."""
     known = sets.filter("n > 0 AND doc_id IS NOT NULL")
@@ -574,7 +574,7 @@ def linked(docs: DataFrame, sets: DataFrame, percent: int, size: int, by: Filter
     # several texts of one doc_id are one document
     several = known.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("doc_id")
     same = known.select("doc_id", "node").join(several, "doc_id").join(reps, "node").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    links = cut(pivot_links(pairs, seen, texts, percent, size, by=by).unionByName(same), "links")
+    links = cut(pivot_links(pairs, seen, texts, percent, size, block, by).unionByName(same), "links")
     near = cut(components(links), "labels")
     mixed = with_main(labelled(once.select("sig", "rep"), near), "sig")
     stars = cut(candidates(mixed.join(seen.hint("merge"), "rep"), percent, looks, by).distinct(), "candidates")
@@ -589,7 +589,7 @@ def linked(docs: DataFrame, sets: DataFrame, percent: int, size: int, by: Filter
         groups = groups.unionByName(groups.select(F.col("label").alias("node"), "label").distinct())
         placed = labelled(groups.select(F.col("node").alias("rep"), F.col("label").alias("grp")), near)
         placed = cut(placed.join(seen.groupBy("rep").agg(F.max("n").alias("n")).hint("merge"), "rep"), "placed")
-        more = cut(verified(with_main(placed, "grp", F.col("n")), texts, percent, size, elements), "more-links")
+        more = cut(verified(with_main(placed, "grp", F.col("n")), texts, percent, size, elements, block), "more-links")
         roots = cut(components(near.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(more)), "roots")
         scratch += [near, placed, more]
     roots = roots.select(F.col("node").alias("rep"), "label")
