@@ -21,7 +21,9 @@ the largest component of a signature meet the others, never one another, in bloc
 histograms over the hash universe cannot exclude the similarity are compared exactly, again across components only. So a
 group of G near copies costs G, not G x G, whatever part of the rows it has; what stays quadratic are different texts
 that share a signature without being linked, and those are looked at by size and histogram first.
-Shingles are 64-bit hashes: within two sets of 10^4 shingles the chance of any collision is below 10^-11.
+Shingles are 64-bit hashes: within two sets of 10^4 shingles the chance of any collision is below 10^-11. Nodes meet by the
+signatures of one of SLICES slices after the other, so the disk holds the shuffles of one; the signatures themselves are
+deleted when all nodes have met.
 
 Defined results: null text, or text without words, has the empty set and links with nothing; fewer words than a shingle
 are one shingle; rows that repeat a doc_id are one document, linked with what any of them is linked with; a null doc_id is
@@ -34,7 +36,7 @@ import hashlib
 import logging
 import time
 from collections.abc import Callable, Iterator, Mapping
-from functools import lru_cache
+from functools import lru_cache, reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -58,6 +60,8 @@ ROWS, OCTETS = 512, 4 << 20
 COLUMNS = 8192
 #: Sets from which costs are measured; in how many of them a signature is called hot, and the parts it is then dealt into.
 SAMPLE, HOT, SALTS = 2048, 24, 64
+#: Parts of the signatures by which nodes meet one after another.
+SLICES = 4
 #: Seconds x 10^6 of Spark's tasks for moving and matching a signature; what making one and a look at another set's size and
 #: histogram cost is measured with the sample.
 MOVED = 1.4
@@ -380,6 +384,15 @@ def signed_sets(docs: DataFrame, percent: int, size: int, ones: Mapping[int, int
     return rows.mapInArrow(tidy(run), "doc_id long, node binary, n long, parts binary, sigs array<long>, hots array<long>")
 
 
+def slice_of(own: DataFrame, k: int, of: int) -> DataFrame:
+    """own with those of its sigs and hots that are in the k-th of so many slices; the lowest bit has no part in that."""
+
+    def kept(column: str) -> Column:
+        return F.filter(column, lambda s: F.pmod(F.shiftright(s, 1), F.lit(of)) == k).alias(column)
+
+    return own.select(*(kept(c) if c in ("sigs", "hots") else c for c in own.columns))
+
+
 def shared_signatures(own: DataFrame) -> DataFrame:
     """sig, whole, rep of the signatures that several nodes have, one of them as a whole segment; own: rep, sigs, hots. Hot
     signatures are dealt by salt as well and all kept here."""
@@ -556,13 +569,25 @@ def similar(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, looks:
 
 
 def linked(docs: DataFrame, sets: DataFrame, percent: int, size: int, by: Filter, looks: int = LOOKS, elements: int = ELEMENTS, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id of documents (doc_id, text) by their signed sets (doc_id, node, n, parts, sigs, hots):
-    sets that share a signature are compared by what `by` can exclude, then exactly."""
-    known = sets.filter("n > 0 AND doc_id IS NOT NULL")
+    """doc_id, n_shingles, component_id of documents (doc_id, text) by their signed sets (doc_id, node, n, parts, sigs, hots),
+    which cut() wrote and which are deleted here: sets that share a signature are compared by what `by` can exclude, then
+    exactly."""
+    spark = docs.sparkSession
+    rows = cut(sets.select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("node")).alias("node")), "rows")
+    known = rows.filter("node IS NOT NULL")
     reps = cut(known.groupBy("node").agg(F.min("doc_id").alias("rep")), "nodes")
-    own = known.join(reps.hint("merge"), "node").filter("doc_id = rep")
-    seen = cut(own.select("node", "rep", "n", "parts").dropDuplicates(["node", "rep"]).drop("node"), "seen")
-    shared = cut(shared_signatures(own.select("rep", "sigs", "hots")), "shared")
+
+    def owned(columns: DataFrame) -> DataFrame:
+        return columns.filter("n > 0 AND doc_id IS NOT NULL").join(reps.hint("merge"), "node").filter("doc_id = rep")
+
+    seen = cut(owned(sets.select("doc_id", "node", "n", "parts")).select("node", "rep", "n", "parts").dropDuplicates(["node", "rep"]).drop("node"), "seen")
+    sliced = []
+    for k in range(SLICES):
+        own = owned(slice_of(sets.select("doc_id", "node", "n", "sigs", "hots"), k, SLICES))
+        sliced.append(cut(shared_signatures(own.select("rep", "sigs", "hots")), "shared"))
+        release(spark)
+    discard(sets)
+    shared = reduce(DataFrame.unionByName, sliced)
     # many signatures are shared by the same nodes: one of each such set is looked at
     marks = shared.groupBy("sig").agg(
         F.count("*").alias("size"), F.bit_xor(F.xxhash64("rep")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("h2"), F.min("rep").alias("least"), F.max("whole").alias("any")
@@ -578,10 +603,9 @@ def linked(docs: DataFrame, sets: DataFrame, percent: int, size: int, by: Filter
     near = cut(components(links), "labels")
     mixed = with_main(labelled(once.select("sig", "rep"), near), "sig")
     stars = cut(candidates(mixed.join(seen.hint("merge"), "rep"), percent, looks, by).distinct(), "candidates")
-    discard(shared)
-    discard(once)
-    discard(links)
-    release(docs.sparkSession)
+    for done in (*sliced, once, links):
+        discard(done)
+    release(spark)
     scratch = [seen, stars]
     roots = near
     if not stars.isEmpty():
@@ -595,6 +619,5 @@ def linked(docs: DataFrame, sets: DataFrame, percent: int, size: int, by: Filter
     roots = roots.select(F.col("node").alias("rep"), "label")
     for done in scratch:
         discard(done)
-    rows = sets.select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
     out = rows.join(reps, "node", "left").join(roots, "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "rep", "doc_id").alias("component_id"))

@@ -20,7 +20,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from strandline.llm import bpe, fingerprints, graph, html_text, language_id, licenses, line_dedup, media, mixing, ngram_join, token_files
+from strandline.llm import bpe, common, fingerprints, graph, html_text, language_id, licenses, line_dedup, media, mixing, ngram_join, token_files
 from strandline.llm.common import new_path
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -243,6 +243,32 @@ def test_ngram_join_of_repeated_rows(spark, every):
     assert got == brute_join(rows, 90, 3)
 
 
+def test_signatures_meet_in_slices_and_go(spark, monkeypatch):
+    """Nodes meet by a part of the signatures at a time, what that shuffled is released before the next part, and when all
+    have met no signature stays on the disk."""
+    rng = random.Random(15)
+    rows = []
+    for _ in range(20):
+        w = sentence(rng, 60).split()
+        rows += [" ".join(w), " ".join([*w[:30], "other", *w[31:]])]
+    rows = list(enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets = ngram_join.signed_sets(df, 90, 3, {}, [])
+    every = {tuple(r) for r in ngram_join.shared_signatures(sets.select(F.col("doc_id").alias("rep"), "sigs", "hots")).collect()}
+    met = [ngram_join.shared_signatures(ngram_join.slice_of(sets, k, 3).select(F.col("doc_id").alias("rep"), "sigs", "hots")).collect() for k in range(3)]
+    assert every and {tuple(r) for part in met for r in part} == every and sum(map(len, met)) == len(every)
+    assert max(map(len, met)) < len(every)
+    told, cut, release, since = [], ngram_join.cut, ngram_join.release, set(common._written)
+    monkeypatch.setattr(ngram_join, "cut", lambda df, name: told.append(name) or cut(df, name))
+    monkeypatch.setattr(ngram_join, "release", lambda session: told.append("release") or release(session))
+    out = ngram_join.similar(df, 90, 3)
+    at = [k for k, name in enumerate(told) if name == "shared"]
+    assert len(at) == ngram_join.SLICES > 1 and all(told[k + 1] == "release" for k in at)
+    left = [spark.read.parquet(path).columns for path in common._written if path not in since]
+    assert left and not any("sigs" in columns for columns in left)
+    assert {r["doc_id"]: r["component_id"] for r in out.collect()} == brute_join(rows, 90, 3)
+
+
 def test_blocks_of_a_hot_key_meet(spark):
     rows = [(7, k, 5 if k < 200 else k) for k in range(300)]  # 200 of one label, 100 others
     rows = ngram_join.with_main(spark.createDataFrame(rows, "sig long, rep long, label long"), "sig")
