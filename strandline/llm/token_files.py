@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -53,8 +54,9 @@ class Numbers(dict):
 class WordCache:
     """Ids of texts by the tokenizers library. A byte-level pattern never joins text across the start of a space or line
     end that follows a word, nor across a comma or stop that follows a letter or digit; so what the library gives for
-    each such piece alone is kept and put together. New pieces of a batch are encoded in few calls, one a line. That rule
-    holds for the byte-level pattern alone: texts of other vocabularies are encoded whole."""
+    each such piece alone is kept and put together. Arrow finds the different pieces of a batch, which are looked up once;
+    new ones are encoded in few calls, one a line. When the cache is full, the pieces that most batches held stay, in at
+    most half of it. That rule holds for the byte-level pattern alone: texts of other vocabularies are encoded whole."""
 
     def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         self.tokenizer = Tokenizer.from_file(path)
@@ -81,17 +83,36 @@ class WordCache:
         starts = np.append(len(self.ids), ends[:-1] + 1)
         self.starts, self.sizes = np.append(self.starts, starts), np.append(self.sizes, ends - starts)
         self.ids = np.concatenate([self.ids, *ids])
+        self.calls = np.append(self.calls, np.zeros(len(pieces), np.int32))
 
     def _reset(self) -> None:
         """Nothing known but the empty piece and the line end, which _learn() can't take."""
         self.known, self.held_bytes = Numbers({"": 0, LINE_END: 1}), 0
         self.ids = np.array([self.line_end] if self.byte_level else [], "<u4")
         self.starts, self.sizes = np.array([0, 0]), np.array([0, 1])
+        self.calls = np.zeros(2, np.int32)
+
+    def _shrink(self) -> None:
+        """Only the pieces of several batches stay known, those of most first, in at most half of the cache."""
+        words = list(self.known)  # in the order of their numbers
+        cost = 3 * np.fromiter(map(len, words), np.int64, len(words)) + ENTRY
+        often = 2 + np.flatnonzero(self.calls[2:] > 1)
+        often = often[np.argsort(-self.calls[often], kind="stable")]
+        often = np.sort(often[np.cumsum(cost[often]) <= self.cache_bytes // 2])
+        kept, sizes, calls = [words[k] for k in often], self.sizes[often], self.calls[often]
+        ids, held_bytes = np.frombuffer(self._together(often), "<u4"), int(cost[often].sum())
+        del words
+        self.known.clear()
+        self._reset()
+        self.known.update(zip(kept, range(2, 2 + len(kept)), strict=True))
+        self.starts, self.sizes = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes), np.append(self.sizes, sizes)
+        self.ids, self.held_bytes = np.concatenate([self.ids, ids]), held_bytes
+        self.calls = np.append(self.calls, calls // 2)  # what no batch holds any more gives way
 
-    def _pieces(self, text: str) -> list[str] | None:
-        """The pieces of text, or None where it has to be encoded whole."""
+    def _marked(self, text: str) -> str | None:
+        """The pieces of text with \\0 between them, or None where it has to be encoded whole."""
         if not text:
-            return []
+            return ""
         if not self.byte_level:
             return None
         if text[0].isspace() or text[-1].isspace() or any(s in text for s in self.whole):
@@ -99,7 +120,7 @@ class WordCache:
         cut = text.replace(" ", "\0 ").replace(LINE_END, "\0\n\0")
         if not INNER_STOP.search(text):
             cut = cut.replace(",", "\0,").replace(".", "\0.")
-        return cut.split("\0")
+        return cut
 
     def _together(self, numbers: np.ndarray) -> bytes:
         """The ids of pieces by their numbers, one after another."""
@@ -110,19 +131,28 @@ class WordCache:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.held_bytes > self.cache_bytes:
-            self._reset()
-        number = self.known.__getitem__
-        cut: list[np.ndarray | None] = []
-        for t in texts:
-            pieces = self._pieces(t)
-            cut.append(None if pieces is None else np.fromiter(map(number, pieces), np.int64, len(pieces)))
+            self._shrink()
+        marked = [self._marked(t) for t in texts]
+        cut = pc.split_pattern(pa.array([m for m in marked if m is not None], pa.large_string()), "\0")
+        pieces = cut.flatten().dictionary_encode()
+        words = pieces.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         if fresh := self.known.fresh:
             self._learn(fresh)
             self.known.fresh = []
             self.held_bytes += 3 * sum(map(len, fresh)) + ENTRY * len(fresh)
-        hard = [t for t, numbers in zip(texts, cut, strict=True) if numbers is None]
+        self.calls[numbers] += 1
+        numbers, ends = numbers[pieces.indices.to_numpy()], iter(cut.offsets.to_numpy()[1:])
+        hard = [t for t, m in zip(texts, marked, strict=True) if m is None]
         whole = iter(self.tokenizer.encode_batch_fast(hard, add_special_tokens=False) if hard else [])
-        return [np.array(next(whole).ids, "<u4").tobytes() if n is None else self._together(n) for n in cut]
+        out, start = [], 0
+        for m in marked:
+            if m is None:
+                out.append(np.array(next(whole).ids, "<u4").tobytes())
+            else:
+                out.append(self._together(numbers[start : (end := next(ends))]))
+                start = end
+        return out
 
 
 def is_byte_level(spec: dict) -> bool:

@@ -626,3 +626,18 @@ def test_token_cache_looks_pieces_up_once(monkeypatch):
     monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
     token_files.word_cache(BYTE_FILE)
     assert token_files.os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
+def test_full_token_cache_keeps_what_is_frequent(monkeypatch):
+    """A full cache forgets pieces of single batches and keeps those that come again, which the library sees once; the ids
+    stay those of the library."""
+    rng = random.Random(16)
+    cache, library = token_files.WordCache(BYTE_FILE, 60 * token_files.ENTRY), token_files.Tokenizer.from_file(BYTE_FILE)
+    learned, learn = [], cache._learn
+    monkeypatch.setattr(cache, "_learn", lambda pieces: learned.extend(pieces) or learn(pieces))
+    for k in range(30):
+        texts = [f"all of the same words, {rng.choice(WORDS)} x{k}y{j} é{k}.\nand so on" for j in range(12)] + ["", "two  spaces"]
+        want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert cache.encode(texts) == want
+        assert len(cache.known) == len(cache.starts) == len(cache.sizes)
+    assert learned.count(" same") == 1 and learned.count(" x3y4") == 1 and len(cache.known) < 200
